@@ -32,8 +32,11 @@ def running_share(per_key: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS
     probs = [i / buckets for i in range(1, buckets)]
     edges = vals.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("e")).scalar()
     v = F.col(value).cast("double")
-    bucket = sum((F.when(v > F.element_at(edges, i), 1).otherwise(0) for i in range(1, buckets)), F.lit(0))
-    vb = vals.withColumn("bucket", bucket)
+    # bucket = number of edges below the value: monotone in the value, equal
+    # values share a bucket
+    vb = (vals.withColumn("_edges", edges)
+              .withColumn("bucket", F.size(F.filter(F.col("_edges"), lambda e: e < v)))
+              .drop("_edges"))
 
     per_bucket = vb.groupBy("bucket").agg(F.sum("_mass").alias("_btot"))   # <= `buckets` rows
     higher = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
