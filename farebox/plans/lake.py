@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import time
 from collections.abc import Callable
 from pathlib import Path
 
@@ -82,8 +83,9 @@ class TripLake:
         w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
+        t0 = time.perf_counter()
         w.parquet(self.path(name))
-        self.metrics[name] = obs.get
+        self.metrics[name] = dict(obs.get, seconds=round(time.perf_counter() - t0, 3))
 
     def build(self, force: bool = False) -> TripLake:
         if self.is_built() and not force:

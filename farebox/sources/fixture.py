@@ -39,6 +39,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that arrives in fewer splits than the cluster has cores.
+
+    A many-file input is already split and is returned untouched (no extra
+    shuffle at scale); a single-row-group file would otherwise run every
+    downstream narrow operator in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _money(units: Column) -> Column:
     """Integer micro-units -> DECIMAL(18,6), exactly."""
     return (units.cast("decimal(18,0)") * F.lit(MICRO).cast("decimal(7,6)")).cast(MONEY)
@@ -46,9 +57,9 @@ def _money(units: Column) -> Column:
 
 def base_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One canonical trip per line item, over the whole tables."""
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag")
+        "l_discount", "l_tax", "l_returnflag"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -96,22 +107,32 @@ def base_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole base plus the added test slices (copies and missing values)."""
+    """Whole base plus the added test slices (copies and missing values).
+
+    One scan and one join: each base row expands into itself plus the variants
+    it qualifies for (a generator, not a union of re-joined branches).
+    """
     t = base_trips(spark, sf_dir)
     one = F.lit(1).cast(MONEY)
     ref = F.col("trip_ref")
-    copies = t.filter(ref % COPY_MODULUS == 0)
-    bumped = copies.withColumns({
-        "tip_amount": (F.col("tip_amount") + one).cast(MONEY),
-        "total_amount": (F.col("total_amount") + one).cast(MONEY),
-    })
-    no_zone = t.filter(ref % MISSING_ZONE_MODULUS == 0).withColumn(
-        "pu_location_id", F.lit(None).cast("int"))
-    no_time = t.filter(ref % MISSING_TIME_MODULUS == 0).withColumn(
-        "pickup_ts", F.lit(None).cast("timestamp_ntz"))
-    return (t.unionByName(copies).unionByName(bumped)
-             .unionByName(no_zone).unionByName(no_time)
-             .withColumn("source_file", F.lit("fixture")))
+    variants = F.array_compact(F.array(
+        F.lit(0),
+        F.when(ref % COPY_MODULUS == 0, F.lit(1)),          # exact copy
+        F.when(ref % COPY_MODULUS == 0, F.lit(2)),          # copy with other amounts
+        F.when(ref % MISSING_ZONE_MODULUS == 0, F.lit(3)),  # pickup zone missing
+        F.when(ref % MISSING_TIME_MODULUS == 0, F.lit(4)),  # pickup time missing
+    ))
+    v = F.col("_variant")
+    return (t.withColumn("_variant", F.explode(variants))
+             .withColumns({
+                 "tip_amount": F.when(v == 2, (F.col("tip_amount") + one).cast(MONEY)).otherwise(F.col("tip_amount")),
+                 "total_amount": F.when(v == 2, (F.col("total_amount") + one).cast(MONEY))
+                                  .otherwise(F.col("total_amount")),
+                 "pu_location_id": F.when(v == 3, F.lit(None).cast("int")).otherwise(F.col("pu_location_id")),
+                 "pickup_ts": F.when(v == 4, F.lit(None).cast("timestamp_ntz")).otherwise(F.col("pickup_ts")),
+                 "source_file": F.lit("fixture"),
+             })
+             .drop("_variant"))
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str, rules: TripRules) -> DataFrame:
