@@ -144,7 +144,7 @@ class TripRules:
         )
 
 
-# The reference month of taxi trips.
+# One month of yellow-taxi trips (the original use case).
 TAXI_JANUARY_2019 = TripRules()
 
 # Stand-in trips derived from the driver tables: zones are nations, boroughs

@@ -128,5 +128,5 @@ def day_name(col: str) -> Column:
 
 
 def safe_div(num: Column, den: Column) -> Column:
-    """NULL on a zero or NULL denominator (DAX DIVIDE / SQL nullif)."""
+    """NULL on a zero or NULL denominator (BI-style DIVIDE / SQL nullif)."""
     return F.try_divide(num.cast("double"), den.cast("double"))

@@ -97,9 +97,10 @@ class TripLake:
         staged = spark.read.parquet(self.path("staged"))
         self._write(clean.silver(clean.valid_trips(staged), self.zones(), rules), "silver_trips")
         silver = spark.read.parquet(self.path("silver_trips"))
-        self._write(star.fact_trips(silver, rules), "fact_trips")
+        # clustered by day inside each file: date ranges skip row groups
+        self._write(star.fact_trips(silver, rules).sortWithinPartitions("date_id"), "fact_trips")
         fact = spark.read.parquet(self.path("fact_trips"))
-        self._write(cube.build_trip_cube(fact), "trip_cube")
+        self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube")
         self._write(quality.funnel(staged, fact), "data_quality")
         fs_path = spark._jvm.org.apache.hadoop.fs.Path(self.complete_marker)
         fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(fs_path, True).close()

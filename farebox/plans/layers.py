@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.measures import dbl, n_rows
 from ..operators import cube, star
+from ..sources.ingest import hash_sample
 from ..sources.schemas import MONEY_COLUMNS
 from .catalog import register
 from .common import RULES, dim_date, dim_payment, dim_zone, fact, lake
@@ -191,16 +192,6 @@ def cube_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A4 hash sample (engine-specific hash: rows-only check) --------------------------------
-def hash_sample(df: DataFrame, key_cols, fraction: float, buckets: int = 10000) -> DataFrame:
-    """Deterministic sample: keep rows whose key hash falls under ``fraction``.
-
-    Unlike ``sample(seed)``, membership depends only on the row's key, so it
-    is stable under repartitioning, retries and re-runs.
-    """
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in key_cols]), F.lit(buckets))
-    return df.filter(h < F.lit(int(round(fraction * buckets))))
-
-
 @register("sample_hash")
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = lake(spark, sf_dir).table("staged")

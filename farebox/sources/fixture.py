@@ -1,6 +1,6 @@
 """Stand-in trips and zones derived from the driver's TPC-H-like tables.
 
-The reference's raw month of taxi files is not shipped, so correctness runs on
+Raw monthly taxi files are not part of the test data, so correctness runs on
 trips that Spark derives deterministically from ``lineitem ⋈ orders ⋈ supplier
 ⋈ customer`` (one trip per line item). Zones are nations, boroughs are regions.
 A few extra slices are *added* on top of the full base (never filtered out of
@@ -136,7 +136,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str, rules: TripRules) -> DataFrame:
-    """Zone lookup in the reference's shape: location_id, borough, zone, service_zone."""
+    """Zone lookup in the taxi-zone shape: location_id, borough, zone, service_zone."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     z = n.join(r, n.n_regionkey == r.r_regionkey, "left")

@@ -1,4 +1,4 @@
-"""Business rules on one-row DataFrames: the reference cases, plus precedence,
+"""Business rules on one-row DataFrames: the original cases, plus precedence,
 exact boundaries and NULL inputs."""
 
 import datetime as dt
@@ -40,7 +40,7 @@ def test_valid_trip_passes(spark):
     ({"trip_distance": 0.0}, C.REJECT_DISTANCE),
     ({"passenger_count": 0}, C.REJECT_NO_PASSENGER),
     ({"dropoff_ts": dt.datetime(2019, 1, 1, 9, 50)}, C.REJECT_DROPOFF_BEFORE_PICKUP),
-    # gaps of the reference suite
+    # cases the original suite left out
     ({"pu_location_id": None}, C.REJECT_ZONE_MISSING),
     ({"do_location_id": None}, C.REJECT_ZONE_MISSING),
     ({"pickup_ts": None}, C.REJECT_TIME_MISSING),
