@@ -54,6 +54,8 @@ class TripLake:
         key = hashlib.sha1(f"{fingerprint}|{rules!r}|{CODE_VERSION}".encode()).hexdigest()[:20]
         self.root = f"{checkpoint_root(spark)}/farebox-lake/{key}"
         self.metrics: dict[str, dict] = {}
+        self._handles: dict[str, DataFrame] = {}
+        self._zone_df: DataFrame | None = None
 
     # -- construction -------------------------------------------------------
     @classmethod
@@ -75,7 +77,9 @@ class TripLake:
         return path_exists(self.spark, self.complete_marker)
 
     def zones(self) -> DataFrame:
-        return self._zones()
+        if self._zone_df is None:
+            self._zone_df = self._zones()
+        return self._zone_df
 
     # -- build ---------------------------------------------------------------
     def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -90,6 +94,7 @@ class TripLake:
     def build(self, force: bool = False) -> TripLake:
         if self.is_built() and not force:
             return self
+        self._handles.clear()
         spark, rules = self.spark, self.rules
         # bronze + reject tags, written once and routed by partition (one scan
         # of the source serves both the quarantine and the valid path)
@@ -107,10 +112,15 @@ class TripLake:
         return self
 
     def table(self, name: str) -> DataFrame:
+        """A built table. Tables are immutable once the build is complete, so one
+        handle (file listing and footer schema) is reused by every query."""
         if name not in TABLES:
             raise KeyError(name)
-        self.build()
-        return self.spark.read.parquet(self.path(name))
+        df = self._handles.get(name)
+        if df is None:
+            self.build()
+            df = self._handles[name] = self.spark.read.parquet(self.path(name))
+        return df
 
 
 _LAKES: dict[tuple, TripLake] = {}

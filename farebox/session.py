@@ -19,7 +19,9 @@ def get_spark(app_name: str = "farebox", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.ui.enabled", "false")
-          .config("spark.ui.showConsoleProgress", "false"))
+          .config("spark.ui.showConsoleProgress", "false")
+          # no Python call-site capture on every Column call (error context only)
+          .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
