@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import FIXTURE_RULES, TripRules
 from ..operators import clean, cube, quality, star
-from ..session import checkpoint_root, file_fingerprint, path_exists
+from ..session import checkpoint_root, file_fingerprint, path_exists, session_conf
 from ..sources import fixture
 
 TABLES = ("staged", "silver_trips", "fact_trips", "trip_cube", "data_quality")
@@ -98,7 +98,9 @@ class TripLake:
         spark, rules = self.spark, self.rules
         # bronze + reject tags, written once and routed by partition (one scan
         # of the source serves both the quarantine and the valid path)
-        self._write(clean.tag_rejects(self._raw()), "staged", partition_by=("status",))
+        # two partition values: concurrent writers instead of sorting each task by status
+        with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters="4"):
+            self._write(clean.tag_rejects(self._raw()), "staged", partition_by=("status",))
         staged = spark.read.parquet(self.path("staged"))
         self._write(clean.silver(clean.valid_trips(staged), self.zones(), rules), "silver_trips")
         silver = spark.read.parquet(self.path("silver_trips"))
@@ -107,8 +109,8 @@ class TripLake:
         fact = spark.read.parquet(self.path("fact_trips"))
         self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube")
         self._write(quality.funnel(staged, fact), "data_quality")
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path(self.complete_marker)
-        fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(fs_path, True).close()
+        # completion marker, written through Spark so it works on any file system
+        spark.range(1).write.mode("overwrite").parquet(self.complete_marker)
         return self
 
     def table(self, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -35,15 +36,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a private
     folder is created and recorded in the session, so later calls agree.
     """
-    sc = spark.sparkContext
-    d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not d:
-        jdir = sc._jsc.sc().getCheckpointDir()
-        d = jdir.get() if jdir.isDefined() else None
+    d = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+        d = d or sc.getConf().get(CHECKPOINT_CONF, None)
+        if not d:
+            jdir = sc._jsc.sc().getCheckpointDir()
+            d = jdir.get() if jdir.isDefined() else None
+    except Exception:      # no JVM context (e.g. a remote session): conf only
+        sc = None
     if not d:
         d = tempfile.mkdtemp(prefix="farebox-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
@@ -54,14 +60,41 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _local(path: str) -> str | None:
+    """Local file-system path of ``path``, or None for a remote URI."""
+    for prefix in ("file://", "file:"):
+        if path.startswith(prefix):
+            return path[len(prefix):]
+    return None if "://" in path else path
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    try:
+        fs, p = _fs(spark, path)
+        return bool(fs.exists(p))
+    except Exception:
+        loc = _local(path)
+        if loc is None:
+            raise
+        return os.path.exists(loc)
 
 
 def file_fingerprint(spark: SparkSession, path: str) -> str:
     """Size and modification time of a file or folder tree (no data read)."""
-    fs, p = _fs(spark, path)
+    try:
+        fs, p = _fs(spark, path)
+    except Exception:
+        loc = _local(path)
+        if loc is None:
+            raise
+        if not os.path.exists(loc):
+            return f"{path}:missing"
+        total, newest = 0, 0
+        for root, _, files in os.walk(loc) if os.path.isdir(loc) else [("", [], [loc])]:
+            for f in files:
+                st = os.stat(os.path.join(root, f) if root else f)
+                total, newest = total + st.st_size, max(newest, int(st.st_mtime * 1000))
+        return f"{path}:{total}:{newest}"
     if not fs.exists(p):
         return f"{path}:missing"
     st = fs.getFileStatus(p)
@@ -74,3 +107,25 @@ def file_fingerprint(spark: SparkSession, path: str) -> str:
             newest = max(newest, f.getModificationTime())
         return f"{path}:{total}:{newest}"
     return f"{path}:{st.getLen()}:{st.getModificationTime()}"
+
+
+class session_conf:
+    """Temporarily set SQL confs on a session (restored on exit)."""
+
+    def __init__(self, spark: SparkSession, **confs: str):
+        self.spark, self.confs, self.old = spark, confs, {}
+
+    def __enter__(self):
+        for k, v in self.confs.items():
+            key = k.replace("__", ".")
+            self.old[key] = self.spark.conf.get(key, None)
+            self.spark.conf.set(key, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False

@@ -46,8 +46,12 @@ def spread(df: DataFrame) -> DataFrame:
     shuffle at scale); a single-row-group file would otherwise run every
     downstream narrow operator in one task.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:       # no RDD view of the plan (remote session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def _money(units: Column) -> Column:
