@@ -74,7 +74,7 @@ def sliced_star(spark: SparkSession, sf_dir: str, needed: tuple[str, ...] = (),
     day / zone / hour / payment code); a dimension that is neither sliced nor
     needed is not joined at all.
     """
-    f = source if source is not None else lake(spark, sf_dir).table("trip_cube")
+    f = source if source is not None else route_source(spark, sf_dir, needed)
     if slicers.categories:
         f = f.filter(F.col("trip_category").isin(list(slicers.categories)))
     # the date range also as a direct predicate on the integer key: it reaches
@@ -364,11 +364,15 @@ def slice_star(spark: SparkSession, sf_dir: str, slicers: Slicers = DEMO_SLICERS
     return evaluate(s, ("trip_category", "payment_label"), ("trips", "revenue", "revenue_per_min"))
 
 
+CUBE_REACHABLE = frozenset(cube_ops.CUBE_GRAIN) | frozenset(DATE_ATTRS) | frozenset(ZONE_ATTRS) \
+    | frozenset(HOUR_ATTRS) | frozenset(PAY_ATTRS)
+
+
 def route_source(spark: SparkSession, sf_dir: str, keys: tuple[str, ...]) -> DataFrame:
     """Cube when every key is a cube key or a dimension attribute reachable from
-    one; otherwise the analysed fact, reshaped to the cube's column names."""
-    reachable = set(cube_ops.CUBE_GRAIN) | set(DATE_ATTRS) | set(ZONE_ATTRS) | set(HOUR_ATTRS) | set(PAY_ATTRS)
-    if set(keys) <= reachable:
+    one; otherwise the analysed fact, shaped like the cube (one trip per row),
+    so every measure gives the same value from either source."""
+    if set(keys) <= CUBE_REACHABLE:
         return lake(spark, sf_dir).table("trip_cube")
     f = cube_ops.analysed(lake(spark, sf_dir).table("fact_trips"))
     return f.withColumns({
