@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 import time
 from collections.abc import Callable
 from pathlib import Path
@@ -126,13 +127,18 @@ class TripLake:
 
 
 _LAKES: dict[tuple, TripLake] = {}
+_LOCK = threading.Lock()
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str, rules: TripRules = FIXTURE_RULES) -> TripLake:
-    """Memoised per session and input folder."""
-    k = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir), repr(rules))
+    """Memoised per session and input folder; concurrent callers share one build."""
+    k = (id(spark), os.path.abspath(sf_dir), repr(rules))
     lake = _LAKES.get(k)
-    if lake is None or not lake.is_built():
-        lake = TripLake.from_fixture(spark, sf_dir, rules).build()
-        _LAKES[k] = lake
+    if lake is not None and lake.is_built():
+        return lake
+    with _LOCK:
+        lake = _LAKES.get(k)
+        if lake is None or not lake.is_built():
+            lake = TripLake.from_fixture(spark, sf_dir, rules).build()
+            _LAKES[k] = lake
     return lake
