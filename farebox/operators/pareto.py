@@ -21,7 +21,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 256
+
+
+def _bucket_of(df: DataFrame, v, n_edges: int) -> DataFrame:
+    """bucket = number of edges strictly below ``v``: the first position of
+    ``v`` once merged into the sorted edges, minus one. Monotone in the value,
+    so equal values share a bucket. Built-in array functions only (no lambda
+    capturing an outer column)."""
+    merged = F.sort_array(F.concat(F.col("_edges"), F.array(v)))
+    return df.withColumn("bucket", (F.array_position(merged, v) - 1).cast("int"))
 
 
 def running_share(per_key: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
@@ -31,12 +40,7 @@ def running_share(per_key: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS
                    .withColumn("_mass", F.col(value) * F.col("n_keys")))
     probs = [i / buckets for i in range(1, buckets)]
     edges = vals.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("e")).scalar()
-    v = F.col(value).cast("double")
-    # bucket = number of edges below the value: monotone in the value, equal
-    # values share a bucket
-    vb = (vals.withColumn("_edges", edges)
-              .withColumn("bucket", F.size(F.filter(F.col("_edges"), lambda e: e < v)))
-              .drop("_edges"))
+    vb = _bucket_of(vals.withColumn("_edges", edges), F.col(value).cast("double"), buckets - 1).drop("_edges")
 
     per_bucket = vb.groupBy("bucket").agg(F.sum("_mass").alias("_btot"))   # <= `buckets` rows
     higher = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
