@@ -5,15 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE_RULES
+from ..config import FIXTURE_RULES, TripRules
 from ..operators import cube, star
 from .lake import TripLake, fixture_lake
 
+# Rules of the driver-table stand-in; the SQL oracles are written for these.
 RULES = FIXTURE_RULES
 
+_NAMED: dict[str, TripLake] = {}
+
+
+def register_lake(name: str, trip_lake: TripLake) -> None:
+    """Make every registered query run on ``trip_lake`` when called with ``name``
+    in place of a table folder (e.g. a lake built from raw trip CSV files)."""
+    _NAMED[name] = trip_lake
+
 
 def lake(spark: SparkSession, sf_dir: str) -> TripLake:
-    return fixture_lake(spark, sf_dir, RULES)
+    named = _NAMED.get(sf_dir)
+    return named if named is not None else fixture_lake(spark, sf_dir, RULES)
+
+
+def rules(spark: SparkSession, sf_dir: str) -> TripRules:
+    named = _NAMED.get(sf_dir)
+    return named.rules if named is not None else RULES
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,16 +40,16 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.analysed(fact(spark, sf_dir))
 
 
-def dim_date(spark: SparkSession) -> DataFrame:
-    return star.dim_date(spark, RULES)
+def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.dim_date(spark, rules(spark, sf_dir))
 
 
 def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_zone(lake(spark, sf_dir).zones(), RULES)
+    return star.dim_zone(lake(spark, sf_dir).zones(), rules(spark, sf_dir))
 
 
-def dim_payment(spark: SparkSession) -> DataFrame:
-    return star.dim_payment(spark, RULES)
+def dim_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.dim_payment(spark, rules(spark, sf_dir))
 
 
 def with_totals(df: DataFrame, *cols: str) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions.measures import dbl, ratio
+from ..functions.measures import dbl, per_minute, ratio
 from .catalog import register
-from .common import lake, s_ratio, with_totals
+from .common import lake, rules, s_ratio, with_totals
 from .measures import components, evaluate, sliced_star, sql_evaluate
 from .oracle import _q, slot_case, with_prelude
 
@@ -67,7 +67,8 @@ def demand_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     "CAST(SUM(total_amount) AS DOUBLE) / NULLIF(CAST(SUM(trip_duration_seconds) AS DOUBLE) / 60.0, 0) "
     "AS revenue_per_min FROM trips GROUP BY 1"))
 def revenue_per_min_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("time_slot",)), ("time_slot",), ("revenue_per_min",))
+    return evaluate(sliced_star(spark, sf_dir, ("time_slot",)), ("time_slot",), ("revenue_per_min",),
+                    rules(spark, sf_dir))
 
 
 # V9 zone scatter / V10 zone detail / V11 borough treemap ----------------------------
@@ -78,7 +79,7 @@ ZONE_SQL_SRC = "trips t JOIN dim_zone z ON t.pickup_location_id = z.location_id"
     ("z.zone", "z.borough"), ("trips", "revenue_per_min", "revenue"), source=ZONE_SQL_SRC)))
 def zone_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(sliced_star(spark, sf_dir, ("zone", "borough")), ("zone", "borough"),
-                    ("trips", "revenue_per_min", "revenue"))
+                    ("trips", "revenue_per_min", "revenue"), rules(spark, sf_dir))
 
 
 @register("zone_detail", lambda: with_prelude(f"""
@@ -89,9 +90,9 @@ SELECT z.zone, z.borough, COUNT(*) AS trips, CAST(SUM(t.total_amount) AS DOUBLE)
          AS revenue_per_min
 FROM {ZONE_SQL_SRC} GROUP BY z.zone, z.borough"""))
 def zone_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = sliced_star(spark, sf_dir, ("zone", "borough")).groupBy("zone", "borough").agg(*components())
+    g = (sliced_star(spark, sf_dir, ("zone", "borough")).groupBy("zone", "borough")
+         .agg(*components(rules(spark, sf_dir))))
     g = with_totals(g, "rev")
-    from ..functions.measures import per_minute
     return g.select("zone", "borough", F.col("n").alias("trips"), dbl("rev").alias("revenue"),
                     ratio("rev", "rev_total").alias("revenue_share"), ratio("rev", "n").alias("avg_basket"),
                     per_minute("rev", "secs").alias("revenue_per_min"))
@@ -99,7 +100,7 @@ def zone_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("borough_revenue", lambda: with_prelude(sql_evaluate(("z.borough",), ("revenue",), source=ZONE_SQL_SRC)))
 def borough_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("borough",)), ("borough",), ("revenue",))
+    return evaluate(sliced_star(spark, sf_dir, ("borough",)), ("borough",), ("revenue",), rules(spark, sf_dir))
 
 
 # V15 payment mix -------------------------------------------------------------------
@@ -107,7 +108,8 @@ def borough_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT p.payment_label, COUNT(*) AS trips FROM trips t "
     "LEFT JOIN dim_payment p ON t.payment_type = p.payment_type GROUP BY p.payment_label"))
 def payment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("payment_label",)), ("payment_label",), ("trips",))
+    return evaluate(sliced_star(spark, sf_dir, ("payment_label",)), ("payment_label",), ("trips",),
+                    rules(spark, sf_dir))
 
 
 # V17 exclusions by reason / V18 funnel detail ------------------------------------------

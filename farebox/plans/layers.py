@@ -15,7 +15,7 @@ from ..operators import cube, star
 from ..sources.ingest import hash_sample
 from ..sources.schemas import MONEY_COLUMNS
 from .catalog import register
-from .common import RULES, dim_date, dim_payment, dim_zone, fact, lake
+from .common import dim_date, dim_payment, dim_zone, fact, lake, rules
 from .oracle import band_case, slot_case, with_prelude
 
 TRIP_OUT = ("vendor_id", "pickup_ts", "dropoff_ts", "passenger_count", "trip_distance",
@@ -113,7 +113,7 @@ def anomaly_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Dimensions ---------------------------------------------------------------------
 @register("dim_date", lambda: with_prelude("SELECT * FROM dim_date"))
 def dim_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_date(spark)
+    return dim_date(spark, sf_dir)
 
 
 @register("dim_hour", lambda: with_prelude("SELECT * FROM dim_hour"))
@@ -128,12 +128,12 @@ def dim_zone_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("dim_payment", lambda: with_prelude("SELECT * FROM dim_payment"))
 def dim_payment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_payment(spark)
+    return dim_payment(spark, sf_dir)
 
 
 @register("dim_vendor", lambda: with_prelude("SELECT * FROM dim_vendor"))
 def dim_vendor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_vendor(spark, RULES)
+    return star.dim_vendor(spark, rules(spark, sf_dir))
 
 
 # Fact and cube ---------------------------------------------------------------------

@@ -27,7 +27,8 @@ from ..functions.measures import dbl, minutes, mph, n_rows, per_minute, ratio
 from ..operators import cube as cube_ops
 from ..operators import star
 from .catalog import register
-from .common import RULES, dim_date, dim_payment, dim_zone, lake, s_min, s_mph, s_per_min, s_ratio, with_totals
+from .common import RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio, with_totals
+from ..config import TripRules
 from .oracle import _q, with_prelude
 
 CARD = RULES.card_payment_type
@@ -86,13 +87,13 @@ def sliced_star(spark: SparkSession, sf_dir: str, needed: tuple[str, ...] = (),
     need = set(needed)
     dfilter = slicers.date_filter()
     if dfilter is not None or need & set(DATE_ATTRS):
-        d = dim_date(spark)
+        d = dim_date(spark, sf_dir)
         if dfilter is not None:
             d = d.filter(dfilter)
         d = d.select("date_id", *[c for c in DATE_ATTRS if c in need or c in ("date", "day_of_week")])
         f = f.join(F.broadcast(d), "date_id", "inner" if dfilter is not None else "left")
     if slicers.payment_labels or need & set(PAY_ATTRS):
-        p = dim_payment(spark)
+        p = dim_payment(spark, sf_dir)
         if slicers.payment_labels:
             p = p.filter(F.col("payment_label").isin(list(slicers.payment_labels)))
         f = f.join(F.broadcast(p), "payment_type", "inner" if slicers.payment_labels else "left")
@@ -107,8 +108,9 @@ def sliced_star(spark: SparkSession, sf_dir: str, needed: tuple[str, ...] = (),
 
 
 # Additive components of the measures (sums over cube rows).
-def components() -> list[Column]:
-    card = F.col("payment_type") == CARD
+def components(r: TripRules = RULES) -> list[Column]:
+    card = F.col("payment_type") == r.card_payment_type
+    airport = r.category_labels[0]
     return [
         F.sum("nb_trips").alias("n"),
         F.sum("total_amount").alias("rev"),
@@ -117,7 +119,7 @@ def components() -> list[Column]:
         F.sum(F.when(card, F.col("nb_trips"))).alias("card_n"),
         F.sum(F.when(card, F.col("tip_amount"))).alias("card_tip"),
         F.sum(F.when(card, F.col("fare_amount"))).alias("card_fare"),
-        F.sum(F.when(F.col("trip_category") == AIRPORT, F.col("total_amount"))).alias("air_rev"),
+        F.sum(F.when(F.col("trip_category") == airport, F.col("total_amount"))).alias("air_rev"),
     ]
 
 
@@ -156,9 +158,9 @@ SQL_MEASURES = {
 }
 
 
-def evaluate(star_df: DataFrame, keys: tuple[str, ...], names: tuple[str, ...]) -> DataFrame:
+def evaluate(star_df: DataFrame, keys: tuple[str, ...], names: tuple[str, ...], r: TripRules = RULES) -> DataFrame:
     """Group the star by ``keys`` and compute the named measures."""
-    g = star_df.groupBy(*keys).agg(*components()) if keys else star_df.agg(*components())
+    g = star_df.groupBy(*keys).agg(*components(r)) if keys else star_df.agg(*components(r))
     return g.select(*keys, *[MEASURES[n]().alias(n) for n in names])
 
 
@@ -176,7 +178,7 @@ TOTAL_MEASURES = ("trips", "revenue", "avg_basket", "minutes", "revenue_per_min"
 
 @register("measures_total", lambda: with_prelude(sql_evaluate((), TOTAL_MEASURES)))
 def measures_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir), (), TOTAL_MEASURES)
+    return evaluate(sliced_star(spark, sf_dir), (), TOTAL_MEASURES, rules(spark, sf_dir))
 
 
 # --- M3 / M4: average trips per visible date ----------------------------------------
@@ -210,7 +212,7 @@ def trips_per_day_excl_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
     shows the ordinary-day average."""
     s = sliced_star(spark, sf_dir, ("is_holiday",))
     ordinary = trips_per_day(s.filter(~F.col("is_holiday")), ())
-    groups = dim_date(spark).select("is_holiday").distinct()
+    groups = dim_date(spark, sf_dir).select("is_holiday").distinct()
     # `ordinary` is one aggregated row, attached to every group as one scalar subquery.
     v = ordinary.select(F.struct("nb_trips", "nb_dates", "trips_per_day").alias("v")).scalar()
     return groups.select("is_holiday", v["nb_trips"].alias("nb_trips"), v["nb_dates"].alias("nb_dates"),
@@ -225,13 +227,14 @@ SELECT trip_category, COUNT(*) AS trips,
        {s_ratio("SUM(total_amount)", "SUM(SUM(total_amount)) OVER ()")} AS revenue_share
 FROM trips GROUP BY trip_category"""))
 def share_of_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = with_totals(sliced_star(spark, sf_dir).groupBy("trip_category").agg(*components()), "n", "rev")
+    g = with_totals(sliced_star(spark, sf_dir).groupBy("trip_category").agg(*components(rules(spark, sf_dir))),
+                    "n", "rev")
     return g.select("trip_category", F.col("n").alias("trips"), ratio("n", "n_total").alias("trips_share"),
                     dbl("rev").alias("revenue"), ratio("rev", "rev_total").alias("revenue_share"))
 
 
-def gap_vs_selection_df(star_df: DataFrame, key: str) -> DataFrame:
-    g = with_totals(star_df.groupBy(key).agg(*components()), "rev", "secs")
+def gap_vs_selection_df(star_df: DataFrame, key: str, r: TripRules = RULES) -> DataFrame:
+    g = with_totals(star_df.groupBy(key).agg(*components(r)), "rev", "secs")
     sel = per_minute("rev_total", "secs_total")
     return g.select(key, per_minute("rev", "secs").alias("revenue_per_min"),
                     sel.alias("selection_revenue_per_min"),
@@ -250,7 +253,7 @@ FROM trips GROUP BY {key}"""
 @register("gap_vs_selection", lambda: with_prelude(gap_sql("trip_category")))
 def gap_vs_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M11 by category."""
-    return gap_vs_selection_df(sliced_star(spark, sf_dir), "trip_category")
+    return gap_vs_selection_df(sliced_star(spark, sf_dir), "trip_category", rules(spark, sf_dir))
 
 
 # --- M14/M15 on a visual grouped by category (the pinned column) --------------------------
@@ -263,7 +266,8 @@ FROM trips GROUP BY trip_category"""))
 def airport_revenue_override(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The airport measure replaces the category grouping, so each row sees the
     airport total of the selection; the share divides it by the row's revenue."""
-    g = with_totals(sliced_star(spark, sf_dir).groupBy("trip_category").agg(*components()), "air_rev")
+    g = with_totals(sliced_star(spark, sf_dir).groupBy("trip_category").agg(*components(rules(spark, sf_dir))),
+                    "air_rev")
     return g.select("trip_category", dbl("rev").alias("revenue"), dbl("air_rev_total").alias("airport_revenue"),
                     ratio("air_rev_total", "rev").alias("airport_revenue_share"))
 
@@ -324,7 +328,7 @@ SELECT MIN(date) AS first_date, MAX(date) AS last_date,
        'Du ' || strftime(MIN(date), '%d/%m/%Y') || ' au ' || strftime(MAX(date), '%d/%m/%Y') AS period_title
 FROM dim_date"""))
 def period_title(spark: SparkSession, sf_dir: str, slicers: Slicers = NO_SLICERS) -> DataFrame:
-    d = dim_date(spark)
+    d = dim_date(spark, sf_dir)
     f = slicers.date_filter()
     if f is not None:
         d = d.filter(f)
@@ -361,7 +365,8 @@ def _slice_sql() -> str:
 @register("slice_star", _slice_sql)
 def slice_star(spark: SparkSession, sf_dir: str, slicers: Slicers = DEMO_SLICERS) -> DataFrame:
     s = sliced_star(spark, sf_dir, ("payment_label",), slicers)
-    return evaluate(s, ("trip_category", "payment_label"), ("trips", "revenue", "revenue_per_min"))
+    return evaluate(s, ("trip_category", "payment_label"), ("trips", "revenue", "revenue_per_min"),
+                    rules(spark, sf_dir))
 
 
 CUBE_REACHABLE = frozenset(cube_ops.CUBE_GRAIN) | frozenset(DATE_ATTRS) | frozenset(ZONE_ATTRS) \

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import dbl, minutes, n_rows, per_minute, ratio, trip_sums
 from .analyses import demand_by_hour_day, productivity, trips_by_date
 from .catalog import register
-from .common import RULES, dim_date, dim_zone, lake, s_min, s_per_min, s_ratio, trips, with_totals
+from .common import RULES, dim_date, dim_zone, lake, rules, s_min, s_per_min, s_ratio, trips
 from .measures import gap_sql, gap_vs_selection_df, sliced_star
 from .oracle import _ids, _q, with_prelude
 
@@ -32,7 +32,8 @@ SELECT hour, COUNT(*) AS nb_trips, {SQL_RPM} AS revenue_per_min,
 FROM trips WHERE trip_category = {_q(INTRA)} GROUP BY hour"""))
 def core_productivity_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Productivity by hour inside the core borough only (removes the mix effect)."""
-    return productivity(trips(spark, sf_dir).filter(F.col("trip_category") == INTRA), "hour")
+    intra = rules(spark, sf_dir).category_labels[1]
+    return productivity(trips(spark, sf_dir).filter(F.col("trip_category") == intra), "hour")
 
 
 # R2 -------------------------------------------------------------------------
@@ -53,8 +54,9 @@ GROUP BY a.airport_id, z.zone""")
 @register("airport_detail", _airport_detail_sql)
 def airport_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per airport: a trip is attributed to its pickup airport, else its dropoff airport."""
-    t = trips(spark, sf_dir).filter(F.col("trip_category") == AIRPORT)
-    aid = F.when(F.col("pickup_location_id").isin(AIRPORTS), F.col("pickup_location_id")) \
+    r = rules(spark, sf_dir)
+    t = trips(spark, sf_dir).filter(F.col("trip_category") == r.category_labels[0])
+    aid = F.when(F.col("pickup_location_id").isin(list(r.airport_zone_ids)), F.col("pickup_location_id")) \
            .otherwise(F.col("dropoff_location_id"))
     g = t.groupBy(aid.alias("airport_id")).agg(*trip_sums())
     z = dim_zone(spark, sf_dir).select(F.col("location_id").alias("airport_id"), F.col("zone").alias("airport_zone"))
@@ -68,8 +70,9 @@ def airport_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row: airport and core components side by side (one pass)."""
     cat = F.col("trip_category")
-    a = cat == AIRPORT
-    i = cat == INTRA
+    labels = rules(spark, sf_dir).category_labels
+    a = cat == labels[0]
+    i = cat == labels[1]
     return trips(spark, sf_dir).agg(
         F.count_if(a).alias("a_n"), F.sum(F.when(a, F.col("total_amount"))).alias("a_rev"),
         F.sum(F.when(a, F.col("trip_duration_seconds"))).alias("a_secs"),
@@ -138,7 +141,7 @@ SELECT we AS weekend_night_trips_per_day, wk AS weeknight_trips_per_day, we / NU
 FROM s"""))
 def weekend_night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Night trips (0h to 3h) per ordinary day: Saturday/Sunday over Monday-Thursday."""
-    cal = dim_date(spark).filter(~F.col("is_holiday")).select("date_id", "day_of_week")
+    cal = dim_date(spark, sf_dir).filter(~F.col("is_holiday")).select("date_id", "day_of_week")
     night = trips(spark, sf_dir).filter(F.col("hour") < NIGHT_END_HOUR)
     per_date = night.groupBy("date_id").agg(n_rows().alias("n")).join(F.broadcast(cal), "date_id")
     we = F.col("day_of_week").isin(list(WEEKEND_DAYS))
@@ -194,7 +197,7 @@ FROM daily h LEFT JOIN ordinary o ON h.day_of_week = o.day_of_week
 WHERE h.is_holiday"""))
 def holiday_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips on each holiday against the mean of ordinary days of the same weekday."""
-    daily = trips_by_date(trips(spark, sf_dir)).join(F.broadcast(dim_date(spark)), "date_id")
+    daily = trips_by_date(trips(spark, sf_dir)).join(F.broadcast(dim_date(spark, sf_dir)), "date_id")
     ordinary = (daily.filter(~F.col("is_holiday")).groupBy("day_of_week")
                      .agg(ratio(F.sum("n"), n_rows()).alias("same_weekday_mean_trips")))
     hol = daily.filter(F.col("is_holiday"))
@@ -269,7 +272,7 @@ SELECT hour, COUNT(*) AS nb_trips, COUNT(*) FILTER (WHERE trip_category = {_q(AI
        {s_ratio(f"COUNT(*) FILTER (WHERE trip_category = {_q(AIRPORT)})", "COUNT(*)")} AS airport_share
 FROM trips GROUP BY hour"""))
 def airport_share_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = F.col("trip_category") == AIRPORT
+    a = F.col("trip_category") == rules(spark, sf_dir).category_labels[0]
     g = sliced_star(spark, sf_dir).groupBy("hour").agg(
         F.sum("nb_trips").alias("nb_trips"), F.sum(F.when(a, F.col("nb_trips"))).alias("airport_trips"))
     return g.select("hour", "nb_trips", F.coalesce("airport_trips", F.lit(0)).alias("airport_trips"),
@@ -329,6 +332,6 @@ def amount_top(spark: SparkSession, sf_dir: str, k: int = TOP_AMOUNTS) -> DataFr
 @register("hour_gap_vs_mean", lambda: with_prelude(gap_sql("hour")))
 def hour_gap_vs_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue per minute of each hour against the whole selection (M11 by hour)."""
-    return gap_vs_selection_df(sliced_star(spark, sf_dir), "hour")
+    return gap_vs_selection_df(sliced_star(spark, sf_dir), "hour", rules(spark, sf_dir))
 
 
