@@ -110,30 +110,54 @@ def anomaly_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.groupBy("anomaly_reason").agg(n_rows().alias("nb_trips"))
 
 
-# Dimensions ---------------------------------------------------------------------
-@register("dim_date", lambda: with_prelude("SELECT * FROM dim_date"))
+# Dimensions, each with its use by the analysed trips ----------------------------------
+# A dimension row is listed whether or not trips reference it (left join from
+# the dimension; 0 when unused). Counts are aggregated before the join, so the
+# join sees one row per member on both sides.
+def _usage(dim: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    return (dim.join(counts, key, "left")
+               .withColumn("nb_trips", F.coalesce(F.col("nb_trips"), F.lit(0).cast("bigint"))))
+
+
+def _usage_sql(dim: str, key: str, fact_key: str | None = None, source: str = "trips") -> str:
+    fk = fact_key or key
+    return with_prelude(f"""
+SELECT d.*, COALESCE(c.nb_trips, 0) AS nb_trips
+FROM {dim} d LEFT JOIN (SELECT {fk} AS k, COUNT(*) AS nb_trips FROM {source} GROUP BY {fk}) c ON d.{key} = c.k""")
+
+
+def _cube_counts(spark: SparkSession, sf_dir: str, key: str, as_key: str | None = None) -> DataFrame:
+    c = lake(spark, sf_dir).table("trip_cube").groupBy(key).agg(F.sum("nb_trips").alias("nb_trips"))
+    return c.withColumnRenamed(key, as_key) if as_key else c
+
+
+@register("dim_date", lambda: _usage_sql("dim_date", "date_id"))
 def dim_date_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_date(spark, sf_dir)
+    return _usage(dim_date(spark, sf_dir), "date_id", _cube_counts(spark, sf_dir, "date_id"))
 
 
-@register("dim_hour", lambda: with_prelude("SELECT * FROM dim_hour"))
+@register("dim_hour", lambda: _usage_sql("dim_hour", "hour"))
 def dim_hour_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_hour(spark)
+    return _usage(star.dim_hour(spark), "hour", _cube_counts(spark, sf_dir, "hour"))
 
 
-@register("dim_zone", lambda: with_prelude("SELECT * FROM dim_zone"))
+@register("dim_zone", lambda: _usage_sql("dim_zone", "location_id", "pickup_location_id"))
 def dim_zone_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_zone(spark, sf_dir)
+    return _usage(dim_zone(spark, sf_dir), "location_id",
+                  _cube_counts(spark, sf_dir, "pickup_location_id", "location_id"))
 
 
-@register("dim_payment", lambda: with_prelude("SELECT * FROM dim_payment"))
+@register("dim_payment", lambda: _usage_sql("dim_payment", "payment_type"))
 def dim_payment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dim_payment(spark, sf_dir)
+    return _usage(dim_payment(spark, sf_dir), "payment_type", _cube_counts(spark, sf_dir, "payment_type"))
 
 
-@register("dim_vendor", lambda: with_prelude("SELECT * FROM dim_vendor"))
+@register("dim_vendor", lambda: _usage_sql("dim_vendor", "vendor_id"))
 def dim_vendor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_vendor(spark, rules(spark, sf_dir))
+    # vendor is not a cube key: counted on the analysed fact
+    counts = (fact(spark, sf_dir).filter(F.col("anomaly_reason").isNull())
+              .groupBy("vendor_id").agg(n_rows().alias("nb_trips")))
+    return _usage(star.dim_vendor(spark, rules(spark, sf_dir)), "vendor_id", counts)
 
 
 # Fact and cube ---------------------------------------------------------------------

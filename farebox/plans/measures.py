@@ -324,18 +324,27 @@ def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- M26: period title from the calendar dimension ---------------------------------------------
 @register("period_title", lambda: with_prelude("""
-SELECT MIN(date) AS first_date, MAX(date) AS last_date,
-       'Du ' || strftime(MIN(date), '%d/%m/%Y') || ' au ' || strftime(MAX(date), '%d/%m/%Y') AS period_title
-FROM dim_date"""))
+SELECT MIN(d.date) AS first_date, MAX(d.date) AS last_date,
+       'Du ' || strftime(MIN(d.date), '%d/%m/%Y') || ' au ' || strftime(MAX(d.date), '%d/%m/%Y') AS period_title,
+       (SELECT MIN(date_id) FROM trips) AS first_trip_date_id,
+       (SELECT MAX(date_id) FROM trips) AS last_trip_date_id
+FROM dim_date d"""))
 def period_title(spark: SparkSession, sf_dir: str, slicers: Slicers = NO_SLICERS) -> DataFrame:
+    """Title from the calendar of the selection (the dimension, as the report
+    does), beside the first and last day that actually has analysed trips."""
     d = dim_date(spark, sf_dir)
     f = slicers.date_filter()
     if f is not None:
         d = d.filter(f)
     a = d.agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"))
-    return a.withColumn("period_title", F.concat(
-        F.lit("Du "), F.date_format("first_date", C.PERIOD_TITLE_FORMAT),
-        F.lit(" au "), F.date_format("last_date", C.PERIOD_TITLE_FORMAT)))
+    seen = (lake(spark, sf_dir).table("trip_cube")
+            .agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi")))
+    span = seen.select(F.struct("lo", "hi").alias("s")).scalar()
+    return a.select(
+        "first_date", "last_date",
+        F.concat(F.lit("Du "), F.date_format("first_date", C.PERIOD_TITLE_FORMAT),
+                 F.lit(" au "), F.date_format("last_date", C.PERIOD_TITLE_FORMAT)).alias("period_title"),
+        span["lo"].alias("first_trip_date_id"), span["hi"].alias("last_trip_date_id"))
 
 
 # --- C6 / V19: the star under a set of slicers --------------------------------------------
