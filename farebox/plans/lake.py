@@ -83,7 +83,12 @@ class TripLake:
         return self._zone_df
 
     # -- build ---------------------------------------------------------------
-    def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
+    def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), force: bool = False) -> None:
+        """Write one layer. A layer already finished under this build key (same
+        inputs, rules and code) is kept, so an interrupted build resumes."""
+        if not force and path_exists(self.spark, f"{self.path(name)}/_SUCCESS"):
+            self.metrics[name] = {"reused": True}
+            return
         obs = Observation(name)
         w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
@@ -101,15 +106,15 @@ class TripLake:
         # of the source serves both the quarantine and the valid path)
         # two partition values: concurrent writers instead of sorting each task by status
         with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters="4"):
-            self._write(clean.tag_rejects(self._raw()), "staged", partition_by=("status",))
+            self._write(clean.tag_rejects(self._raw()), "staged", partition_by=("status",), force=force)
         staged = spark.read.parquet(self.path("staged"))
-        self._write(clean.silver(clean.valid_trips(staged), self.zones(), rules), "silver_trips")
+        self._write(clean.silver(clean.valid_trips(staged), self.zones(), rules), "silver_trips", force=force)
         silver = spark.read.parquet(self.path("silver_trips"))
         # clustered by day inside each file: date ranges skip row groups
-        self._write(star.fact_trips(silver, rules).sortWithinPartitions("date_id"), "fact_trips")
+        self._write(star.fact_trips(silver, rules).sortWithinPartitions("date_id"), "fact_trips", force=force)
         fact = spark.read.parquet(self.path("fact_trips"))
-        self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube")
-        self._write(quality.funnel(staged, fact), "data_quality")
+        self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube", force=force)
+        self._write(quality.funnel(staged, fact), "data_quality", force=force)
         # completion marker, written through Spark so it works on any file system
         spark.range(1).write.mode("overwrite").parquet(self.complete_marker)
         return self

@@ -30,11 +30,15 @@ def get_spark(app_name: str = "farebox", master: str | None = None,
     return spark
 
 
+_PRIVATE_DIRS: dict[int, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is created and recorded in the session, so later calls agree.
+    Read from the session. Only when the session names none (local tests) a
+    private folder is created and registered with ``setCheckpointDir``; the
+    core setting itself is never changed at runtime.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     sc = None
@@ -47,8 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:      # no JVM context (e.g. a remote session): conf only
         sc = None
     if not d:
-        d = tempfile.mkdtemp(prefix="farebox-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
+        d = _PRIVATE_DIRS.get(id(spark)) or tempfile.mkdtemp(prefix="farebox-ckpt-")
+        _PRIVATE_DIRS[id(spark)] = d
     if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(d)
     return d.rstrip("/")

@@ -70,10 +70,17 @@ def route_batches(spark: SparkSession, stream: DataFrame, valid_path: str, quara
             seen = spark.read.parquet(audit_path).filter(F.col("batch_id") == batch_id)
             if not seen.isEmpty():
                 return
-        tagged = batch.withColumn("reject_reason", R.reject_reason())
-        tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason") \
-              .write.mode("append").parquet(valid_path)
-        tagged.filter(F.col("reject_reason").isNotNull()).write.mode("append").parquet(quarantine_path)
+        tagged = (batch.withColumn("reject_reason", R.reject_reason())
+                       .withColumn("batch_id", F.lit(batch_id).cast("long")))
+
+        def sink(df: DataFrame, path: str) -> None:
+            # one partition per batch, overwritten on replay: a batch that died
+            # between the sinks and the audit row is rewritten, never doubled
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("batch_id").parquet(path))
+
+        sink(tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"), valid_path)
+        sink(tagged.filter(F.col("reject_reason").isNotNull()), quarantine_path)
         # counts from the written sinks' batch (tiny aggregate), recorded with the id
         counts = tagged.agg(F.count_if(F.col("reject_reason").isNull()).alias("valid"),
                             F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))

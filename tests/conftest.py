@@ -19,9 +19,9 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    # tests only: the cluster would provide this folder
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="farebox-test-ckpt-"))
+    # tests only: when the session names no checkpoint folder, use a private one
+    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="farebox-test-ckpt-"))
     yield s
     s.stop()
 

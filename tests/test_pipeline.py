@@ -148,3 +148,24 @@ def test_measures_route_to_cube_or_fact_with_equal_results(spark):
     a = by_cube.agg(F.sum("trips"), F.sum("revenue")).first()
     b = by_fact.agg(F.sum("trips"), F.sum("revenue")).first()
     assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-6
+
+
+def test_interrupted_build_resumes_finished_layers(spark, scratch):
+    import uuid
+
+    from farebox.plans.lake import TripLake
+    from farebox.sources import fixture
+
+    def fresh():
+        return TripLake(spark, lambda: fixture.raw_trips(spark, SF0001),
+                        lambda: fixture.zone_lookup(spark, SF0001, FIXTURE_RULES), FIXTURE_RULES,
+                        fingerprint=key)
+
+    key = f"resume-test-{uuid.uuid4()}"
+    first = fresh()
+    first._write(clean.tag_rejects(first._raw()), "staged", partition_by=("status",))   # then "dies"
+    resumed = fresh().build()
+    assert resumed.root == first.root
+    assert resumed.metrics["staged"] == {"reused": True} and "rows" in resumed.metrics["fact_trips"]
+    got = {r["reason"]: r["nb_trips"] for r in resumed.table("data_quality").collect()}
+    assert got[C.FUNNEL_REASON_OUTPUT] == EXPECTED_0001[C.FUNNEL_REASON_OUTPUT]
