@@ -128,3 +128,33 @@ def exclusions_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 def funnel_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = lake(spark, sf_dir).table("data_quality")
     return q.groupBy("step", "reason").agg(F.sum("nb_trips").alias("trips"), F.sum("pct_of_raw").alias("pct_of_raw"))
+
+
+# Several visuals' cuts in one pass: grouping sets over the cube -------------------------
+CUTS = ("hour", "trip_category", "distance_band", "payment_type", "pickup_location_id")
+
+
+def _cuts_sql() -> str:
+    cut = " ".join(f"WHEN GROUPING({c}) = 0 THEN '{c}'" for c in CUTS)
+    sets = ", ".join(f"({c})" for c in CUTS)
+    return with_prelude(f"""
+SELECT CASE {cut} END AS cut, {", ".join(CUTS)},
+       COUNT(*) AS trips, CAST(SUM(total_amount) AS DOUBLE) AS revenue,
+       CAST(SUM(total_amount) AS DOUBLE) / NULLIF(CAST(SUM(trip_duration_seconds) AS DOUBLE) / 60.0, 0)
+         AS revenue_per_min
+FROM trips GROUP BY GROUPING SETS ({sets})""")
+
+
+@register("dashboard_cuts", _cuts_sql)
+def dashboard_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips, revenue and revenue/minute by hour, category, band, payment and zone:
+    one scan of the cube and one shuffle (Expand + aggregate) for all five cuts."""
+    s = sliced_star(spark, sf_dir)
+    cut = None
+    for c in CUTS:
+        cut = F.when(F.grouping(c) == 0, F.lit(c)) if cut is None else cut.when(F.grouping(c) == 0, F.lit(c))
+    g = s.groupingSets([[c] for c in CUTS], *CUTS).agg(
+        F.sum("nb_trips").alias("trips"), F.sum("total_amount").alias("rev"),
+        F.sum("duration_seconds").alias("secs"), cut.alias("cut"))
+    return g.select("cut", *CUTS, "trips", dbl("rev").alias("revenue"),
+                    per_minute("rev", "secs").alias("revenue_per_min"))

@@ -169,3 +169,23 @@ def test_interrupted_build_resumes_finished_layers(spark, scratch):
     assert resumed.metrics["staged"] == {"reused": True} and "rows" in resumed.metrics["fact_trips"]
     got = {r["reason"]: r["nb_trips"] for r in resumed.table("data_quality").collect()}
     assert got[C.FUNNEL_REASON_OUTPUT] == EXPECTED_0001[C.FUNNEL_REASON_OUTPUT]
+
+
+def test_dedup_with_a_hot_key_holding_a_third_of_the_rows(spark):
+    """One trip key repeated for a third of the input: collapsed on the map side
+    (partial aggregate per input partition) and still exact."""
+    n = 30000
+    base = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 7 + 2).cast("int")).alias("vendor_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("timestamp").cast("timestamp_ntz")
+         .alias("pickup_ts"),
+        F.lit(None).cast("timestamp_ntz").alias("dropoff_ts"),
+        F.lit(1).alias("pu_location_id"), F.lit(2).alias("do_location_id"),
+        (F.col("id") % 11).cast("double").alias("total_amount"), F.col("id").alias("trip_ref"))
+    out = clean.dedup(base.repartition(8), FIXTURE_RULES)
+    hot = out.filter((F.col("vendor_id") == 1) & (F.col("pu_location_id") == 1)
+                     & (F.col("pickup_ts") == F.lit(0).cast("timestamp").cast("timestamp_ntz"))).collect()
+    assert len(hot) == 1 and hot[0]["duplicates_removed"] == n // 3 - 1
+    assert hot[0]["total_amount"] == 0.0 and hot[0]["trip_ref"] == 0      # smallest by the total order
+    assert out.count() == 1 + (n - n // 3)
+    assert "partial_min" in _plan(out)
