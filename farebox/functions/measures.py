@@ -52,3 +52,15 @@ def trip_sums() -> list[Column]:
         F.sum("tip_amount").alias("_tip"),
         F.sum("fare_amount").alias("_fare"),
     ]
+
+
+def cube_sums() -> list[Column]:
+    """The same components read from the additive cube (one row per cell)."""
+    return [
+        F.sum("nb_trips").alias("nb_trips"),
+        F.sum("total_amount").alias("_rev"),
+        F.sum("duration_seconds").alias("_secs"),
+        F.sum("distance_miles").alias("_dist"),
+        F.sum("tip_amount").alias("_tip"),
+        F.sum("fare_amount").alias("_fare"),
+    ]

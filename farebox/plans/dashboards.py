@@ -123,11 +123,17 @@ def exclusions_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("funnel_detail", lambda: with_prelude(
-    "SELECT step, reason, CAST(SUM(nb_trips) AS BIGINT) AS trips, SUM(pct_of_raw) AS pct_of_raw "
+    "SELECT step, reason, CAST(SUM(nb_trips) AS BIGINT) AS trips, "
+    "CAST(SUM(nb_trips) AS DOUBLE) / NULLIF(CAST((SELECT SUM(nb_trips) FROM data_quality "
+    f"WHERE category = {_q(C.FUNNEL_CAT_INPUT)}) AS DOUBLE), 0) AS pct_of_raw "
     "FROM data_quality GROUP BY step, reason"))
 def funnel_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per step and reason with their share of the raw rows (share of the
+    summed counts: exact whatever the number of rows per group)."""
     q = lake(spark, sf_dir).table("data_quality")
-    return q.groupBy("step", "reason").agg(F.sum("nb_trips").alias("trips"), F.sum("pct_of_raw").alias("pct_of_raw"))
+    raw = q.filter(F.col("category") == C.FUNNEL_CAT_INPUT).agg(F.sum("nb_trips")).scalar()
+    return (q.groupBy("step", "reason").agg(F.sum("nb_trips").alias("trips"))
+             .withColumn("pct_of_raw", ratio(F.col("trips"), raw)))
 
 
 # Several visuals' cuts in one pass: grouping sets over the cube -------------------------

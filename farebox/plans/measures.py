@@ -298,7 +298,7 @@ SELECT CAST({cat(C.FUNNEL_CAT_INPUT)} AS BIGINT) AS raw_trips,
        CAST({cat(C.FUNNEL_CAT_INPUT)} - {cat(C.FUNNEL_CAT_OUTPUT)} AS BIGINT) AS excluded_trips,
        {s_ratio(cat(C.FUNNEL_CAT_OUTPUT), cat(C.FUNNEL_CAT_INPUT))} AS usable_rate,
        CAST(SUM(nb_trips) AS BIGINT) AS funnel_trips,
-       SUM(pct_of_raw) AS funnel_pct_of_raw,
+       CAST(SUM(nb_trips) AS DOUBLE) / NULLIF(CAST({cat(C.FUNNEL_CAT_INPUT)} AS DOUBLE), 0) AS funnel_pct_of_raw,
        CAST(SUM(nb_trips) FILTER (WHERE category IN ({_q(C.FUNNEL_CAT_REJECT)}, {_q(C.FUNNEL_CAT_ANOMALY)})) AS BIGINT)
          AS rejects_and_anomalies
 FROM data_quality""")
@@ -312,14 +312,16 @@ def quality_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(cat == C.FUNNEL_CAT_INPUT, F.col("nb_trips"))).alias("raw_trips"),
         F.sum(F.when(cat == C.FUNNEL_CAT_OUTPUT, F.col("nb_trips"))).alias("analysed_trips"),
         F.sum("nb_trips").alias("funnel_trips"),
-        F.sum("pct_of_raw").alias("funnel_pct_of_raw"),
+
         F.sum(F.when(cat.isin(C.FUNNEL_CAT_REJECT, C.FUNNEL_CAT_ANOMALY), F.col("nb_trips")))
          .alias("rejects_and_anomalies"),
     )
     return a.select("raw_trips", "analysed_trips",
                     (F.col("raw_trips") - F.col("analysed_trips")).alias("excluded_trips"),
                     ratio("analysed_trips", "raw_trips").alias("usable_rate"),
-                    "funnel_trips", "funnel_pct_of_raw", "rejects_and_anomalies")
+                    # sum of the shares = share of the summed counts (exact integers, one division)
+                    "funnel_trips", ratio("funnel_trips", "raw_trips").alias("funnel_pct_of_raw"),
+                    "rejects_and_anomalies")
 
 
 # --- M26: period title from the calendar dimension ---------------------------------------------

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.measures import dbl, minutes, n_rows, per_minute, ratio, trip_sums
 from .analyses import demand_by_hour_day, productivity, trips_by_date
 from .catalog import register
-from .common import RULES, dim_date, dim_zone, lake, rules, s_min, s_per_min, s_ratio, trips
+from .common import RULES, cells, dim_date, dim_zone, lake, rules, s_min, s_per_min, s_ratio, trips
 from .measures import gap_sql, gap_vs_selection_df, sliced_star
 from .oracle import _ids, _q, with_prelude
 
@@ -33,7 +33,7 @@ FROM trips WHERE trip_category = {_q(INTRA)} GROUP BY hour"""))
 def core_productivity_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Productivity by hour inside the core borough only (removes the mix effect)."""
     intra = rules(spark, sf_dir).category_labels[1]
-    return productivity(trips(spark, sf_dir).filter(F.col("trip_category") == intra), "hour")
+    return productivity(cells(spark, sf_dir).filter(F.col("trip_category") == intra), "hour")
 
 
 # R2 -------------------------------------------------------------------------
@@ -73,11 +73,14 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = rules(spark, sf_dir).category_labels
     a = cat == labels[0]
     i = cat == labels[1]
-    return trips(spark, sf_dir).agg(
-        F.count_if(a).alias("a_n"), F.sum(F.when(a, F.col("total_amount"))).alias("a_rev"),
-        F.sum(F.when(a, F.col("trip_duration_seconds"))).alias("a_secs"),
-        F.count_if(i).alias("c_n"), F.sum(F.when(i, F.col("total_amount"))).alias("c_rev"),
-        F.sum(F.when(i, F.col("trip_duration_seconds"))).alias("c_secs"))
+    n = F.col("nb_trips")
+    return cells(spark, sf_dir).agg(
+        F.coalesce(F.sum(F.when(a, n)), F.lit(0)).alias("a_n"),
+        F.sum(F.when(a, F.col("total_amount"))).alias("a_rev"),
+        F.sum(F.when(a, F.col("duration_seconds"))).alias("a_secs"),
+        F.coalesce(F.sum(F.when(i, n)), F.lit(0)).alias("c_n"),
+        F.sum(F.when(i, F.col("total_amount"))).alias("c_rev"),
+        F.sum(F.when(i, F.col("duration_seconds"))).alias("c_secs"))
 
 
 SEG_SQL = f"""
@@ -142,8 +145,8 @@ FROM s"""))
 def weekend_night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Night trips (0h to 3h) per ordinary day: Saturday/Sunday over Monday-Thursday."""
     cal = dim_date(spark, sf_dir).filter(~F.col("is_holiday")).select("date_id", "day_of_week")
-    night = trips(spark, sf_dir).filter(F.col("hour") < NIGHT_END_HOUR)
-    per_date = night.groupBy("date_id").agg(n_rows().alias("n")).join(F.broadcast(cal), "date_id")
+    night = cells(spark, sf_dir).filter(F.col("hour") < NIGHT_END_HOUR)
+    per_date = night.groupBy("date_id").agg(F.sum("nb_trips").alias("n")).join(F.broadcast(cal), "date_id")
     we = F.col("day_of_week").isin(list(WEEKEND_DAYS))
     wk = F.col("day_of_week").isin(list(WEEKNIGHT_DAYS))
     a = per_date.agg(F.sum(F.when(we, F.col("n"))).alias("we_n"), F.count_if(we).alias("we_d"),
@@ -197,7 +200,7 @@ FROM daily h LEFT JOIN ordinary o ON h.day_of_week = o.day_of_week
 WHERE h.is_holiday"""))
 def holiday_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips on each holiday against the mean of ordinary days of the same weekday."""
-    daily = trips_by_date(trips(spark, sf_dir)).join(F.broadcast(dim_date(spark, sf_dir)), "date_id")
+    daily = trips_by_date(cells(spark, sf_dir)).join(F.broadcast(dim_date(spark, sf_dir)), "date_id")
     ordinary = (daily.filter(~F.col("is_holiday")).groupBy("day_of_week")
                      .agg(ratio(F.sum("n"), n_rows()).alias("same_weekday_mean_trips")))
     hol = daily.filter(F.col("is_holiday"))
@@ -233,7 +236,7 @@ SELECT b.hour AS best_hour, b.rpm AS best_revenue_per_min, w.hour AS worst_hour,
        1 - w.rpm / NULLIF(b.rpm, 0) AS productivity_drop
 FROM b, w"""))
 def productivity_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = productivity(trips(spark, sf_dir), "hour")
+    h = productivity(cells(spark, sf_dir), "hour")
     rpm, hr = F.col("revenue_per_min"), F.col("hour")
     a = h.agg(F.max_by(F.struct("hour", "revenue_per_min"), F.struct(rpm, -hr)).alias("b"),
               F.min_by(F.struct("hour", "revenue_per_min"), F.struct(rpm, hr)).alias("w"))

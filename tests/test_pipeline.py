@@ -117,11 +117,17 @@ def test_plans_broadcast_dims_and_push_filters(spark, lake):
     staged = lake.table("staged")
     p = _plan(clean.silver(clean.valid_trips(staged), lake.zones(), FIXTURE_RULES))
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
-    k4 = analyses.trip_category_mix(spark, SF0001)
+    from farebox.plans import reports
+    fact_q = reports.airport_detail(spark, SF0001)          # needs the dropoff zone: reads the fact
+    txt = spark._jvm.PythonSQLUtils.explainString(fact_q._jdf.queryExecution(), "formatted")
+    assert "PushedFilters: [IsNull(anomaly_reason)" in txt and "fact_trips" in txt
+    schema = txt.split("ReadSchema: ")[1].split("\n")[0]
+    assert "pickup_datetime" not in schema and "dropoff_location_id" in schema
+    k4 = analyses.trip_category_mix(spark, SF0001)          # cube keys only: reads the cube
     txt = spark._jvm.PythonSQLUtils.explainString(k4._jdf.queryExecution(), "formatted")
-    assert "PushedFilters: [IsNull(anomaly_reason)]" in txt
+    assert "trip_cube" in txt and "fact_trips" not in txt
     schema = txt.split("ReadSchema: ")[1].split("\n")[0]
-    assert "pickup_datetime" not in schema and "trip_category" in schema
+    assert "date_id" not in schema and "trip_category" in schema
     for q in (analyses.top_zones, analyses.daily_activity, analyses.tips_by_payment, measures.zone_scatter
               if hasattr(measures, "zone_scatter") else analyses.global_kpis):
         assert "CartesianProduct" not in _plan(q(spark, SF0001))
