@@ -40,18 +40,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that arrives in fewer splits than the cluster has cores.
+    """Spread a scan that arrives in fewer splits than the cluster has cores.
 
     A many-file input is already split and is returned untouched (no extra
     shuffle at scale); a single-row-group file would otherwise run every
-    downstream narrow operator in one task.
+    downstream narrow operator in one task. Hash partitioning on the row's
+    columns is deterministic under retries without the local sort that a
+    round-robin repartition performs first.
     """
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()
     except Exception:       # no RDD view of the plan (remote session): leave as is
         return df
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(cores, *df.columns) if splits < cores else df
 
 
 def _money(units: Column) -> Column:
