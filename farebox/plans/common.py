@@ -46,16 +46,32 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake(spark, sf_dir).table("trip_cube")
 
 
+_DIMS: dict[tuple, DataFrame] = {}
+
+
+def _dim(spark: SparkSession, kind: str, r: TripRules, build) -> DataFrame:
+    """Dimension DataFrames are immutable: build each once per session and rules
+    (saves the eager analysis of a dozen projections on every query)."""
+    k = (id(spark), kind, repr(r))
+    df = _DIMS.get(k)
+    if df is None:
+        df = _DIMS[k] = build()
+    return df
+
+
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_date(spark, rules(spark, sf_dir))
+    r = rules(spark, sf_dir)
+    return _dim(spark, "date", r, lambda: star.dim_date(spark, r))
 
 
 def dim_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_zone(lake(spark, sf_dir).zones(), rules(spark, sf_dir))
+    lk, r = lake(spark, sf_dir), rules(spark, sf_dir)
+    return _dim(spark, f"zone:{lk.root}", r, lambda: star.dim_zone(lk.zones(), r))
 
 
 def dim_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_payment(spark, rules(spark, sf_dir))
+    r = rules(spark, sf_dir)
+    return _dim(spark, "payment", r, lambda: star.dim_payment(spark, r))
 
 
 def with_totals(df: DataFrame, *cols: str) -> DataFrame:
