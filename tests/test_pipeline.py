@@ -195,3 +195,23 @@ def test_dedup_with_a_hot_key_holding_a_third_of_the_rows(spark):
     assert hot[0]["total_amount"] == 0.0 and hot[0]["trip_ref"] == 0      # smallest by the total order
     assert out.count() == 1 + (n - n // 3)
     assert "partial_min" in _plan(out)
+
+
+def test_pinned_column_overrides_the_visual_grouping(spark):
+    """A measure that pins a column replaces the grouping on that column (and only it)."""
+    rows = measures.airport_revenue_override(spark, SF0001).collect()
+    total = measures.measures_total(spark, SF0001).first()
+    assert len({r["airport_revenue"] for r in rows}) == 1
+    assert rows[0]["airport_revenue"] == total["airport_revenue"]
+    for r in rows:
+        assert abs(r["airport_revenue_share"] - r["airport_revenue"] / r["revenue"]) < 1e-12
+    m4 = measures.trips_per_day_excl_holidays(spark, SF0001).collect()
+    assert {r["is_holiday"] for r in m4} == {True, False}
+    assert len({r["trips_per_day_excl_holidays"] for r in m4}) == 1
+
+
+def test_slicers_restrict_facts_through_dimensions(spark):
+    s = measures.slice_star(spark, SF0001).collect()
+    assert {r["payment_label"] for r in s} == {"Carte bancaire"}
+    full = measures.measures_total(spark, SF0001).first()
+    assert 0 < sum(r["trips"] for r in s) < full["trips"]
