@@ -220,3 +220,19 @@ def cube_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = lake(spark, sf_dir).table("staged")
     return _money_out(hash_sample(staged, ("trip_ref", "pickup_ts", "total_amount"), 0.1).select(*TRIP_OUT))
+
+
+# A8 load audit, from the data itself ---------------------------------------------------
+@register("load_audit", lambda: with_prelude("""
+SELECT source_file, COUNT(*) AS row_count,
+       COUNT(*) FILTER (WHERE reject_reason IS NULL) AS valid_rows,
+       COUNT(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected_rows
+FROM staged GROUP BY source_file"""))
+def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source file: rows loaded, valid and quarantined (the audit log's
+    content, recomputed from the staged table rather than trusted)."""
+    st = lake(spark, sf_dir).table("staged")
+    return st.groupBy("source_file").agg(
+        n_rows().alias("row_count"),
+        F.count_if(F.col("status") == "valid").alias("valid_rows"),
+        F.count_if(F.col("status") == "rejected").alias("rejected_rows"))
