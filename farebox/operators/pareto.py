@@ -63,6 +63,11 @@ def threshold_counts(per_key: DataFrame, value: str, thresholds: Sequence[float]
     rs = running_share(per_key, value, buckets)
     aggs = [F.coalesce(F.sum("n_keys"), F.lit(0)).alias(f"active_{label}")]
     for t in thresholds:
+        pct = round(t * 100)
+        # published definition: keys at or under the threshold, plus the one crossing it
         aggs.append((F.coalesce(F.sum(F.when(F.col("share") <= F.lit(float(t)), F.col("n_keys"))), F.lit(0))
-                     + 1).alias(f"{label}_for_{round(t * 100)}pct"))
+                     + 1).alias(f"{label}_for_{pct}pct"))
+        # keys needed to reach the threshold (differs only when a share equals it exactly)
+        aggs.append((F.coalesce(F.sum(F.when(F.col("share") < F.lit(float(t)), F.col("n_keys"))), F.lit(0))
+                     + 1).alias(f"{label}_to_reach_{pct}pct"))
     return rs.agg(*aggs)

@@ -215,3 +215,12 @@ def test_slicers_restrict_facts_through_dimensions(spark):
     assert {r["payment_label"] for r in s} == {"Carte bancaire"}
     full = measures.measures_total(spark, SF0001).first()
     assert 0 < sum(r["trips"] for r in s) < full["trips"]
+
+
+def test_threshold_exactly_reached(spark):
+    """Shares 0.5, 0.8, 1.0: the published count adds the crossing key even when
+    a share equals the threshold; the `to_reach` count does not."""
+    df = spark.createDataFrame([(1, 5), (2, 3), (3, 2)], "k int, value long")
+    t = threshold_counts(df, "value", (0.5, 0.8), "keys").first()
+    assert (t["keys_for_50pct"], t["keys_to_reach_50pct"]) == (2, 1)
+    assert (t["keys_for_80pct"], t["keys_to_reach_80pct"]) == (3, 2)
