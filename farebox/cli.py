@@ -18,6 +18,8 @@ import glob
 import os
 import sys
 
+from pyspark.sql import functions as F
+
 from .config import TAXI_JANUARY_2019, TripRules
 from .session import file_fingerprint, get_spark
 
@@ -82,7 +84,10 @@ def cmd_analyses(spark, a) -> None:
     for name, fn in sorted(all_queries().items()):
         if fn.__module__.endswith(".events") or (only and name not in only):
             continue          # `events` analyses read the events table, not trips
-        fn(spark, LAKE_NAME).write.mode("overwrite").option("header", True).csv(f"{a.out}/{name}")
+        df = fn(spark, LAKE_NAME)
+        if a.round is not None:       # display rounding only; computations stay exact
+            df = df.withColumns({c: F.round(c, a.round) for c, t in df.dtypes if t == "double"})
+        df.write.mode("overwrite").option("header", True).csv(f"{a.out}/{name}")
         print(f"[analyses] {name}")
 
 
@@ -110,6 +115,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out")
     p.add_argument("--only")
     p.add_argument("--fraction", type=float)
+    p.add_argument("--round", type=int, help="round double outputs to N decimals (display)")
     p.add_argument("--force", action="store_true")
     p.add_argument("--period", help="YYYY-MM")
     p.add_argument("--period-start")

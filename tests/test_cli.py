@@ -31,6 +31,9 @@ def test_cli_pipeline_analyses_export(spark, scratch, capsys):
               spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/quality_funnel").collect()}
     ref = {r["reason"]: r["nb_trips"] for r in fixture_lake(spark, SF0001).table("data_quality").collect()}
     assert funnel == ref
+    cli.main(["analyses", *base, "--out", f"{scratch}/rounded", "--only", "global_kpis", "--round", "2"])
+    r = spark.read.option("header", True).option("inferSchema", True).csv(f"{scratch}/rounded/global_kpis").first()
+    assert r["avg_basket"] == round(want["avg_basket"], 2)
     cli.main(["export", *base, "--out", f"{scratch}/bi"])
     assert len(glob.glob(f"{scratch}/bi/dim_zone/part-*.parquet")) == 1
     assert spark.read.parquet(f"{scratch}/bi/fact_trips_agg").count() == \
