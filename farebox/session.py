@@ -51,6 +51,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:      # no JVM context (e.g. a remote session): conf only
         sc = None
     if not d:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(a machine-local temporary folder is only used in local mode)")
         d = _PRIVATE_DIRS.get(id(spark)) or tempfile.mkdtemp(prefix="farebox-ckpt-")
         _PRIVATE_DIRS[id(spark)] = d
     if sc is not None and not sc._jsc.sc().getCheckpointDir().isDefined():
