@@ -94,3 +94,31 @@ def test_hourly_windows_equal_batch_for_closed_windows(spark, files, scratch):
     closed = want.filter(F.col("window_end") <= F.lit(first_max).cast("timestamp") - F.expr("INTERVAL 1 HOUR"))
     assert closed.join(got, key, "left_anti").count() == 0
     assert got.count() > 0
+
+
+def test_dedup_across_batches_inside_and_outside_the_watermark(spark, scratch):
+    """Batch 1 sees 10:00 and 15:00 (watermark 13:00 with a 2 h delay). Batch 2
+    brings a copy of 15:00 (inside: dropped as a duplicate), a copy of 10:00
+    (behind the watermark: dropped as late) and a new 14:00 trip (kept)."""
+    cols = ("VendorID string, tpep_pickup_datetime string, tpep_dropoff_datetime string, PULocationID string, "
+            "DOLocationID string, total_amount string")
+    names = [f.name for f in ingest.TLC_TRIP_CSV_SCHEMA]
+
+    def csv(rows, path):
+        df = spark.createDataFrame(rows, cols)
+        write_csv(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
+                              for c in names]), path)
+
+    src = f"{scratch}/in"
+    csv([("1", "2019-01-01 10:00:00", "2019-01-01 10:20:00", "1", "2", "10.0"),
+         ("1", "2019-01-01 15:00:00", "2019-01-01 15:20:00", "1", "2", "10.0")], f"{src}/a.csv")
+    os.utime(f"{src}/a.csv", (1_000_000_000, 1_000_000_000))     # processed first
+    csv([("1", "2019-01-01 15:00:00", "2019-01-01 15:20:00", "1", "2", "11.0"),
+         ("1", "2019-01-01 10:00:00", "2019-01-01 10:20:00", "1", "2", "11.0"),
+         ("1", "2019-01-01 14:00:00", "2019-01-01 14:20:00", "1", "2", "10.0")], f"{src}/b.csv")
+    stream = S.dedup_within_watermark(S.read_trip_stream(spark, src, max_files_per_trigger=1), FIXTURE_RULES)
+    q = (stream.writeStream.format("parquet").option("path", f"{scratch}/out")
+         .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(str(r["pickup_ts"]) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert got == ["2019-01-01 10:00:00", "2019-01-01 14:00:00", "2019-01-01 15:00:00"]
