@@ -7,9 +7,10 @@
 * S3 ``route_batches``: ``foreachBatch`` writes valid rows and the quarantine
   from one micro-batch, plus an audit row keyed on the batch id, so a replayed
   batch is not counted twice.
-* S4 ``hourly_zone_demand``: tumbling one-hour windows per pickup zone,
-  append mode. The period rule runs *before* the watermark: a stray future
-  timestamp would otherwise advance the watermark and drop later valid rows.
+* S4 ``hourly_zone_demand``: tumbling one-hour windows per pickup zone, in
+  append mode (closed windows) or update mode with an idempotent per-batch
+  upsert (every window). The period rule runs *before* the watermark: a stray
+  future timestamp would otherwise advance the watermark and drop later valid rows.
 """
 
 from __future__ import annotations
@@ -116,3 +117,31 @@ def run_hourly_zone_demand(spark: SparkSession, source_dir: str, rules: TripRule
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
+
+
+def run_hourly_zone_demand_updates(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str,
+                                   checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
+    """S4 in update mode: every micro-batch writes the windows it changed into its
+    own ``batch_id`` partition (overwritten on replay, so idempotent). Open
+    windows are visible too; ``latest_hourly_zone_demand`` reads the newest
+    version of each (window, zone)."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("batch_id").parquet(out_path))
+
+    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger=1), rules, delay)
+         .writeStream.outputMode("update").foreachBatch(handle)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def latest_hourly_zone_demand(spark: SparkSession, out_path: str) -> DataFrame:
+    """Newest version of each (window, zone) written by the update-mode query
+    (an aggregate per key: no window over the whole table)."""
+    u = spark.read.parquet(out_path)
+    keys = ["window_start", "window_end", "pu_location_id"]
+    latest = u.groupBy(*keys).agg(F.max_by(F.struct("nb_trips", "revenue"), F.col("batch_id")).alias("v"))
+    return latest.select(*keys, F.col("v.nb_trips").alias("nb_trips"), F.col("v.revenue").alias("revenue"))

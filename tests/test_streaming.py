@@ -122,3 +122,19 @@ def test_dedup_across_batches_inside_and_outside_the_watermark(spark, scratch):
     q.awaitTermination()
     got = sorted(str(r["pickup_ts"]) for r in spark.read.parquet(f"{scratch}/out").collect())
     assert got == ["2019-01-01 10:00:00", "2019-01-01 14:00:00", "2019-01-01 15:00:00"]
+
+
+def test_hourly_windows_update_mode_equal_batch_for_every_window(spark, files, scratch):
+    a, b, _, _ = files
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    shutil.copyfile(a, f"{src}/trips_a.csv")
+    shutil.copyfile(b, f"{src}/trips_b.csv")
+    S.run_hourly_zone_demand_updates(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt")
+    got = S.latest_hourly_zone_demand(spark, f"{scratch}/out")
+    want = S.hourly_zone_demand(ingest.read_trip_csv(spark, src), FIXTURE_RULES)
+    key = ["window_start", "pu_location_id"]
+    assert got.count() == want.count()
+    assert got.join(want, key, "full_outer").filter(
+        (got.nb_trips != want.nb_trips) | (got.revenue != want.revenue)
+        | got.nb_trips.isNull() | want.nb_trips.isNull()).count() == 0
