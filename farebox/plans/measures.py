@@ -23,14 +23,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..config import TripRules
 from ..functions.measures import dbl, minutes, mph, n_rows, per_minute, ratio
 from ..operators import cube as cube_ops
 from ..operators import star
 from .catalog import register
-from .common import RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio, with_totals
-from ..config import TripRules
+from .common import (RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio,
+                     with_totals)
 from .oracle import _q, with_prelude
 
+# Stand-in rule values used by the SQL oracles (Spark code takes them from the lake).
 CARD = RULES.card_payment_type
 AIRPORT = RULES.category_labels[0]
 
