@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import TripRules
 from ..functions import rules as R
+from .joins import broadcast_if_small
 
 STATUS_VALID = "valid"
 STATUS_REJECTED = "rejected"
@@ -65,8 +66,9 @@ def add_trip_metrics(df: DataFrame) -> DataFrame:
 def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     """Left joins with the zone lookup in its two roles (pickup, dropoff).
 
-    The lookup holds one row per zone, so it is broadcast: the trip side is
-    never shuffled for enrichment.
+    The lookup holds one row per zone and is broadcast once its estimated size
+    is checked (the trip side is then never shuffled for enrichment); a lookup
+    over the limit falls back to a shuffled join.
     """
     pu = zones.select(F.col("location_id").alias("pu_location_id"),
                       F.col("borough").alias("pickup_borough"),
@@ -74,8 +76,8 @@ def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     do = zones.select(F.col("location_id").alias("do_location_id"),
                       F.col("borough").alias("dropoff_borough"),
                       F.col("zone").alias("dropoff_zone"))
-    return (df.join(F.broadcast(pu), "pu_location_id", "left")
-              .join(F.broadcast(do), "do_location_id", "left"))
+    return (df.join(broadcast_if_small(pu), "pu_location_id", "left")
+              .join(broadcast_if_small(do), "do_location_id", "left"))
 
 
 def silver(valid: DataFrame, zones: DataFrame, rules: TripRules) -> DataFrame:

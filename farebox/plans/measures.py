@@ -27,6 +27,7 @@ from ..config import TripRules
 from ..functions.measures import dbl, minutes, mph, n_rows, per_minute, ratio
 from ..operators import cube as cube_ops
 from ..operators import star
+from ..operators.joins import broadcast_if_small
 from .catalog import register
 from .common import (RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio,
                      with_totals)
@@ -102,7 +103,7 @@ def sliced_star(spark: SparkSession, sf_dir: str, needed: tuple[str, ...] = (),
     if need & set(ZONE_ATTRS):
         z = dim_zone(spark, sf_dir).select(F.col("location_id").alias("pickup_location_id"),
                                            *[c for c in ZONE_ATTRS if c in need])
-        f = f.join(F.broadcast(z), "pickup_location_id", "left")
+        f = f.join(broadcast_if_small(z), "pickup_location_id", "left")
     if need & set(HOUR_ATTRS):
         h = star.dim_hour(spark).select("hour", *[c for c in HOUR_ATTRS if c in need])
         f = f.join(F.broadcast(h), "hour", "left")

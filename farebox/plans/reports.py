@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import dbl, minutes, n_rows, per_minute, ratio, trip_sums
 from .analyses import demand_by_hour_day, productivity, trips_by_date
+from ..operators.joins import broadcast_if_small
 from .catalog import register
 from .common import RULES, cells, dim_date, dim_zone, lake, rules, s_min, s_per_min, s_ratio, trips
 from .measures import gap_sql, gap_vs_selection_df, sliced_star
@@ -60,7 +61,7 @@ def airport_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.col("dropoff_location_id"))
     g = t.groupBy(aid.alias("airport_id")).agg(*trip_sums())
     z = dim_zone(spark, sf_dir).select(F.col("location_id").alias("airport_id"), F.col("zone").alias("airport_zone"))
-    return (g.join(F.broadcast(z), "airport_id", "left")
+    return (g.join(broadcast_if_small(z), "airport_id", "left")
              .select("airport_id", "airport_zone", "nb_trips", ratio("_rev", "nb_trips").alias("avg_basket"),
                      per_minute("_rev", "_secs").alias("revenue_per_min"),
                      F.try_divide(minutes("_secs"), dbl("nb_trips")).alias("avg_duration_min")))

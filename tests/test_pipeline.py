@@ -224,3 +224,20 @@ def test_threshold_exactly_reached(spark):
     t = threshold_counts(df, "value", (0.5, 0.8), "keys").first()
     assert (t["keys_for_50pct"], t["keys_to_reach_50pct"]) == (2, 1)
     assert (t["keys_for_80pct"], t["keys_to_reach_80pct"]) == (3, 2)
+
+
+def test_broadcast_only_behind_a_size_check(spark, lake):
+    from farebox.operators.joins import BROADCAST_LIMIT_BYTES, broadcast_if_small, estimated_bytes
+    from farebox.session import session_conf
+    zones = lake.zones()
+    assert 0 < estimated_bytes(zones) < BROADCAST_LIMIT_BYTES     # an upper-bound estimate, no job run
+    trips = lake.table("silver_trips").select("pu_location_id")
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1",
+                      spark__sql__adaptive__enabled="false"):
+        small = trips.join(broadcast_if_small(zones.withColumnRenamed("location_id", "pu_location_id")),
+                           "pu_location_id", "left")
+        over = trips.join(broadcast_if_small(zones.withColumnRenamed("location_id", "pu_location_id"), 1),
+                          "pu_location_id", "left")
+        assert "BroadcastHashJoin" in _plan(small)
+        assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
+        assert small.count() == over.count() == trips.count()
