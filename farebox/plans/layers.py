@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.measures import dbl, n_rows
 from ..operators import cube, star
-from ..sources.ingest import hash_sample
 from ..sources.schemas import MONEY_COLUMNS
 from .catalog import register
 from .common import dim_date, dim_payment, dim_zone, fact, lake, rules
@@ -216,10 +215,37 @@ def cube_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # A4 hash sample (engine-specific hash: rows-only check) --------------------------------
-@register("sample_hash")
+# A4 deterministic sample ------------------------------------------------------------
+# Fixed values of the portable sample hash (multipliers and modulus).
+SAMPLE_MULT_REF = 2654435761
+SAMPLE_MULT_SECONDS = 40503
+SAMPLE_MULT_CENTS = 9176
+SAMPLE_BUCKETS = 10000
+SAMPLE_KEEP = 1000          # 10 %
+
+
+def _portable_hash() -> "F.Column":
+    """Integer hash of (trip_ref, pickup second, total cents): the same value in
+    any engine and any session time zone (so the sample can be checked), stable
+    under retries and repartitioning. ``sources.ingest.hash_sample`` (xxhash64)
+    is the default elsewhere."""
+    secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("pickup_ts"))
+    cents = F.floor(F.col("total_amount") * 100).cast("bigint")
+    return F.pmod(F.col("trip_ref") * SAMPLE_MULT_REF + secs * SAMPLE_MULT_SECONDS + cents * SAMPLE_MULT_CENTS,
+                  F.lit(SAMPLE_BUCKETS))
+
+
+@register("sample_hash", lambda: with_prelude(f"""
+SELECT {_money_sql(TRIP_OUT)} FROM staged
+WHERE ((trip_ref * {SAMPLE_MULT_REF}
+        + date_diff('second', TIMESTAMP '1970-01-01 00:00:00', pickup_ts) * {SAMPLE_MULT_SECONDS}
+        + CAST(FLOOR(total_amount * 100) AS BIGINT) * {SAMPLE_MULT_CENTS}) % {SAMPLE_BUCKETS} + {SAMPLE_BUCKETS})
+      % {SAMPLE_BUCKETS} < {SAMPLE_KEEP}"""))
 def sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 10 % sample of the staged rows chosen by the rows' keys (the sample is the
+    feature): the same rows on every run."""
     staged = lake(spark, sf_dir).table("staged")
-    return _money_out(hash_sample(staged, ("trip_ref", "pickup_ts", "total_amount"), 0.1).select(*TRIP_OUT))
+    return _money_out(staged.filter(_portable_hash() < SAMPLE_KEEP).select(*TRIP_OUT))
 
 
 # A8 load audit, from the data itself ---------------------------------------------------
