@@ -53,11 +53,17 @@ GROUP BY a.airport_id, z.zone""")
 
 
 @register("airport_detail", _airport_detail_sql)
-def airport_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per airport: a trip is attributed to its pickup airport, else its dropoff airport."""
+def airport_detail(spark: SparkSession, sf_dir: str, attribution: str = "either") -> DataFrame:
+    """Per airport. ``attribution="either"``: a trip counts for its pickup airport,
+    else its dropoff airport; ``"pickup"``: only trips picked up at an airport."""
     r = rules(spark, sf_dir)
+    airports = list(r.airport_zone_ids)
     t = trips(spark, sf_dir).filter(F.col("trip_category") == r.category_labels[0])
-    aid = F.when(F.col("pickup_location_id").isin(list(r.airport_zone_ids)), F.col("pickup_location_id")) \
+    if attribution == "pickup":
+        t = t.filter(F.col("pickup_location_id").isin(airports))
+    elif attribution != "either":
+        raise ValueError(f"attribution must be 'either' or 'pickup', not {attribution!r}")
+    aid = F.when(F.col("pickup_location_id").isin(airports), F.col("pickup_location_id")) \
            .otherwise(F.col("dropoff_location_id"))
     g = t.groupBy(aid.alias("airport_id")).agg(*trip_sums())
     z = dim_zone(spark, sf_dir).select(F.col("location_id").alias("airport_id"), F.col("zone").alias("airport_zone"))

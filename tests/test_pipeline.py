@@ -241,3 +241,11 @@ def test_broadcast_only_behind_a_size_check(spark, lake):
         assert "BroadcastHashJoin" in _plan(small)
         assert "BroadcastHashJoin" not in _plan(over) and "SortMergeJoin" in _plan(over)
         assert small.count() == over.count() == trips.count()
+
+
+def test_airport_attribution_parameter(spark):
+    from farebox.plans import reports
+    either = {r["airport_id"]: r["nb_trips"] for r in reports.airport_detail(spark, SF0001).collect()}
+    pickup = {r["airport_id"]: r["nb_trips"] for r in reports.airport_detail(spark, SF0001, "pickup").collect()}
+    assert set(pickup) <= set(either) and all(pickup[k] <= either[k] for k in pickup)
+    assert sum(pickup.values()) < sum(either.values())
