@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold a QUERIES and an ORACLES table.
-MODULES = ("langid", "ngrams", "substrings")
+MODULES = ("records", "langid", "ngrams", "substrings")
 
 
 def _modules():
