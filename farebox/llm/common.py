@@ -24,7 +24,7 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 #: Bytes that separate words (fixed values).
 SPACES = (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20)
 #: Bytes of text handled by one numpy pass (at least one whole document).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True

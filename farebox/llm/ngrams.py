@@ -38,7 +38,7 @@ from .common import crc_mod, hashed_words, importable, mix, n_groups, table
 END = np.uint64(0x2545F4914F6CDD1D)      # the end token, and the state before a text
 PAIR = np.uint64(0xA0761D6478BD642F)
 BINS = 64                                # words by floor(log2(count))
-BATCH_BYTES = 6 << 20                    # of stored input; more on larger executors
+BATCH_BYTES = 4 << 20                    # of stored input; more on larger executors
 
 _REQUEST = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("level", pa.int32()),
                       ("keys", pa.binary()), ("counts", pa.binary())])
