@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold a QUERIES and an ORACLES table.
-MODULES = ("toxicity", "records", "simhash", "mixing", "langid", "ngrams", "substrings", "arc")
+MODULES = ("toxicity", "records", "simhash", "mixing", "decontaminate", "langid", "ngrams", "substrings", "arc")
 
 
 def _modules():
