@@ -42,16 +42,25 @@ WORD = "[^\\p{L}]+"
 _LAST = (1 << 63) - 1
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: a lambda evaluates outer expressions anew for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def signatures(text: Column) -> Column:
     """Distinct sorted signature hashes of a text."""
     gap = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), WORD, " ")), F.lit(" "))
     # pieces between runs of anchors: each holds the words after its run; the first those before any
     runs = F.split(gap, "(?: (?:" + "|".join(sorted(set(ANCHORS))) + "))+(?= )")
     runs = F.filter(F.transform(runs, lambda p: F.trim(p)), lambda p: p != "")
+
     # anchors end a piece, but a chain reads on: a one-word piece takes the next piece's first word
-    chains = F.transform(runs, lambda p, i: F.when(F.instr(p, " ") > 0, F.substring_index(p, " ", CHAIN)).otherwise(
-        F.concat_ws(" ", p, F.substring_index(F.get(runs, i + 1), " ", CHAIN - 1))))
-    return F.array_sort(F.array_distinct(F.transform(chains, lambda c: F.xxhash64(c))))
+    def chain(p, after):
+        return F.when(F.instr(p, " ") > 0, F.substring_index(p, " ", CHAIN)).otherwise(
+            F.concat_ws(" ", p, F.substring_index(after, " ", CHAIN - 1)))
+
+    chains = _let(runs, lambda r: F.zip_with(r, F.slice(r, F.lit(2), F.greatest(F.size(r), F.lit(1))), lambda p, after: F.when(p.isNotNull(), F.xxhash64(chain(p, after)))))
+    return F.array_sort(F.array_distinct(chains))
 
 
 def fingerprint(sigs: Column) -> Column:
@@ -59,10 +68,12 @@ def fingerprint(sigs: Column) -> Column:
 
 
 def jaccard(a: Column, b: Column) -> Column:
-    """Likeness of two sets; sets whose lengths alone rule out overlap cost nothing."""
-    both = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - both
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(both / union)
+    """Likeness of two sets; an empty one is like an empty one only."""
+    def like(sizes):
+        union = sizes[0] + sizes[1] - sizes[2]
+        return F.when(union == 0, 1.0).otherwise(sizes[2] / union)
+
+    return _let(F.array(F.size(a), F.size(b), F.size(F.array_intersect(a, b))), like)
 
 
 # ---- near-duplicates ---------------------------------------------------------------
