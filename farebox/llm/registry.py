@@ -13,8 +13,11 @@ def _modules():
 
 
 def queries() -> dict:
-    return {k: f for m in _modules() for k, f in m.QUERIES.items()}
+    import corpus_pipeline
+    return {k: f for m in _modules() for k, f in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracles() -> dict[str, str]:
-    return {k: s for m in _modules() for k, s in m.ORACLES.items()}
+    import corpus_pipeline
+    own = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {k: s for m in _modules() for k, s in m.ORACLES.items()} | own
