@@ -218,9 +218,10 @@ def score(docs: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
 def score_texts(docs: DataFrame, held_out, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Scores every row of ``docs`` (doc_id, text); ``held_out`` rows teach nothing."""
     importable(docs.sparkSession)
+    held = F.coalesce(held_out, F.lit(False))
     batches = n_groups(docs.select("text"), batch_bytes)
     buckets = batches
-    dealt = docs.select(F.col("doc_id"), F.col("text"), held_out.alias("held_out"), (~held_out).alias("training"),
+    dealt = docs.select(F.col("doc_id"), F.col("text"), held.alias("held_out"), (~held).alias("training"),
                         F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches)).alias("batch"))
     asked = dealt.groupBy("batch").applyInArrow(lambda t: ask(t, buckets), _ddl(_REQUEST))
     answered = asked.groupBy("bucket").applyInArrow(answer, _ddl(_ANSWER))
