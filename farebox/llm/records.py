@@ -17,9 +17,9 @@ manifest table names are ever read. Files go through pyarrow's file systems to
 the folder given (the query: below ``spark.checkpoint.dir``).
 
 Encoding: byte-level BPE never joins across the place before a lone space that
-stands between two non-space characters, so texts are cut there, and each
-distinct piece is encoded once per task by the tokenizers library; a bounded table keeps
-results. A text that holds one of the tokenizer's special strings is encoded
+stands between two non-space characters (nor in two places like it), so texts
+are cut there, and the tokenizers library encodes the pieces; a bounded table
+keeps the ids of those seen last. A text that holds one of the tokenizer's special strings is encoded
 in one piece. The ids equal those of whole texts (tested).
 
 Defined cases: a null or empty text has the end id only; null doc_ids sort last
@@ -35,6 +35,7 @@ import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,7 +50,7 @@ from .common import importable, n_groups, scratch_dir, table, written
 NULL_ID = -(1 << 63)
 END_ID = 0
 SHARD_BYTES = 16 << 20
-CACHE_PIECES = 400_000            # encoded pieces a task keeps; then it starts afresh
+CACHE_PIECES = 700_000            # encoded pieces that a worker's table holds: some 140 MB, twice at most
 _MASK = 0xA282EAD8
 _BLOCK = 1024                     # bytes whose checksum is computed in step with all other blocks
 
@@ -125,48 +126,109 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # ---- encoding ------------------------------------------------------------------
 
+class _Pieces(dict):
+    """Ids of pieces as bytes. A full table becomes the old one, whose entries return on use."""
+
+    def __init__(self, library, code: str, plain: bool):
+        super().__init__()
+        self.library, self.code, self.old = library, code, {}
+        self.model = library.model if plain else None
+
+    def _ids(self, piece: str) -> list[int]:
+        if self.model and piece.lstrip(" ").isalpha() and piece[1:2] != " ":
+            # one match of the tokenizer's pattern: straight to its merges, in its alphabet for bytes
+            return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_ALPHABET))]
+        return self.library.encode(piece, add_special_tokens=False).ids
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = array(self.code, self._ids(piece)).tobytes()
+        if len(self) >= CACHE_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """Byte-level BPE's characters for bytes: themselves if they are visible, else from U+0100 on in order."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in visible else next(others)) for b in range(256)}
+
+
+_ALPHABET = _byte_alphabet()
+
+
 class Encoder:
-    """Token ids as bytes; pieces of text are encoded once and remembered."""
+    """Token ids as little-endian bytes; pieces of text are encoded once and remembered."""
 
     def __init__(self, path: str, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
         self.library = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.kind = "<u2" if code == "H" else "<u4"
         self.end = np.array([end_id], self.kind).tobytes()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+        split = self.library.pre_tokenizer
+        #: other kinds than byte-level BPE get whole texts
+        self.cuts = (self.library.normalizer is None and isinstance(self.library.model, models.BPE)
+                     and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space)
+        self.known = _Pieces(self.library, code, self.cuts)
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        """Cuts before each space whose neighbours aren't white space."""
-        parts = text.split(" ")
-        if len(parts) == 1:
-            return parts
-        out, run = [], parts[0]
-        for p in parts[1:]:
-            # a cut needs a non-space before and behind; else the space stays inside the piece
-            if p and run and not p[0].isspace() and not run[-1].isspace():
+        """Cuts text where the tokenizer's own pattern always cuts.
+
+        Those are the place before a space and both sides of a line feed, if their
+        neighbours aren't white space, and the place between a letter and a last comma or full stop.
+        """
+        out: list[str] = []
+        for i, line in enumerate(text.split("\n")):
+            parts = line.split(" ")
+            run = parts[0]
+            if i:
+                # the line feed stands alone between two non-spaces, else it stays inside a piece
+                if run and out and not run[0].isspace() and not out[-1][-1].isspace():
+                    out.append("\n")
+                else:
+                    run = f"{out.pop() if out else ''}\n{run}"
+            for p in parts[1:]:
+                if p and run and not p[0].isspace() and not run[-1].isspace():
+                    if run[-1] in ",." and run[-2:-1].isalpha():
+                        out += (run[:-1], run[-1])
+                    else:
+                        out.append(run)
+                    run = " " + p
+                else:
+                    run = f"{run} {p}"
+            if run[-1:] in (",", ".") and run[-2:-1].isalpha():
+                out += (run[:-1], run[-1])
+            elif run:
                 out.append(run)
-                run = " " + p
-            else:
-                run = f"{run} {p}"
-        out.append(run)
         return out
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id."""
-        cut = [[] if not t else None if self.special and self.special.search(t) else self.pieces(t) for t in texts]
-        if len(self.known) > CACHE_PIECES:
-            self.known.clear()
-        new = list({p for c in cut if c for p in c}.difference(self.known))
-        self.known.update(zip(new, self._encode(new), strict=True))
-        get = self.known.__getitem__
-        return [(self._encode([t])[0] if c is None else b"".join(map(get, c))) + self.end for t, c in zip(texts, cut, strict=True)]
+        get, end, special = self.known.__getitem__, self.end, self.special
+        return [(b"".join(map(get, self.pieces(t))) if self.cuts and not (special and special.search(t)) else self.whole(t)) + end if t else end for t in texts]
+
+    def whole(self, text: str) -> bytes:
+        return array(self.known.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+_encoders: dict[tuple, Encoder] = {}
+
+
+def encoder(path: str, end_id: int = END_ID) -> Encoder:
+    """One encoder per Python worker, for all its tasks."""
+    key = (path, end_id)
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, end_id)
+    return _encoders[key]
 
 
 # ---- files ---------------------------------------------------------------------
@@ -255,7 +317,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             .withColumn("part", F.spark_partition_id()))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, attempt, part = Encoder(tokenizer, end_id), 0, uuid.uuid4().hex[:12], 0
+        codec, shard, attempt, part = encoder(tokenizer, end_id), 0, uuid.uuid4().hex[:12], 0
         queue, queued = [], 0
 
         def close() -> pa.RecordBatch:
@@ -267,8 +329,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             for name, content in ((at, data), (at.removesuffix(".rec") + ".idx", index.astype("<i8").tobytes())):
                 with fs.open_output_stream(name) as f:
                     f.write(content)
-            width = int(encoder.kind[-1])
-            row = (part, shard, path, len(queue), (queued - 8 * len(queue)) // width, encoder.kind)
+            width = int(codec.kind[-1])
+            row = (part, shard, path, len(queue), (queued - 8 * len(queue)) // width, codec.kind)
             shard, queue, queued = shard + 1, [], 0
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, _MANIFEST_TYPES, strict=True)], names=_MANIFEST_NAMES)
 
@@ -276,7 +338,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = EN
             for i in range(0, batch.num_rows, 256):
                 piece = batch.slice(i, 256)
                 part = piece.column(2)[0].as_py()
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.batch(piece.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(piece.column(0).to_pylist(), codec.batch(piece.column(1).to_pylist()), strict=True):
                     queue.append(struct.pack("<q", NULL_ID if doc_id is None else doc_id) + ids)
                     queued += len(queue[-1])
                     if queued >= shard_bytes:
