@@ -3,24 +3,25 @@
     python -m farebox.cli pipeline --trips DIR_OR_CSV [...] --zones ZONES.csv --work DIR [--period 2019-01]
     python -m farebox.cli analyses --work DIR --zones ZONES.csv --out DIR [--only a,b]
     python -m farebox.cli export   --work DIR --zones ZONES.csv --out DIR
+    python -m farebox.cli sql      --work DIR --zones ZONES.csv --sql FILE --out DIR
 
 ``pipeline`` loads each CSV file once into bronze (audit gate; ``--force`` to
 reload, ``--fraction`` for a stable hash sample) and builds the gold tables.
+It leaves gold tables and dimensions under ``--work``/gold.
 ``analyses`` runs every registered query over that build and writes one CSV
-folder per result. Rule parameters default to the January-2019 taxi month.
+folder per result; ``sql`` runs the named queries of a file. Rule parameters default to the January-2019 taxi month.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
-import glob
-import os
 import sys
 
 from pyspark.sql import functions as F
 
-from .config import TAXI_JANUARY_2019, TripRules
+from .config import TAXI_JANUARY_2019, TripRules, january_holidays
+from .operators.cube import CUBE_GRAIN, analysed
 from .session import file_fingerprint, get_spark
 
 LAKE_NAME = "cli"
@@ -37,6 +38,9 @@ def _rules(a: argparse.Namespace) -> TripRules:
         kw["period_start"] = dt.date.fromisoformat(a.period_start)
     if a.period_end:
         kw["period_end"] = dt.date.fromisoformat(a.period_end)
+    if a.period or a.period_start or a.period_end:
+        last = kw.get("period_end", r.period_end) - dt.timedelta(days=1)
+        kw["holidays"] = january_holidays(kw.get("period_start", r.period_start).year, last.year)
     if a.airports:
         kw["airport_zone_ids"] = tuple(int(x) for x in a.airports.split(","))
     if a.core:
@@ -44,22 +48,15 @@ def _rules(a: argparse.Namespace) -> TripRules:
     return TripRules(**{**r.__dict__, **kw})
 
 
-def _files(paths: list[str]) -> list[str]:
-    out: list[str] = []
-    for p in paths:
-        out += sorted(glob.glob(os.path.join(p, "*.csv"))) if os.path.isdir(p) else [p]
-    return out
-
-
 def _lake(spark, a: argparse.Namespace):
     from .plans.common import register_lake
     from .plans.lake import TripLake
-    from .sources.ingest import BronzeIngest, read_zone_csv
+    from .sources.ingest import BRONZE_ONLY, BronzeIngest, read_zone_csv
 
     bi = BronzeIngest(spark, f"{a.work}/bronze", f"{a.work}/audit")
     rules = _rules(a)
     fp = "|".join([file_fingerprint(spark, f"{a.work}/bronze"), file_fingerprint(spark, a.zones)])
-    lake = TripLake(spark, lambda: bi.bronze().drop("pickup_year", "pickup_month", "ingested_at"),
+    lake = TripLake(spark, lambda: bi.bronze().drop(*BRONZE_ONLY),
                     lambda: read_zone_csv(spark, a.zones), rules, fp)
     register_lake(LAKE_NAME, lake)
     return bi, lake
@@ -67,10 +64,14 @@ def _lake(spark, a: argparse.Namespace):
 
 def cmd_pipeline(spark, a) -> None:
     bi, _ = _lake(spark, a)
-    for f in _files(a.trips):
-        print(bi.ingest(f, sample_fraction=a.fraction, force=a.force))
+    for loaded in bi.ingest_all(a.trips, sample_fraction=a.fraction, force=a.force) if a.trips else []:
+        print(loaded)
     _, lake = _lake(spark, a)             # fingerprint after the loads
     lake.build(force=a.force)
+    for name in ("fact_trips", "trip_cube", "data_quality"):
+        lake.table(name).write.mode("overwrite").parquet(f"{a.work}/gold/{name}")
+    for name, df in _dims(spark, lake).items():
+        df.write.mode("overwrite").parquet(f"{a.work}/gold/{name}")
     for name, m in lake.metrics.items():
         print(f"[build] {name:<13} {m}")
     lake.table("data_quality").orderBy("step_order", "reason").show(50, truncate=False)
@@ -92,28 +93,44 @@ def cmd_analyses(spark, a) -> None:
 
 
 def cmd_export(spark, a) -> None:
-    from .operators import star
     from .sources.ingest import export_table
     _, lake = _lake(spark, a)
     lake.build()
-    r = lake.rules
-    export_table(lake.table("trip_cube"), f"{a.out}/fact_trips_agg", range_key="date_id")
-    dims = {"dim_date": star.dim_date(spark, r), "dim_hour": star.dim_hour(spark),
-            "dim_zone": star.dim_zone(lake.zones(), r), "dim_payment": star.dim_payment(spark, r),
-            "data_quality": lake.table("data_quality")}
-    for name, df in dims.items():
+    export_table(lake.table("trip_cube"), f"{a.out}/fact_trips_agg", range_key=list(CUBE_GRAIN))
+    for name, df in {**_dims(spark, lake), "data_quality": lake.table("data_quality")}.items():
         export_table(df, f"{a.out}/{name}", single_file=True)
         print(f"[export] {name}")
 
 
-def main(argv: list[str] | None = None) -> None:
+def _dims(spark, lake) -> dict:
+    from .operators import star
+    r = lake.rules
+    return {"dim_date": star.dim_date(spark, r), "dim_hour": star.dim_hour(spark),
+            "dim_zone": star.dim_zone(lake.zones(), r), "dim_payment": star.dim_payment(spark, r)}
+
+
+def cmd_sql(spark, a) -> None:
+    """Run a file of ``-- name: x`` queries on the lake's tables and the ``trips`` view."""
+    from .sources.ingest import run_named_sql
+    _, lake = _lake(spark, a)
+    lake.build()
+    fact = lake.table("fact_trips")
+    views = {"fact_trips": fact, "trips": analysed(fact), "fact_trips_agg": lake.table("trip_cube"),
+             "data_quality": lake.table("data_quality"), **_dims(spark, lake)}
+    with open(a.sql, encoding="utf-8") as f:
+        for name in run_named_sql(spark, f.read(), views, out_dir=a.out):
+            print(f"[sql] {name}")
+
+
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="farebox")
-    p.add_argument("command", choices=("pipeline", "analyses", "export"))
+    p.add_argument("command", choices=("pipeline", "analyses", "export", "sql"))
     p.add_argument("--trips", nargs="*", default=[])
     p.add_argument("--zones", required=True)
     p.add_argument("--work", required=True)
     p.add_argument("--out")
     p.add_argument("--only")
+    p.add_argument("--sql", help="file of `-- name: x` queries")
     p.add_argument("--fraction", type=float)
     p.add_argument("--round", type=int, help="round double outputs to N decimals (display)")
     p.add_argument("--force", action="store_true")
@@ -123,9 +140,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--airports", help="comma-separated zone ids")
     p.add_argument("--core", help="core borough name")
     p.add_argument("--master")
-    a = p.parse_args(argv)
+    return p
+
+
+def main(argv: list[str] | None = None) -> None:
+    a = parser().parse_args(argv)
     spark = get_spark("farebox-cli", master=a.master)
-    {"pipeline": cmd_pipeline, "analyses": cmd_analyses, "export": cmd_export}[a.command](spark, a)
+    {"pipeline": cmd_pipeline, "analyses": cmd_analyses, "export": cmd_export, "sql": cmd_sql}[a.command](spark, a)
 
 
 if __name__ == "__main__":

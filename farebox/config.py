@@ -156,12 +156,3 @@ FIXTURE_RULES = TripRules(
     period_end=dt.date(2001, 1, 1),
     holidays=january_holidays(1996, 2000),
 )
-
-# Calendar analyses on the `events` table (one month of timestamps).
-EVENT_RULES = TripRules(
-    airport_zone_ids=(),
-    core_borough="",
-    period_start=dt.date(2024, 1, 1),
-    period_end=dt.date(2024, 2, 1),
-    holidays={dt.date(2024, 1, 1): "New Year's Day", dt.date(2024, 1, 15): "Martin Luther King Jr. Day"},
-)

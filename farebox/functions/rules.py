@@ -127,6 +127,8 @@ def day_name(col: str) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in C.DAY_NAMES]), iso_day_of_week(col))
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """NULL on a zero or NULL denominator (BI-style DIVIDE / SQL nullif)."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
+def january_holiday(col: str) -> Column:
+    """New Year's Day or the third Monday of January, in any year."""
+    c = F.col(col)
+    day = F.dayofmonth(c)
+    return (F.month(c) == 1) & ((day == 1) | ((iso_day_of_week(col) == 1) & day.between(15, 21)))

@@ -1,7 +1,6 @@
 """Calendar and concentration analyses on the `events` table.
 
-Events stand in for trips with a second shape: one month, every hour, many
-keys (users). The same operators run: pre-aggregation by (date, hour), the
+Events stand in for trips with a second shape: every hour, many keys (users). The same operators run: pre-aggregation by (date, hour), the
 calendar join, and the two-level running share over many keys.
 """
 
@@ -10,11 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import EVENT_RULES
 from ..functions import rules as R
 from ..functions.measures import n_rows, ratio
 from ..operators.pareto import threshold_counts
-from ..operators.star import dim_date
 from ..sources.fixture import event_trips
 from .analyses import concentration_sql
 from .catalog import register
@@ -22,7 +19,7 @@ from .oracle import day_name_sql, event_prelude
 
 
 def _event_sql(body: str) -> str:
-    return f"WITH {event_prelude(EVENT_RULES).strip()},\n{body.strip()}"
+    return f"WITH {event_prelude().strip()},\n{body.strip()}"
 
 
 @register("event_demand_by_hour_day", lambda: _event_sql(f"""
@@ -34,12 +31,11 @@ FROM event_days WHERE NOT is_holiday
 GROUP BY 1, 2, 3"""))
 def event_demand_by_hour_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean events per weekday x hour over ordinary days that have events in the cell."""
-    e = event_trips(spark, sf_dir).withColumn("date_id", R.date_id("pickup_ts")) \
-                                  .withColumn("hour", F.hour("pickup_ts"))
-    per = e.groupBy("date_id", "hour").agg(n_rows().alias("n"))
-    cal = dim_date(spark, EVENT_RULES).filter(~F.col("is_holiday")).select("date_id", "day_of_week", "day_name")
-    # the event calendar covers the configured month; dates outside it are not ordinary days
-    cells = per.join(F.broadcast(cal), "date_id")
+    e = event_trips(spark, sf_dir).withColumn("date", F.to_date("pickup_ts")).withColumn("hour", F.hour("pickup_ts"))
+    per = e.groupBy("date", "hour").agg(n_rows().alias("n"))
+    # the calendar of whatever days the data has: weekday and rule-built holidays
+    cells = per.filter(~R.january_holiday("date")).select(
+        "hour", "n", R.iso_day_of_week("date").alias("day_of_week"), R.day_name("date").alias("day_name"))
     return (cells.groupBy("day_of_week", "day_name", "hour")
                  .agg(F.sum("n").alias("nb_events"), n_rows().alias("observed_days"))
                  .withColumn("avg_events", ratio("nb_events", "observed_days")))

@@ -7,7 +7,7 @@ analysis reads the gold tables with column pruning and filter pushdown, as the
 SQL layer of a warehouse would.
 
 A build is keyed by its inputs (paths, sizes, modification times), the rule
-parameters and the code version, so a finished build is reused and any change
+parameters and an explicit version, so a finished build is reused and any change
 rebuilds.
 """
 
@@ -18,7 +18,6 @@ import os
 import threading
 import time
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +30,8 @@ from ..sources import fixture
 TABLES = ("staged", "silver_trips", "fact_trips", "trip_cube", "data_quality")
 
 
-def _code_version() -> str:
-    h = hashlib.sha1()
-    root = Path(__file__).resolve().parents[1]
-    for p in sorted(root.rglob("*.py")):
-        h.update(p.relative_to(root).as_posix().encode())
-        h.update(p.read_bytes())
-    return h.hexdigest()[:16]
-
-
-CODE_VERSION = _code_version()
+#: Version of the rules' code and of the layers' layout: raise it when either changes results.
+BUILD_VERSION = "2"
 
 
 class TripLake:
@@ -52,7 +43,7 @@ class TripLake:
         self.rules = rules
         self._raw = raw
         self._zones = zones
-        key = hashlib.sha1(f"{fingerprint}|{rules!r}|{CODE_VERSION}".encode()).hexdigest()[:20]
+        key = hashlib.sha1(f"{fingerprint}|{rules!r}|{BUILD_VERSION}".encode()).hexdigest()[:20]
         self.root = f"{checkpoint_root(spark)}/farebox-lake/{key}"
         self.metrics: dict[str, dict] = {}
         self._handles: dict[str, DataFrame] = {}
@@ -85,7 +76,7 @@ class TripLake:
     # -- build ---------------------------------------------------------------
     def _write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), force: bool = False) -> None:
         """Write one layer. A layer already finished under this build key (same
-        inputs, rules and code) is kept, so an interrupted build resumes."""
+        inputs, rules and version) is kept, so an interrupted build resumes."""
         if not force and path_exists(self.spark, f"{self.path(name)}/_SUCCESS"):
             self.metrics[name] = {"reused": True}
             return
@@ -136,14 +127,14 @@ _LOCK = threading.Lock()
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str, rules: TripRules = FIXTURE_RULES) -> TripLake:
-    """Memoised per session and input folder; concurrent callers share one build."""
-    k = (id(spark), os.path.abspath(sf_dir), repr(rules))
+    """Memoised per session and state of the input files; concurrent callers share one build."""
+    fresh = TripLake.from_fixture(spark, sf_dir, rules)
+    k = (id(spark), fresh.root)
     lake = _LAKES.get(k)
     if lake is not None and lake.is_built():
         return lake
     with _LOCK:
         lake = _LAKES.get(k)
         if lake is None or not lake.is_built():
-            lake = TripLake.from_fixture(spark, sf_dir, rules).build()
-            _LAKES[k] = lake
+            lake = _LAKES[k] = fresh.build()
     return lake

@@ -214,12 +214,12 @@ def cube_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cube.reconcile(lk.table("trip_cube"), lk.table("fact_trips"))
 
 
-# A4 hash sample (engine-specific hash: rows-only check) --------------------------------
 # A4 deterministic sample ------------------------------------------------------------
 # Fixed values of the portable sample hash (multipliers and modulus).
 SAMPLE_MULT_REF = 2654435761
 SAMPLE_MULT_SECONDS = 40503
 SAMPLE_MULT_CENTS = 9176
+SAMPLE_REF_MODULUS = 2147483647      # keeps 64-bit content hashes within range when multiplied
 SAMPLE_BUCKETS = 10000
 SAMPLE_KEEP = 1000          # 10 %
 
@@ -231,13 +231,13 @@ def _portable_hash() -> "F.Column":
     is the default elsewhere."""
     secs = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("pickup_ts"))
     cents = F.floor(F.col("total_amount") * 100).cast("bigint")
-    return F.pmod(F.col("trip_ref") * SAMPLE_MULT_REF + secs * SAMPLE_MULT_SECONDS + cents * SAMPLE_MULT_CENTS,
+    return F.pmod(F.pmod(F.col("trip_ref"), F.lit(SAMPLE_REF_MODULUS)) * SAMPLE_MULT_REF + secs * SAMPLE_MULT_SECONDS + cents * SAMPLE_MULT_CENTS,
                   F.lit(SAMPLE_BUCKETS))
 
 
 @register("sample_hash", lambda: with_prelude(f"""
 SELECT {_money_sql(TRIP_OUT)} FROM staged
-WHERE ((trip_ref * {SAMPLE_MULT_REF}
+WHERE (((trip_ref % {SAMPLE_REF_MODULUS} + {SAMPLE_REF_MODULUS}) % {SAMPLE_REF_MODULUS} * {SAMPLE_MULT_REF}
         + date_diff('second', TIMESTAMP '1970-01-01 00:00:00', pickup_ts) * {SAMPLE_MULT_SECONDS}
         + CAST(FLOOR(total_amount * 100) AS BIGINT) * {SAMPLE_MULT_CENTS}) % {SAMPLE_BUCKETS} + {SAMPLE_BUCKETS})
       % {SAMPLE_BUCKETS} < {SAMPLE_KEEP}"""))

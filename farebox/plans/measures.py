@@ -17,7 +17,9 @@ attributes of the dimensions joined to them; anything else reads the fact.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -173,6 +175,44 @@ def sql_evaluate(keys: tuple[str, ...], names: tuple[str, ...], source: str = "t
     return f"SELECT {cols} FROM {source}{(' WHERE ' + where) if where else ''}{grp}"
 
 
+# Components that a measure pins to one value of a column (CALCULATE semantics): the
+# pin replaces any slicer and any group key on that very column, and keeps all others.
+def _pins(r: TripRules) -> dict[str, tuple[str, object]]:
+    airport, card = r.category_labels[0], r.card_payment_type
+    return {"air_rev": ("trip_category", airport), "card_n": ("payment_type", card),
+            "card_tip": ("payment_type", card), "card_fare": ("payment_type", card)}
+
+
+PINNED = {"airport_revenue": ("air_rev",), "airport_revenue_share": ("air_rev",), "card_share": ("card_n",),
+          "card_tip_rate": ("card_tip", "card_fare")}
+
+
+def evaluate_sliced(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], names: tuple[str, ...],
+                    slicers: Slicers = NO_SLICERS) -> DataFrame:
+    """Measures by ``keys`` under ``slicers``. Pinned components come from a star
+    without their column's slicer and key, and are joined back on the other keys."""
+    r = rules(spark, sf_dir)
+    pins = _pins(r)
+    out = sliced_star(spark, sf_dir, keys, slicers)
+    out = (out.groupBy(*keys) if keys else out).agg(*components(r))
+    wanted = {c for n in names for c in PINNED.get(n, ())}
+    for column in sorted({pins[c][0] for c in wanted}):
+        mine = sorted(c for c in wanted if pins[c][0] == column)
+        free = replace(slicers, categories=None) if column == "trip_category" else slicers
+        left = tuple(k for k in keys if k != column)
+        star_df = sliced_star(spark, sf_dir, left, free).filter(F.col(column) == F.lit(pins[mine[0]][1]))
+        sums = (star_df.groupBy(*left) if left else star_df).agg(*components(r))
+        pinned = sums.select(*[F.col(k).alias(f"pin_{k}") for k in left], *[F.col(c).alias(f"pin_{c}") for c in mine])
+        if left:
+            on = [F.col(k).eqNullSafe(F.col(f"pin_{k}")) for k in left]
+            out = out.join(pinned, reduce(lambda x, y: x & y, on), "left")
+            out = out.withColumns({c: F.col(f"pin_{c}") for c in mine}).drop(*pinned.columns)
+        else:                   # one aggregated row
+            one = pinned.select(F.struct(*pinned.columns).alias("v")).scalar()
+            out = out.withColumns({c: one[f"pin_{c}"] for c in mine})
+    return out.select(*keys, *[MEASURES[n]().alias(n) for n in names])
+
+
 # --- M1, M2, M5-M10, M14, M15, M17, M18: one row ----------------------------------
 TOTAL_MEASURES = ("trips", "revenue", "avg_basket", "minutes", "revenue_per_min", "avg_duration_min",
                   "avg_distance", "avg_speed_mph", "airport_revenue", "airport_revenue_share",
@@ -353,16 +393,17 @@ def period_title(spark: SparkSession, sf_dir: str, slicers: Slicers = NO_SLICERS
 
 
 # --- C6 / V19: the star under a set of slicers --------------------------------------------
-DEMO_SLICERS = Slicers(
-    date_from="1997-01-01", date_to="1998-12-31",
-    categories=(AIRPORT, RULES.category_labels[1]),
-    payment_labels=(RULES.payment_labels[CARD],),
-    weekdays=(1, 2, 3, 4, 5),
-)
+def demo_slicers(r: TripRules) -> Slicers:
+    """Second and third fifth of the period, two categories, card, working days."""
+    days = r.calendar_days
+    return Slicers(date_from=str(r.period_start + dt.timedelta(days=days // 5)),
+                   date_to=str(r.period_start + dt.timedelta(days=3 * days // 5)),
+                   categories=r.category_labels[:2], payment_labels=(r.payment_labels[r.card_payment_type],),
+                   weekdays=(1, 2, 3, 4, 5))
 
 
 def _slice_sql() -> str:
-    s = DEMO_SLICERS
+    s = demo_slicers(RULES)
     cats = ", ".join(_q(c) for c in s.categories)
     pays = ", ".join(_q(p) for p in s.payment_labels)
     days = ", ".join(str(d) for d in s.weekdays)
@@ -377,12 +418,46 @@ def _slice_sql() -> str:
 
 
 @register("slice_star", _slice_sql)
-def slice_star(spark: SparkSession, sf_dir: str, slicers: Slicers = DEMO_SLICERS) -> DataFrame:
+def slice_star(spark: SparkSession, sf_dir: str, slicers: Slicers | None = None) -> DataFrame:
+    slicers = slicers or demo_slicers(rules(spark, sf_dir))
     s = sliced_star(spark, sf_dir, ("payment_label",), slicers)
     return evaluate(s, ("trip_category", "payment_label"), ("trips", "revenue", "revenue_per_min"),
                     rules(spark, sf_dir))
 
 
+# --- M14, M15, M17, M18 under category, date and payment slicers ----------------------------
+def pin_slicers(r: TripRules) -> Slicers:
+    """A category slicer without the airport one, dates, and two payment labels."""
+    return replace(demo_slicers(r), categories=r.category_labels[1:3],
+                   payment_labels=tuple(r.payment_labels[k] for k in sorted(r.payment_labels)[:2]))
+
+
+def _pinned_sql() -> str:
+    s = pin_slicers(RULES)
+    cats, pays = (", ".join(map(_q, x)) for x in (s.categories, s.payment_labels))
+    return with_prelude(f"""
+seen AS (SELECT t.*, d.day_of_week, t.trip_category IN ({cats}) AS picked, t.payment_type = {CARD} AS by_card
+         FROM trips t JOIN dim_date d ON d.date_id = t.date_id JOIN dim_payment p ON p.payment_type = t.payment_type
+         WHERE d.date BETWEEN DATE '{s.date_from}' AND DATE '{s.date_to}'
+           AND d.day_of_week IN ({", ".join(map(str, s.weekdays))}) AND p.payment_label IN ({pays})),
+airport AS (SELECT day_of_week, SUM(total_amount) AS money FROM seen WHERE trip_category = {_q(AIRPORT)} GROUP BY day_of_week),
+rest AS (SELECT day_of_week, COUNT(*) AS k, SUM(total_amount) AS money, COUNT(*) FILTER (WHERE by_card) AS card_k,
+                SUM(tip_amount) FILTER (WHERE by_card) AS tips, SUM(fare_amount) FILTER (WHERE by_card) AS fares
+         FROM seen WHERE picked GROUP BY day_of_week)
+SELECT rest.day_of_week, rest.k AS trips, CAST(airport.money AS DOUBLE) AS airport_revenue,
+       {s_ratio("airport.money", "rest.money")} AS airport_revenue_share, {s_ratio("rest.card_k", "rest.k")} AS card_share,
+       {s_ratio("rest.tips", "rest.fares")} AS card_tip_rate
+FROM rest LEFT JOIN airport USING (day_of_week)""")
+
+
+@register("pinned_measures_sliced", _pinned_sql)
+def pinned_measures_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airport measures keep their category under a slicer on other categories;
+    card measures intersect with a slicer on payment labels."""
+    return evaluate_sliced(spark, sf_dir, ("day_of_week",), ("trips", "airport_revenue", "airport_revenue_share", "card_share", "card_tip_rate"),
+                           pin_slicers(rules(spark, sf_dir)))
+
+
 CUBE_REACHABLE = frozenset(cube_ops.CUBE_GRAIN) | frozenset(DATE_ATTRS) | frozenset(ZONE_ATTRS) \
     | frozenset(HOUR_ATTRS) | frozenset(PAY_ATTRS)
 

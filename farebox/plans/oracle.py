@@ -243,9 +243,9 @@ data_quality AS (
 )"""
 
 
-def event_prelude(r: TripRules) -> str:
-    holidays = r.holiday_rows()
-    hol = " OR ".join(f"CAST(pickup_ts AS DATE) = DATE '{d}'" for d, _ in holidays) or "FALSE"
+def event_prelude() -> str:
+    hol = ("(month(pickup_ts) = 1 AND (day(pickup_ts) = 1 "
+           "OR (isodow(pickup_ts) = 1 AND day(pickup_ts) >= 15 AND day(pickup_ts) < 22)))")
     return f"""
 event_trips AS (
   SELECT event_id, ts AS pickup_ts, user_id AS location_id, event_type AS category,

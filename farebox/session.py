@@ -117,6 +117,21 @@ def file_fingerprint(spark: SparkSession, path: str) -> str:
     return f"{path}:{st.getLen()}:{st.getModificationTime()}"
 
 
+def list_files(spark: SparkSession, paths: list[str], suffix: str = ".csv") -> list[dict]:
+    """Files (full path, size, modification time in ms) named by ``paths``: files as
+    they are, folders by their files with ``suffix``. Any file system Spark reads."""
+    out = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):
+            raise FileNotFoundError(path)
+        found = [fs.getFileStatus(p)]
+        if found[0].isDirectory():
+            found = [f for f in fs.listStatus(p) if f.isFile() and f.getPath().getName().endswith(suffix)]
+        out += [{"source_file": f.getPath().toString(), "size": f.getLen(), "modified": f.getModificationTime()} for f in found]
+    return sorted(out, key=lambda f: f["source_file"])
+
+
 class session_conf:
     """Temporarily set SQL confs on a session (restored on exit)."""
 

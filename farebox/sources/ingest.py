@@ -1,39 +1,46 @@
 """Batch ingestion of raw trip files into bronze, with an audit log.
 
 * typed CSV scan (explicit 18-column schema: no inference pass), canonical
-  column names, lineage from the file metadata;
-* incremental gate: a file is skipped when the audit holds a SUCCESS for the
-  same (file, sample fraction, rules version), unless forced; a sampled run no
-  longer blocks the full load;
-* bronze is partitioned by source file first, and written with dynamic
-  partition overwrite: loading file B never touches file A's rows, and
-  re-loading a file replaces only that file;
-* on failure a FAILED audit row is written and the error re-raised, so later
-  stages never run on a half-loaded batch;
-* the row count comes from ``observe`` on the write itself (no second scan).
+  column names, lineage from the file metadata; a line that does not fit the
+  schema keeps its text in ``corrupt_line`` (its bad cells are NULL);
+* a file is known by its full path, size and modification time. It is pending
+  unless the audit holds a SUCCESS for all three, the sample fraction and the
+  rules version; forcing reloads it;
+* all pending files are loaded by one job into a run of their own
+  (``run_id`` partition). Nothing is overwritten: the audit says which run holds
+  a file's rows, the newest full load or, only if there is none, the newest
+  sample. A shrunk or emptied file so replaces all its old rows, a sample never
+  hides a full load, and a failed run is never read;
+* on failure a FAILED audit row per file is written and the error re-raised, so
+  later stages never run on a half-loaded batch.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
-from .schemas import TLC_RENAMES, TLC_TRIP_CSV_SCHEMA, TRIP_COLUMNS, ZONE_LOOKUP_CSV_SCHEMA
+from ..operators.joins import broadcast_if_small
+from ..session import list_files, path_exists
+from .schemas import CORRUPT, TLC_RENAMES, TLC_TRIP_CSV_READ, TLC_TRIP_CSV_SCHEMA, TRIP_COLUMNS, ZONE_LOOKUP_CSV_SCHEMA
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("source_file", T.StringType()),
+    T.StructField("size", T.LongType()),
+    T.StructField("modified", T.LongType()),
+    T.StructField("run_id", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("row_count", T.LongType()),
     T.StructField("processed_at", T.StringType()),
     T.StructField("sample_fraction", T.DoubleType()),
     T.StructField("rules_version", T.StringType()),
 ])
-SUCCESS, FAILED = "SUCCESS", "FAILED"
-RULES_VERSION = "1"
+SUCCESS, FAILED, SKIPPED = "SUCCESS", "FAILED", "SKIPPED"
+RULES_VERSION = "2"
 
 
 def canonical_trips(raw: DataFrame) -> DataFrame:
@@ -47,10 +54,11 @@ def canonical_trips(raw: DataFrame) -> DataFrame:
 
 
 def read_trip_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Typed header CSV scan (PERMISSIVE: a bad cell becomes NULL and the reject
-    rules catch it); adds ``source_file`` from the file metadata."""
-    raw = spark.read.schema(TLC_TRIP_CSV_SCHEMA).option("header", True).csv(paths)
-    raw = raw.withColumn("source_file", F.col("_metadata.file_name"))
+    """Typed header CSV scan. A bad cell becomes NULL and the line's text is kept in
+    ``corrupt_line``; ``source_file`` is the full path from the file metadata."""
+    raw = (spark.read.schema(TLC_TRIP_CSV_READ).option("header", True)
+           .option("columnNameOfCorruptRecord", CORRUPT).csv(paths))
+    raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
     return canonical_trips(raw)
 
 
@@ -68,7 +76,7 @@ def hash_sample(df: DataFrame, key_cols, fraction: float, buckets: int = 10000)
 
 
 class BronzeIngest:
-    """Load raw trip files into a bronze table, one audited load per file."""
+    """Load raw trip files into a bronze table; the audit decides which rows count."""
 
     def __init__(self, spark: SparkSession, bronze_path: str, audit_path: str):
         self.spark = spark
@@ -81,61 +89,110 @@ class BronzeIngest:
         return self.spark.read.schema(AUDIT_SCHEMA).parquet(self.audit_path)
 
     def pending(self, files: DataFrame, fraction: float | None = None) -> DataFrame:
-        """Files (column ``source_file``) without a SUCCESS for this fraction and
-        rules version: a left-anti join against the audit log."""
+        """Files (source_file, size, modified) without a SUCCESS for this state of the
+        file, this fraction and rules version: a left-anti join against the audit log."""
         frac = float(fraction) if fraction else 1.0
         done = self.audit().filter(
             (F.col("status") == SUCCESS) & (F.col("sample_fraction") == frac)
-            & (F.col("rules_version") == RULES_VERSION)).select("source_file")
-        return files.join(done, "source_file", "left_anti")
-
-    def _write_audit(self, source_file: str, status: str, rows: int, fraction: float) -> None:
-        rec = self.spark.createDataFrame(
-            [(source_file, status, int(rows), dt.datetime.now(dt.timezone.utc).isoformat(),
-              fraction, RULES_VERSION)], AUDIT_SCHEMA)
-        rec.write.mode("append").parquet(self.audit_path)   # creates the table when absent
-
-    def ingest(self, path: str, sample_fraction: float | None = None, force: bool = False) -> dict:
-        name = path.rstrip("/").rsplit("/", 1)[-1]
+            & (F.col("rules_version") == RULES_VERSION)).select("source_file", "size", "modified")
+        return files.join(done, ["source_file", "size", "modified"], "left_anti")
+
+    def live_runs(self) -> DataFrame:
+        """(run_id, source_file): the run that holds each file's rows."""
+        newest = F.struct((F.col("sample_fraction") == 1.0).alias("full"), "processed_at", "run_id")
+        return (self.audit().filter(F.col("status") == SUCCESS).groupBy("source_file")
+                .agg(F.max(newest).alias("r")).select(F.col("r.run_id").alias("run_id"), "source_file"))
+
+    def _write_audit(self, rows: list[tuple]) -> None:
+        """One append for a run: (file, run, status, rows, fraction)."""
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        recs = [(f["source_file"], f["size"], f["modified"], run, status, int(n), now, frac, RULES_VERSION)
+                for f, run, status, n, frac in rows]
+        self.spark.createDataFrame(recs, AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(self.audit_path)
+
+    def ingest_all(self, paths: list[str], sample_fraction: float | None = None, force: bool = False) -> list[dict]:
+        """Load every pending file among ``paths`` (files or folders) in one job."""
         frac = float(sample_fraction) if sample_fraction else 1.0
-        listing = self.spark.createDataFrame([(name,)], "source_file string")
-        if not force and self.pending(listing, frac).isEmpty():
-            return {"source_file": name, "status": "SKIPPED", "rows": 0}
+        run = uuid.uuid4().hex
         try:
-            df = read_trip_csv(self.spark, path)
-            if sample_fraction:
-                df = hash_sample(df, ("trip_ref",), frac)
-            df = df.withColumns({
-                "pickup_year": F.year("pickup_ts"),
-                "pickup_month": F.month("pickup_ts"),
-                "ingested_at": F.current_timestamp(),
-            })
-            obs = Observation(f"bronze_{name}")
-            (df.observe(obs, F.count(F.lit(1)).alias("rows")).write
-               .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("source_file", "pickup_year", "pickup_month")
-               .parquet(self.bronze_path))
-            rows = obs.get["rows"]
-        except Exception:
-            self._write_audit(name, FAILED, 0, frac)
+            files = list_files(self.spark, paths)
+        except FileNotFoundError as e:
+            self._write_audit([({"source_file": str(e), "size": None, "modified": None}, run, FAILED, 0, frac)])
             raise
-        self._write_audit(name, SUCCESS, rows, frac)
-        return {"source_file": name, "status": SUCCESS, "rows": rows}
+        if not files:
+            return []
+        todo = files
+        if not force:
+            listing = self.spark.createDataFrame([(f["source_file"], f["size"], f["modified"]) for f in files],
+                                                 "source_file string, size long, modified long")
+            names = {r["source_file"] for r in self.pending(listing, frac).collect()}     # one row per listed file at most
+            todo = [f for f in files if f["source_file"] in names]
+        counts: dict[str, int] = {}
+        if todo:
+            try:
+                df = read_trip_csv(self.spark, [f["source_file"] for f in todo])
+                if sample_fraction:
+                    df = hash_sample(df, ("trip_ref",), frac)
+                target = f"{self.bronze_path}/run_id={run}"
+                (df.withColumns({"pickup_year": F.year("pickup_ts"), "pickup_month": F.month("pickup_ts"),
+                                 "ingested_at": F.current_timestamp()})
+                   .write.partitionBy("pickup_year", "pickup_month").parquet(target))
+                written = self.spark.read.schema(_BRONZE_FILE).parquet(target)
+                counts = {r["source_file"]: r["n"] for r in
+                          written.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).collect()}
+            except Exception:
+                self._write_audit([(f, run, FAILED, 0, frac) for f in todo])
+                raise
+            by_path = {_plain(k): n for k, n in counts.items()}
+            counts = {f["source_file"]: by_path.get(_plain(f["source_file"]), 0) for f in todo}
+            self._write_audit([(f, run, SUCCESS, counts[f["source_file"]], frac) for f in todo])
+        return [{"source_file": f["source_file"], "status": SUCCESS if f["source_file"] in counts else SKIPPED,
+                 "rows": counts.get(f["source_file"], 0)} for f in files]
+
+    def ingest(self, path: str, sample_fraction: float | None = None, force: bool = False) -> dict:
+        return self.ingest_all([path], sample_fraction, force)[0]
 
     def bronze(self) -> DataFrame:
-        return self.spark.read.parquet(self.bronze_path)
+        """Rows of the runs that count (partition pruning on ``run_id``)."""
+        live = self.live_runs().select("run_id", plain_path(F.col("source_file")).alias("live_file"))
+        rows = self.spark.read.option("basePath", self.bronze_path).schema(_BRONZE).parquet(self.bronze_path)
+        return (rows.join(broadcast_if_small(live), (rows["run_id"] == live["run_id"])
+                          & (plain_path(F.col("source_file")) == F.col("live_file")), "left_semi"))
+
+
+def _plain(path: str) -> str:
+    """A path without scheme and encoding: listings and file metadata spell it differently."""
+    from urllib.parse import unquote, urlsplit
+    u = urlsplit(path)
+    return unquote(u.path) if u.scheme == "file" else unquote(path)
+
+
+def plain_path(path):
+    return F.url_decode(F.regexp_replace(F.regexp_replace(path, "^file:/+", "/"), "[+]", "%2B"))
+
+
+_BRONZE_FILE = "source_file string"
+_TYPES = {TLC_RENAMES.get(f.name, f.name): f.dataType for f in TLC_TRIP_CSV_SCHEMA} | {"trip_ref": T.LongType()}
+_BRONZE = T.StructType([
+    *[T.StructField(c, _TYPES[c]) for c in TRIP_COLUMNS],
+    T.StructField(CORRUPT, T.StringType()), T.StructField("source_file", T.StringType()),
+    T.StructField("ingested_at", T.TimestampType()), T.StructField("run_id", T.StringType()),
+    T.StructField("pickup_year", T.IntegerType()), T.StructField("pickup_month", T.IntegerType()),
+])
+BRONZE_ONLY = ("pickup_year", "pickup_month", "ingested_at", "run_id", CORRUPT)
 
 
-def export_table(df: DataFrame, path: str, single_file: bool = False, range_key: str | None = None,
+def export_table(df: DataFrame, path: str, single_file: bool = False, range_key: str | list[str] | None = None,
                  max_records_per_file: int = 1_000_000) -> None:
     """BI export. Small dimensions go to one file; the large rollup is range-
-    partitioned on its leading key and capped per file, so the write stays
+    partitioned and sorted on its grain and capped per file, so the write stays
     parallel instead of funnelling through one task."""
     if single_file:
         df.coalesce(1).write.mode("overwrite").option("compression", "snappy").parquet(path)
         return
     n = df.sparkSession.sparkContext.defaultParallelism
-    out = df.repartitionByRange(n, range_key).sortWithinPartitions(range_key) if range_key else df
+    keys = [range_key] if isinstance(range_key, str) else list(range_key or [])
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) if keys else df
     (out.write.mode("overwrite").option("compression", "snappy")
         .option("maxRecordsPerFile", max_records_per_file).parquet(path))
 

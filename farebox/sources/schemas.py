@@ -6,14 +6,14 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 6)
 
-# Raw TLC yellow-trip CSV header, 18 columns, all nullable. Money columns are
-# parsed straight into DECIMAL so sums stay exact from the first byte.
+# Raw TLC yellow-trip CSV header, 18 columns, all nullable. Money and distance
+# are parsed straight into DECIMAL so sums stay exact from the first byte.
 TLC_TRIP_CSV_SCHEMA = T.StructType([
     T.StructField("VendorID", T.IntegerType()),
     T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
     T.StructField("tpep_dropoff_datetime", T.TimestampNTZType()),
     T.StructField("passenger_count", T.IntegerType()),
-    T.StructField("trip_distance", T.DoubleType()),
+    T.StructField("trip_distance", MONEY),
     T.StructField("RatecodeID", T.IntegerType()),
     T.StructField("store_and_fwd_flag", T.StringType()),
     T.StructField("PULocationID", T.IntegerType()),
@@ -28,6 +28,9 @@ TLC_TRIP_CSV_SCHEMA = T.StructType([
     T.StructField("total_amount", MONEY),
     T.StructField("congestion_surcharge", MONEY),
 ])
+# The same with the text of a line that doesn't fit it.
+CORRUPT = "corrupt_line"
+TLC_TRIP_CSV_READ = T.StructType([*TLC_TRIP_CSV_SCHEMA, T.StructField(CORRUPT, T.StringType())])
 
 # TLC header name -> canonical column name.
 TLC_RENAMES = {

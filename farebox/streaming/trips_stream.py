@@ -4,23 +4,30 @@
   (the checkpoint is the incremental gate), run to completion with
   ``availableNow``.
 * S2 ``dedup_within_watermark``: the dedup keys, state bounded by a watermark.
-* S3 ``route_batches``: ``foreachBatch`` writes valid rows and the quarantine
-  from one micro-batch, plus an audit row keyed on the batch id, so a replayed
-  batch is not counted twice.
+  ``run_dedup`` also keeps what it leaves out: strays in a quarantine, late rows counted.
+* S3 ``route_batches``: ``foreachBatch`` writes a micro-batch once, partitioned by
+  status, with an audit row keyed on query and batch id, so a replayed batch
+  is not counted twice and two checkpoints never take each other's batches for replays.
 * S4 ``hourly_zone_demand``: tumbling one-hour windows per pickup zone, in
   append mode (closed windows) or update mode with an idempotent per-batch
-  upsert (every window). The period rule runs *before* the watermark: a stray
-  future timestamp would otherwise advance the watermark and drop later valid rows.
+  upsert (every window).
+
+The period rule runs *before* every watermark: a stray future timestamp would
+otherwise advance the watermark and drop later valid rows. Rows it leaves out
+are ``stray_rows``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import TripRules
 from ..functions import rules as R
+from ..operators.clean import tag_rejects
 from ..session import path_exists
 from ..sources.ingest import canonical_trips
 from ..sources.schemas import TLC_TRIP_CSV_SCHEMA
@@ -30,7 +37,7 @@ def read_trip_stream(spark: SparkSession, source_dir: str, max_files_per_trigger
     r = spark.readStream.schema(TLC_TRIP_CSV_SCHEMA).option("header", True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.csv(source_dir).withColumn("source_file", F.col("_metadata.file_name"))
+    raw = r.csv(source_dir).withColumn("source_file", F.col("_metadata.file_path"))
     return canonical_trips(raw)
 
 
@@ -46,8 +53,8 @@ def ingest_files(spark: SparkSession, source_dir: str, bronze_path: str, checkpo
 
 
 def event_time(df: DataFrame) -> DataFrame:
-    """Watermarks need TIMESTAMP; the session runs in UTC so the cast is exact."""
-    return df.withColumn("event_ts", F.col("pickup_ts").cast("timestamp"))
+    """Watermarks need TIMESTAMP: pickup times are read as UTC, whatever the session's zone."""
+    return df.withColumn("event_ts", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("pickup_ts")).cast("timestamp"))
 
 
 def in_period(rules: TripRules):
@@ -56,38 +63,63 @@ def in_period(rules: TripRules):
     return (F.col("pickup_ts") >= start) & (F.col("pickup_ts") < end)
 
 
+def stray_rows(df: DataFrame, rules: TripRules) -> DataFrame:
+    """Rows without a pickup time inside the analysed period."""
+    return df.filter(~F.coalesce(in_period(rules), F.lit(False)))
+
+
 def dedup_within_watermark(df: DataFrame, rules: TripRules, delay: str = "2 hours") -> DataFrame:
-    """S2: drop copies of a trip key seen within the watermark delay."""
-    return (event_time(df).withWatermark("event_ts", delay)
-                          .dropDuplicatesWithinWatermark(list(rules.dedup_keys)))
+    """S2: drop copies of a trip key seen within the watermark delay; strays never reach the watermark."""
+    return (event_time(df.filter(in_period(rules))).withWatermark("event_ts", delay)
+            .dropDuplicatesWithinWatermark(list(rules.dedup_keys)))
+
+
+def late_rows(q: StreamingQuery) -> int:
+    """Rows that a finished query dropped behind its watermark (from its progress)."""
+    return sum(int(op["numRowsDroppedByWatermark"]) for p in q.recentProgress for op in p["stateOperators"])
+
 
+def run_dedup(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str, quarantine_path: str,
+              checkpoint: str, delay: str = "2 hours", max_files_per_trigger: int | None = None) -> dict[str, int]:
+    """S2 run to completion: kept rows to ``out_path``, strays to ``quarantine_path``;
+    the counts of rows dropped as late in this run."""
+    def run(df: DataFrame, path: str, name: str) -> StreamingQuery:
+        q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{checkpoint}/{name}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return q
 
-def route_batches(spark: SparkSession, stream: DataFrame, valid_path: str, quarantine_path: str,
-                  audit_path: str, checkpoint: str) -> StreamingQuery:
-    """S3: valid / quarantine sinks and an idempotent per-batch audit row."""
+    source = lambda: read_trip_stream(spark, source_dir, max_files_per_trigger)
+    run(stray_rows(source(), rules), quarantine_path, "strays")
+    return {"late": late_rows(run(dedup_within_watermark(source(), rules, delay), out_path, "kept"))}
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint: another checkpoint has another."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def route_batches(spark: SparkSession, stream: DataFrame, out_path: str, audit_path: str, checkpoint: str) -> StreamingQuery:
+    """S3: one sink partitioned by (query_id, batch_id, status) and an idempotent audit row per batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        query = query_id(spark, checkpoint)
         if path_exists(spark, audit_path):
-            seen = spark.read.parquet(audit_path).filter(F.col("batch_id") == batch_id)
+            seen = spark.read.parquet(audit_path).filter((F.col("query_id") == query) & (F.col("batch_id") == batch_id))
             if not seen.isEmpty():
                 return
-        tagged = (batch.withColumn("reject_reason", R.reject_reason())
-                       .withColumn("batch_id", F.lit(batch_id).cast("long")))
-
-        def sink(df: DataFrame, path: str) -> None:
-            # one partition per batch, overwritten on replay: a batch that died
-            # between the sinks and the audit row is rewritten, never doubled
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("batch_id").parquet(path))
-
-        sink(tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"), valid_path)
-        sink(tagged.filter(F.col("reject_reason").isNotNull()), quarantine_path)
-        # counts from the written sinks' batch (tiny aggregate), recorded with the id
-        counts = tagged.agg(F.count_if(F.col("reject_reason").isNull()).alias("valid"),
-                            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
-        counts.select(F.lit(batch_id).cast("long").alias("batch_id"), "valid", "rejected",
-                      F.current_timestamp().alias("processed_at")) \
-              .write.mode("append").parquet(audit_path)
+        # a batch that died between the sink and the audit row is rewritten, never doubled
+        seen = Observation(f"routed_{query}_{batch_id}")
+        tagged = tag_rejects(batch).observe(seen, F.count_if(F.col("reject_reason").isNull()).alias("valid"),
+                                            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"))
+        (tagged.withColumns({"query_id": F.lit(query), "batch_id": F.lit(batch_id).cast("long")})
+               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy("query_id", "batch_id", "status").parquet(out_path))
+        counts = seen.get
+        (spark.range(1).select(F.lit(query).alias("query_id"), F.lit(batch_id).cast("long").alias("batch_id"),
+                               F.lit(counts["valid"]).cast("long").alias("valid"), F.lit(counts["rejected"]).cast("long").alias("rejected"),
+                               F.current_timestamp().alias("processed_at"))
+              .write.mode("append").parquet(audit_path))
 
     q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())
@@ -95,6 +127,11 @@ def route_batches(spark: SparkSession, stream: DataFrame, valid_path: str, quara
     return q
 
 
+def routed(spark: SparkSession, out_path: str, status: str) -> DataFrame:
+    """Rows of a status from a routed sink (partition pruning)."""
+    return spark.read.parquet(out_path).filter(F.col("status") == status)
+
+
 def hourly_zone_demand(stream: DataFrame, rules: TripRules, delay: str = "1 hour") -> DataFrame:
     """S4: trips and revenue per (pickup zone, one-hour window).
 
@@ -110,8 +147,8 @@ def hourly_zone_demand(stream: DataFrame, rules: TripRules, delay: str = "1 hour
 
 
 def run_hourly_zone_demand(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str,
-                           checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
-    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger=1), rules, delay)
+                           checkpoint: str, delay: str = "1 hour", max_files_per_trigger: int | None = None) -> StreamingQuery:
+    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger), rules, delay)
          .writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
@@ -120,18 +157,20 @@ def run_hourly_zone_demand(spark: SparkSession, source_dir: str, rules: TripRule
 
 
 def run_hourly_zone_demand_updates(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str,
-                                   checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
+                                   checkpoint: str, delay: str = "1 hour",
+                                   max_files_per_trigger: int | None = None) -> StreamingQuery:
     """S4 in update mode: every micro-batch writes the windows it changed into its
-    own ``batch_id`` partition (overwritten on replay, so idempotent). Open
+    own (query, batch) partition (overwritten on replay, so idempotent). Open
     windows are visible too; ``latest_hourly_zone_demand`` reads the newest
     version of each (window, zone)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (batch.withColumns({"query_id": F.lit(query_id(spark, checkpoint)), "batch_id": F.lit(batch_id).cast("long"),
+                            "written_at": F.current_timestamp()})
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(out_path))
+              .partitionBy("query_id", "batch_id").parquet(out_path))
 
-    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger=1), rules, delay)
+    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger), rules, delay)
          .writeStream.outputMode("update").foreachBatch(handle)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -139,9 +178,9 @@ def run_hourly_zone_demand_updates(spark: SparkSession, source_dir: str, rules:
 
 
 def latest_hourly_zone_demand(spark: SparkSession, out_path: str) -> DataFrame:
-    """Newest version of each (window, zone) written by the update-mode query
-    (an aggregate per key: no window over the whole table)."""
+    """Newest version of each (window, zone) written by the update-mode query, of
+    several queries the last writer's (an aggregate per key: no window over the whole table)."""
     u = spark.read.parquet(out_path)
     keys = ["window_start", "window_end", "pu_location_id"]
-    latest = u.groupBy(*keys).agg(F.max_by(F.struct("nb_trips", "revenue"), F.col("batch_id")).alias("v"))
+    latest = u.groupBy(*keys).agg(F.max_by(F.struct("nb_trips", "revenue"), F.struct("written_at", "batch_id")).alias("v"))
     return latest.select(*keys, F.col("v.nb_trips").alias("nb_trips"), F.col("v.revenue").alias("revenue"))

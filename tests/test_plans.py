@@ -6,11 +6,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from farebox.plans.catalog import all_queries
 
 from .conftest import SF0001
 
-QUERIES = E.queries()
+QUERIES = all_queries()
 ROW_LEVEL = {"fact_trips", "dedup_trips", "valid_trips", "rejected_trips", "sample_hash", "trip_cube"}
 
 

@@ -7,7 +7,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from farebox.config import FIXTURE_RULES
+from farebox.config import FIXTURE_RULES, TAXI_JANUARY_2019
 from farebox.operators import clean
 from farebox.sources import ingest
 from farebox.streaming import trips_stream as S
@@ -49,7 +49,7 @@ def test_dedup_within_watermark(spark, scratch):
                          for c in [f.name for f in ingest.TLC_TRIP_CSV_SCHEMA]])
     src = f"{scratch}/in"
     write_csv(full, f"{src}/t.csv")
-    stream = S.dedup_within_watermark(S.read_trip_stream(spark, src), FIXTURE_RULES)
+    stream = S.dedup_within_watermark(S.read_trip_stream(spark, src), TAXI_JANUARY_2019)
     q = (stream.writeStream.format("parquet").option("path", f"{scratch}/out")
          .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -62,12 +62,12 @@ def test_routed_batches_match_batch_split_and_audit_is_idempotent(spark, files,
     os.makedirs(src)
     shutil.copyfile(a, f"{src}/trips_a.csv")
     shutil.copyfile(b, f"{src}/trips_b.csv")
-    args = (f"{scratch}/valid", f"{scratch}/quarantine", f"{scratch}/audit", f"{scratch}/ckpt")
+    args = (f"{scratch}/routed", f"{scratch}/audit", f"{scratch}/ckpt")
     S.route_batches(spark, S.read_trip_stream(spark, src, max_files_per_trigger=1), *args)
     S.route_batches(spark, S.read_trip_stream(spark, src, max_files_per_trigger=1), *args)   # re-run: no-op
     batch = clean.tag_rejects(ingest.read_trip_csv(spark, src))
-    assert spark.read.parquet(f"{scratch}/valid").count() == batch.filter("status = 'valid'").count()
-    assert spark.read.parquet(f"{scratch}/quarantine").count() == batch.filter("status = 'rejected'").count()
+    assert S.routed(spark, f"{scratch}/routed", "valid").count() == batch.filter("status = 'valid'").count()
+    assert S.routed(spark, f"{scratch}/routed", "rejected").count() == batch.filter("status = 'rejected'").count()
     audit = spark.read.parquet(f"{scratch}/audit")
     assert audit.count() == audit.select("batch_id").distinct().count() == 2
     assert audit.agg(F.sum("valid") + F.sum("rejected")).first()[0] == na + nb
@@ -80,7 +80,7 @@ def test_hourly_windows_equal_batch_for_closed_windows(spark, files, scratch):
     shutil.copyfile(a, f"{src}/trips_a.csv")
     shutil.copyfile(b, f"{src}/trips_b.csv")
     delay = "1 hour"
-    S.run_hourly_zone_demand(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt", delay)
+    S.run_hourly_zone_demand(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt", delay, max_files_per_trigger=1)
     got = spark.read.parquet(f"{scratch}/out")
     static = ingest.read_trip_csv(spark, src)
     want = S.hourly_zone_demand(static, FIXTURE_RULES)          # same plan, run as batch
@@ -116,7 +116,7 @@ def test_dedup_across_batches_inside_and_outside_the_watermark(spark, scratch):
     csv([("1", "2019-01-01 15:00:00", "2019-01-01 15:20:00", "1", "2", "11.0"),
          ("1", "2019-01-01 10:00:00", "2019-01-01 10:20:00", "1", "2", "11.0"),
          ("1", "2019-01-01 14:00:00", "2019-01-01 14:20:00", "1", "2", "10.0")], f"{src}/b.csv")
-    stream = S.dedup_within_watermark(S.read_trip_stream(spark, src, max_files_per_trigger=1), FIXTURE_RULES)
+    stream = S.dedup_within_watermark(S.read_trip_stream(spark, src, max_files_per_trigger=1), TAXI_JANUARY_2019)
     q = (stream.writeStream.format("parquet").option("path", f"{scratch}/out")
          .option("checkpointLocation", f"{scratch}/ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -130,7 +130,8 @@ def test_hourly_windows_update_mode_equal_batch_for_every_window(spark, files, s
     os.makedirs(src)
     shutil.copyfile(a, f"{src}/trips_a.csv")
     shutil.copyfile(b, f"{src}/trips_b.csv")
-    S.run_hourly_zone_demand_updates(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt")
+    S.run_hourly_zone_demand_updates(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt",
+                                     max_files_per_trigger=1)
     got = S.latest_hourly_zone_demand(spark, f"{scratch}/out")
     want = S.hourly_zone_demand(ingest.read_trip_csv(spark, src), FIXTURE_RULES)
     key = ["window_start", "pu_location_id"]
@@ -138,3 +139,39 @@ def test_hourly_windows_update_mode_equal_batch_for_every_window(spark, files, s
     assert got.join(want, key, "full_outer").filter(
         (got.nb_trips != want.nb_trips) | (got.revenue != want.revenue)
         | got.nb_trips.isNull() | want.nb_trips.isNull()).count() == 0
+
+
+TRIP = ("VendorID string, tpep_pickup_datetime string, tpep_dropoff_datetime string, PULocationID string, "
+        "DOLocationID string, total_amount string")
+
+
+def trip_csv(spark, rows, path, age):
+    """A raw file of (vendor, pickup, zone) trips; older files are read first."""
+    df = spark.createDataFrame([(v, p, p, z, "2", "10.0") for v, p, z in rows], TRIP)
+    names = [f.name for f in ingest.TLC_TRIP_CSV_SCHEMA]
+    write_csv(df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names]), path)
+    os.utime(path, (1_000_000_000 + age, 1_000_000_000 + age))
+
+
+def test_a_second_checkpoint_into_the_same_sinks_keeps_its_rows(spark, files, scratch):
+    a, b, na, nb = files
+    for name, f in (("one", a), ("two", b)):
+        os.makedirs(f"{scratch}/{name}")
+        shutil.copyfile(f, f"{scratch}/{name}/t.csv")
+        S.route_batches(spark, S.read_trip_stream(spark, f"{scratch}/{name}"), f"{scratch}/routed", f"{scratch}/audit", f"{scratch}/ckpt-{name}")
+    assert spark.read.parquet(f"{scratch}/routed").count() == na + nb
+    audit = spark.read.parquet(f"{scratch}/audit")
+    assert audit.select("query_id").distinct().count() == 2
+    assert audit.agg(F.sum("valid") + F.sum("rejected")).first()[0] == na + nb
+
+
+def test_a_stray_future_row_drops_nothing_and_is_kept_apart(spark, scratch):
+    src = f"{scratch}/in"
+    trip_csv(spark, [("1", "2019-01-01 10:00:00", "1"), ("1", "2088-01-24 00:00:00", "1"), ("1", None, "1")], f"{src}/a.csv", 0)
+    trip_csv(spark, [("1", "2019-01-02 10:00:00", "1")], f"{src}/b.csv", 1)
+    trip_csv(spark, [("1", "2019-01-03 10:00:00", str(z)) for z in range(20)], f"{src}/c.csv", 2)
+    trip_csv(spark, [("1", "2019-01-03 10:00:00", "3"), ("9", "2019-01-01 09:00:00", "3")], f"{src}/d.csv", 3)
+    done = S.run_dedup(spark, src, TAXI_JANUARY_2019, f"{scratch}/out", f"{scratch}/strays", f"{scratch}/ckpt", max_files_per_trigger=1)
+    kept, strays = spark.read.parquet(f"{scratch}/out").count(), spark.read.parquet(f"{scratch}/strays").count()
+    # 26 rows in = kept + strays + late + one duplicate
+    assert (kept, strays, done["late"]) == (22, 2, 1)
