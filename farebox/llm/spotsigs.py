@@ -50,8 +50,8 @@ def _let(value: Column, use) -> Column:
 def signatures(text: Column) -> Column:
     """Distinct sorted signature hashes of a text."""
     gap = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), WORD, " ")), F.lit(" "))
-    # pieces between runs of anchors: each holds the words after its run; the first those before any
-    runs = F.split(gap, "(?: (?:" + "|".join(sorted(set(ANCHORS))) + "))+(?= )")
+    # pieces between anchors (empty ones within a run of them go): the words after a run; the first those before any
+    runs = F.split(gap, " (?:" + "|".join(sorted(set(ANCHORS))) + ")(?= )")
     runs = F.filter(F.transform(runs, lambda p: F.trim(p)), lambda p: p != "")
 
     # anchors end a piece, but a chain reads on: a one-word piece takes the next piece's first word

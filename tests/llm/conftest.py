@@ -32,7 +32,7 @@ def documents(seed=1, n=60):
     rows[40][1] = rows[5][1]
     rows[41][1] = rows[6][1].replace(" ", "  \n\t") + "\r\n"
     odd = [None, "", " \n\t ", "word", "12 34 !!", "žluťoučký kůň 漢字", "a b  c", "x" * 300, "ß" * 40 + " É",
-           "no. No, no\n\n\nno  'll '", "<|endoftext|> end", "\x00 \x01", sentence(rng, "de", 3000), "'" * 50]
+           "no. No, no\n\n\nno  'll '", "<|endoftext|> end", "\x00 \x01", sentence(rng, "de", 3000), "'" * 50, "the " * 20_000 + "end"]
     for text in odd:
         rows.append([len(rows), text, rng.choice([None, "en"]), rng.choice([None, "s0", "z"])])
     rows.append([None, "an id that is null in the table", "en", "s1"])
