@@ -10,11 +10,13 @@ with its own blocks, so no fingerprint within the radius is missed. Then the exa
 similarity of the shingles themselves, sum of least over sum of greatest
 counts, decides: 0.8 or more is a match.
 
-Which windows are worth it: one of similarity 0.8 shares at least four fifths
-of the item's shingles, and its start differs from where a shared shingle places
-the item's start by at most a quarter of the item's shingles. So windows begin within that
-reach of a shared shingle; all others are below 0.8. Shingles are
-looked up by a 64-bit hash; a shared hash only proposes windows.
+Which windows are worth it: of the s shingles of an item-sized window of
+similarity 0.8, at most s/9 are not the item's. So among any s/9 + 1 of them one is
+shared, and looking up a document's shingles at every g-th word only, g the least
+s / (s/9 + 1) of all items, still meets one in each such window. The window's
+start differs from where this shingle places the item's by at most a quarter of the
+item's shingles, and windows begin within that reach; all others are below
+0.8. Shingles are looked up by a 64-bit hash; a shared hash only proposes windows.
 
 Item shingles are broadcast while they number at most ``MOST_BROADCAST``, counted
 first; beyond it the shingles are joined by shuffle, and the proposed regions are
@@ -43,21 +45,22 @@ SLACK = RADIUS // len(BLOCKS)
 #: Item shingles of about 100 bytes each: at most some 20 MB are broadcast.
 MOST_BROADCAST = 200_000
 WORD = "[\\p{L}\\p{N}]+"
+GAP = "[^\\p{L}\\p{N}]+"
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), GAP), "")
 
 
-def _each(w: Column, size: Column, make) -> Column:
-    """``make`` of every run of ``size`` words."""
+def _each(w: Column, size: Column, make, step: int = 1) -> Column:
+    """``make`` of runs of ``size`` words; one begins every ``step`` words."""
     last = F.size(w) - size
-    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)), F.lit(step))).otherwise(F.array().cast("array<int>"))
     return F.transform(starts, lambda i: make(F.slice(w, i + 1, size)))
 
 
-def shingle_hashes(w: Column, size: Column) -> Column:
-    return _each(w, size, lambda run: F.xxhash64(run))
+def shingle_hashes(w: Column, size: Column, step: int = 1) -> Column:
+    return _each(w, size, lambda run: F.xxhash64(run), step)
 
 
 def shingles(w: Column, size: Column) -> Column:
@@ -105,8 +108,9 @@ def regions(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADC
     ``diag`` is the item's start by a shared shingle, ``first`` the region's first word.
     """
     placed = items.select("item_id", "n", "size", "reach", F.posexplode("h").alias("at", "h"))
-    counts = {r["size"]: r["k"] for r in placed.groupBy("size").agg(F.count("*").alias("k")).collect()}       # at most five rows
-    small = sum(counts.values()) <= most_broadcast
+    length = items.withColumn("s", F.size("h")).groupBy("size").agg(F.sum("s").alias("k"), F.min(F.floor(F.col("s") / (F.floor(F.col("s") / 9) + 1))).alias("step"))
+    sizes = {r["size"]: r for r in length.collect()}       # at most five rows
+    small = sum(r["k"] for r in sizes.values()) <= most_broadcast
     placed = placed.select("h", "size", "n", "reach", "at").distinct()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     rows = texts.select("doc_id", "text_key", words(F.col("text")).alias("w"))
@@ -114,10 +118,10 @@ def regions(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADC
     region = F.slice("w", first + 1, F.col("n") + 2 * F.col("reach")).alias("region")
     keys = ["doc_id", "text_key", "n", "size", "reach", "diag"]
     found = []
-    for size in sorted(counts):
-        mine = placed.where(F.col("size") == size)
-        hashed = rows.select("doc_id", "text_key", *(["w"] if small else []), F.posexplode(shingle_hashes(F.col("w"), F.lit(size))).alias("pos", "h"))
-        hits = hashed.join(F.broadcast(mine) if small else mine, "h").withColumn("diag", F.col("pos") - F.col("at"))
+    for size in sorted(sizes):
+        mine, step = placed.where(F.col("size") == size), max(1, sizes[size]["step"])
+        hashed = rows.select("doc_id", "text_key", *(["w"] if small else []), F.posexplode(shingle_hashes(F.col("w"), F.lit(size), step)).alias("pos", "h"))
+        hits = hashed.join(F.broadcast(mine) if small else mine, "h").withColumn("diag", F.col("pos") * step - F.col("at"))
         if small:       # all hits of a document come from one task: the partial aggregate keeps one row per place
             found.append(hits.select(*keys, first.alias("first"), region).groupBy(*keys, "first").agg(F.first("region").alias("region")))
         else:
@@ -143,8 +147,10 @@ def windows(proposed: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """(doc_id, text_key, item_id, start, n, similarity): every window that an item matches."""
-    items = benchmark_items(benchmark)
-    seen = written(windows(regions(docs, items, most_broadcast)), "windows").withColumn("h", shingle_hashes(F.col("w"), F.col("size"))).withColumn("fp", simhash(F.col("h")))
+    # both tables are written with their fingerprints: filters on these would else be pushed into their expressions
+    items = written(benchmark_items(benchmark), "items")
+    seen = windows(regions(docs, items, most_broadcast)).withColumn("h", shingle_hashes(F.col("w"), F.col("size")))
+    seen = written(seen.withColumn("fp", simhash(F.col("h"))).drop("h"), "windows")
     filed = items.select("item_id", F.col("n").alias("item_n"), F.col("fp").alias("item_fp"), "shingle", F.explode(F.array(*[
         F.struct(F.lit(i).alias("no"), _block(F.col("fp"), low, width).alias("value"), F.array(*[F.lit(m).cast("long") for m in _masks(width)]).alias("masks"))
         for i, (low, width) in enumerate(BLOCKS)])).alias("b"))
@@ -155,6 +161,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
              .select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_key"), F.col("start").alias("of_start"), F.col("n").alias("of_n"), "item_id").distinct())
     texts = items.select("item_id", "shingle").withColumnRenamed("item_id", "of_item")
     full = seen.select("doc_id", "text_key", "start", "n", shingles(F.col("w"), F.col("size")).alias("own"))
+    pairs = written(pairs, "pairs")
     checked = (pairs.join(full, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_key") == F.col("text_key"))
                           & (F.col("of_start") == F.col("start")) & (F.col("of_n") == F.col("n")))
                .join(texts, F.col("item_id").eqNullSafe(F.col("of_item"))))
