@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,27 +30,41 @@ def rejected_trips(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("status") == STATUS_REJECTED).drop("status")
 
 
-def dedup(valid: DataFrame, rules: TripRules) -> DataFrame:
+def duplicate_keys(valid: DataFrame, rules: TripRules) -> DataFrame:
+    """Trip keys that occur more than once: a hash aggregate over the keys alone."""
+    return (valid.groupBy(*rules.dedup_keys).agg(F.count(F.lit(1)).alias("copies"))
+                 .filter(F.col("copies") > 1))
+
+
+def dedup(valid: DataFrame, rules: TripRules, repeated: DataFrame | None = None) -> DataFrame:
     """One survivor per trip key, chosen by a total order; counts what was removed.
 
-    The survivor is the minimum of ``struct(order columns, every other column)``,
-    so the choice is deterministic even when the listed order columns tie. It
-    is an aggregate, not a window: partial aggregation collapses copies on the
-    map side before the shuffle, so a key holding a large share of the rows
-    never lands whole in one task.
+    Only rows of ``repeated`` keys (``duplicate_keys``; a written table lets its
+    real size decide on a broadcast) are compared; all others pass through
+    without a shuffle of their columns. A survivor is the minimum of
+    ``struct(order columns, every other column)``, so the choice is
+    deterministic even when the listed order columns tie. It is an aggregate,
+    not a window: copies collapse on the map side, so a key holding a large
+    share of the rows never lands whole in one task.
     """
     keys = list(rules.dedup_keys)
     order = [c for c in rules.dedup_order if c in valid.columns]
     rest = [c for c in valid.columns if c not in keys and c not in order]
     fields = order + rest
-    agg = (valid.groupBy(*keys)
+    if repeated is None:
+        repeated = duplicate_keys(valid, rules)
+    twice = broadcast_if_small(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    single = valid.join(twice, same, "left_anti").withColumn("duplicates_removed", F.lit(0).cast("bigint"))
+    agg = (valid.join(twice, same, "left_semi").groupBy(*keys)
                 .agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_s"),
                      F.count(F.lit(1)).alias("_n")))
-    return agg.select(
+    kept = agg.select(
         *keys,
         *[F.col("_s")[c].alias(c) for c in fields],
         (F.col("_n") - 1).alias("duplicates_removed"),
-    ).select(*valid.columns, "duplicates_removed")
+    )
+    return single.select(*valid.columns, "duplicates_removed").union(kept.select(*valid.columns, "duplicates_removed"))
 
 
 def add_trip_metrics(df: DataFrame) -> DataFrame:
@@ -80,6 +96,6 @@ def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
               .join(broadcast_if_small(do), "do_location_id", "left"))
 
 
-def silver(valid: DataFrame, zones: DataFrame, rules: TripRules) -> DataFrame:
+def silver(valid: DataFrame, zones: DataFrame, rules: TripRules, repeated: DataFrame | None = None) -> DataFrame:
     """Valid trips, deduplicated, with metrics and both zone roles."""
-    return enrich_zones(add_trip_metrics(dedup(valid, rules)), zones)
+    return enrich_zones(add_trip_metrics(dedup(valid, rules, repeated)), zones)

@@ -99,7 +99,10 @@ class TripLake:
         with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters="4"):
             self._write(clean.tag_rejects(self._raw()), "staged", partition_by=("status",), force=force)
         staged = spark.read.parquet(self.path("staged"))
-        self._write(clean.silver(clean.valid_trips(staged), self.zones(), rules), "silver_trips", force=force)
+        valid = clean.valid_trips(staged)
+        self._write(clean.duplicate_keys(valid, rules), "duplicate_keys", force=force)
+        repeated = spark.read.parquet(self.path("duplicate_keys"))
+        self._write(clean.silver(valid, self.zones(), rules, repeated), "silver_trips", force=force)
         silver = spark.read.parquet(self.path("silver_trips"))
         # clustered by day inside each file: date ranges skip row groups
         self._write(star.fact_trips(silver, rules).sortWithinPartitions("date_id"), "fact_trips", force=force)

@@ -103,9 +103,9 @@ base AS (
          (l.l_orderkey * {X.DURATION_ORDER_MULT} + l.l_partkey * {X.DURATION_PART_MULT}) % {X.DURATION_MODULUS} - {X.DURATION_SHIFT} AS dur,
          o.o_orderdate, o.o_orderpriority, s.s_nationkey, c.c_nationkey
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 ),
 trips0 AS (
   SELECT CAST(l_suppkey % {X.VENDOR_MODULUS} + 1 AS INTEGER) AS vendor_id,

@@ -73,9 +73,11 @@ def base_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Large-to-large joins: left to the optimizer (sort-merge or, when the
     # scan statistics fit the broadcast threshold, broadcast).
-    j = (li.join(od, li.l_orderkey == od.o_orderkey)
-           .join(su, li.l_suppkey == su.s_suppkey)
-           .join(cu, od.o_custkey == cu.c_custkey))
+    # Left joins: a line item without its order, supplier or customer stays a
+    # trip, whose missing time or zone the rules reject and the funnel counts.
+    j = (li.join(od, li.l_orderkey == od.o_orderkey, "left")
+           .join(su, li.l_suppkey == su.s_suppkey, "left")
+           .join(cu, od.o_custkey == cu.c_custkey, "left"))
 
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     disc = F.round(F.col("l_discount") * 100).cast("bigint")
