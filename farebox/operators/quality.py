@@ -42,10 +42,9 @@ def funnel(staged: DataFrame, fact: DataFrame) -> DataFrame:
         "nb_trips")
 
     rows = raw_total.unionByName(rejects).unionByName(dups).unionByName(anomalies).unionByName(kept)
-    # 1-row total joined back: the rows are already aggregated (a dozen).
-    total = raw_total.select(F.col("nb_trips").alias("_raw"))
-    return (rows.crossJoin(total)
+    raw = raw_total.select(F.col("nb_trips")).scalar()       # one row
+    return (rows
                 .select("step_order", "step", "category", "reason",
                         F.col("nb_trips").cast("bigint").alias("nb_trips"),
-                        F.try_divide(F.col("nb_trips").cast("double"), F.col("_raw").cast("double"))
+                        F.try_divide(F.col("nb_trips").cast("double"), raw.cast("double"))
                          .alias("pct_of_raw")))
