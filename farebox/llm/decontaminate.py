@@ -120,7 +120,10 @@ def regions(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADC
     found = []
     for size in sorted(sizes):
         mine, step = placed.where(F.col("size") == size), max(1, sizes[size]["step"])
-        hashed = rows.select("doc_id", "text_key", *(["w"] if small else []), F.posexplode(shingle_hashes(F.col("w"), F.lit(size), step)).alias("pos", "h"))
+        # hashes are a column before they are exploded: compiled code then passes the words on by reference, uncopied;
+        # an outer explode, as for an inner one the optimizer filters by the whole expression, which splits texts per shingle
+        hashed = rows.withColumn("hs", shingle_hashes(F.col("w"), F.lit(size), step))
+        hashed = hashed.select("doc_id", "text_key", *(["w"] if small else []), F.posexplode_outer("hs").alias("pos", "h"))
         hits = hashed.join(F.broadcast(mine) if small else mine, "h").withColumn("diag", F.col("pos") * step - F.col("at"))
         if small:       # all hits of a document come from one task: the partial aggregate keeps one row per place
             found.append(hits.select(*keys, first.alias("first"), region).groupBy(*keys, "first").agg(F.first("region").alias("region")))
