@@ -13,13 +13,13 @@ counts, decides: 0.8 or more is a match.
 Which windows are worth it: of the s shingles of an item-sized window of
 similarity 0.8, at most s/9 are not the item's. So among any s/9 + 1 of them one is
 shared, and looking up a document's shingles at every g-th word only, g the least
-s / (s/9 + 1) of all items, still meets one in each such window. The window's
-start differs from where this shingle places the item's by at most a quarter of the
-item's shingles, and windows begin within that reach; all others are below
-0.8. Shingles are looked up by a 64-bit hash; a shared hash only proposes windows.
+s / (s/9 + 1) of all items, still meets one in each such window: of the s/g looked up
+in it, all but s/9 at least. Windows with that many are proposed wherever in the
+item these shingles stand, so parts in another order are found; all others are
+below 0.8. Shingles are looked up by a 64-bit hash; a shared hash only proposes windows.
 
 Item shingles are broadcast while they number at most ``MOST_BROADCAST``, counted
-first; beyond it the shingles are joined by shuffle, and the proposed regions are
+first; beyond it the shingles are joined by shuffle, and the proposed windows are
 cut from the documents in a second join. Both ways give the same rows.
 
 Defined cases: null or word-less texts and items match nothing; an item shorter
@@ -31,7 +31,7 @@ them. Empty tables give no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -99,60 +99,69 @@ def benchmark_items(benchmark: DataFrame) -> DataFrame:
     items = benchmark.select("item_id", words(F.col("text")).alias("w")).withColumn("n", F.size("w")).where("n > 0")
     items = items.withColumn("size", F.least("n", F.lit(SIZE)))
     items = items.withColumn("h", shingle_hashes(F.col("w"), F.col("size"))).withColumn("shingle", shingles(F.col("w"), F.col("size")))
-    return items.withColumn("fp", simhash(F.col("h"))).withColumn("reach", F.floor(F.size("h") / 4).cast("int"))
+    return items.withColumn("fp", simhash(F.col("h")))
 
 
-def regions(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """(doc_id, text_key, n, size, reach, diag, first, region): words around proposed places of items.
+def _starts(hits: DataFrame, step: int, most: int) -> DataFrame:
+    """``hits`` (a document's looked-up places ``pos`` of n-word items) with ``low`` and ``high``: the starts of proposed windows.
 
-    ``diag`` is the item's start by a shared shingle, ``first`` the region's first word.
+    A window belongs to the first hit in it, so none is proposed twice. At most ``most`` places are looked up in one.
     """
-    placed = items.select("item_id", "n", "size", "reach", F.posexplode("h").alias("at", "h"))
-    length = items.withColumn("s", F.size("h")).groupBy("size").agg(F.sum("s").alias("k"), F.min(F.floor(F.col("s") / (F.floor(F.col("s") / 9) + 1))).alias("step"))
+    s = F.col("n") - F.col("size") + 1
+    need = F.floor(s / step) - F.floor(s / 9)
+    hit = Window.partitionBy("doc_id", "text_key", "n").orderBy("pos")
+    seen = hits.withColumn("before", F.lag("pos").over(hit)).withColumn("next", F.collect_list("pos").over(hit.rowsBetween(0, most - 1)))
+    enough = F.get("next", (need - 1).cast("int"))      # the hit that fills the window's count; null: there is none
+    low = F.greatest(F.lit(0), F.coalesce(F.col("before") + 1, F.lit(0)), enough - s + 1)
+    high = F.least(F.col("pos"), F.col("total") - F.col("n"))
+    return seen.withColumn("low", low).withColumn("high", high).where(enough.isNotNull() & (F.col("low") <= F.col("high"))).drop("before", "next")
+
+
+def windows(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """(doc_id, text_key, start, n, size, w): item-sized windows that share enough looked-up shingles with items of n words."""
+    placed = items.select("n", "size", F.explode("h").alias("h"))
+    length = items.withColumn("s", F.size("h")).groupBy("size").agg(
+        F.sum("s").alias("k"), F.max("s").alias("longest"), F.min(F.floor(F.col("s") / (F.floor(F.col("s") / 9) + 1))).alias("step"))
     sizes = {r["size"]: r for r in length.collect()}       # at most five rows
     small = sum(r["k"] for r in sizes.values()) <= most_broadcast
-    placed = placed.select("h", "size", "n", "reach", "at").distinct()
+    placed = placed.distinct()
     texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     rows = texts.select("doc_id", "text_key", words(F.col("text")).alias("w"))
-    first = F.greatest(F.lit(0), F.col("diag") - F.col("reach"))
-    region = F.slice("w", first + 1, F.col("n") + 2 * F.col("reach")).alias("region")
-    keys = ["doc_id", "text_key", "n", "size", "reach", "diag"]
+    keys = ["doc_id", "text_key", "n", "size", "total", "pos"]
     found = []
     for size in sorted(sizes):
         mine, step = placed.where(F.col("size") == size), max(1, sizes[size]["step"])
         # hashes are a column before they are exploded: compiled code then passes the words on by reference, uncopied;
         # an outer explode, as for an inner one the optimizer filters by the whole expression, which splits texts per shingle
-        hashed = rows.withColumn("hs", shingle_hashes(F.col("w"), F.lit(size), step))
-        hashed = hashed.select("doc_id", "text_key", *(["w"] if small else []), F.posexplode_outer("hs").alias("pos", "h"))
-        hits = hashed.join(F.broadcast(mine) if small else mine, "h").withColumn("diag", F.col("pos") * step - F.col("at"))
-        if small:       # all hits of a document come from one task: the partial aggregate keeps one row per place
-            found.append(hits.select(*keys, first.alias("first"), region).groupBy(*keys, "first").agg(F.first("region").alias("region")))
+        hashed = rows.withColumn("hs", shingle_hashes(F.col("w"), F.lit(size), step)).withColumn("total", F.size("w"))
+        hashed = hashed.select("doc_id", "text_key", "total", *(["w"] if small else []), F.posexplode_outer("hs").alias("pos", "h"))
+        hits = hashed.join(F.broadcast(mine) if small else mine, "h").withColumn("pos", F.col("pos") * step)
+        most = max(1, sizes[size]["longest"] // step)
+        if small:       # a hit takes along the words of all windows that it is in
+            first = F.greatest(F.lit(0), F.col("pos") - (F.col("n") - F.col("size")))
+            hits = hits.select(*keys, F.slice("w", first + 1, F.col("pos") + F.col("n") - first).alias("around"))
+            cut = _starts(hits.groupBy(*keys).agg(F.first("around").alias("around")), step, most)
+            region = F.slice("around", F.col("low") - first + 1, F.col("high") - F.col("low") + F.col("n"))
         else:
-            places = hits.select(*keys).distinct().withColumnsRenamed({"doc_id": "of", "text_key": "of_key"})
+            places = _starts(hits.select(*keys).distinct(), step, most).withColumnsRenamed({"doc_id": "of", "text_key": "of_key"})
             cut = places.join(texts, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_key") == F.col("text_key")))
             cut = cut.withColumn("w", words(F.col("text")))
-            found.append(cut.select(*keys, first.alias("first"), region))
+            region = F.slice("w", F.col("low") + 1, F.col("high") - F.col("low") + F.col("n"))
+        found.append(cut.select("doc_id", "text_key", "n", "size", "low", "high", region.alias("region")))
     if not found:
-        return rows.where("false").selectExpr("doc_id", "text_key", "0 n", "0 size", "0 reach", "0 diag", "0 first", "w region")
+        return rows.where("false").selectExpr("doc_id", "text_key", "0 start", "0 n", "0 size", "w")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
-
-
-def windows(proposed: DataFrame) -> DataFrame:
-    """(doc_id, text_key, start, n, size, w): item-sized windows within reach of a proposed place."""
-    last = F.least(F.col("diag") + F.col("reach"), F.col("first") + F.size("region") - F.col("n"))
-    some = proposed.where(last >= F.col("first")).withColumn("start", F.explode(F.sequence("first", last)))
-    return (some.select("doc_id", "text_key", "start", "n", "size", F.slice("region", F.col("start") - F.col("first") + 1, F.col("n")).alias("w"))
-            .groupBy("doc_id", "text_key", "start", "n", "size").agg(F.first("w").alias("w")))
+    some = out.withColumn("start", F.explode(F.sequence("low", "high")))
+    return some.select("doc_id", "text_key", "start", "n", "size", F.slice("region", F.col("start") - F.col("low") + 1, F.col("n")).alias("w"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """(doc_id, text_key, item_id, start, n, similarity): every window that an item matches."""
     # both tables are written with their fingerprints: filters on these would else be pushed into their expressions
     items = written(benchmark_items(benchmark), "items")
-    seen = windows(regions(docs, items, most_broadcast)).withColumn("h", shingle_hashes(F.col("w"), F.col("size")))
+    seen = windows(docs, items, most_broadcast).withColumn("h", shingle_hashes(F.col("w"), F.col("size")))
     seen = written(seen.withColumn("fp", simhash(F.col("h"))).drop("h"), "windows")
     filed = items.select("item_id", F.col("n").alias("item_n"), F.col("fp").alias("item_fp"), "shingle", F.explode(F.array(*[
         F.struct(F.lit(i).alias("no"), _block(F.col("fp"), low, width).alias("value"), F.array(*[F.lit(m).cast("long") for m in _masks(width)]).alias("masks"))

@@ -267,6 +267,30 @@ def test_near_item_is_found(spark):
     assert [(r["doc_id"], r["item_id"]) for r in got] == [(1, 9)] and got[0]["similarity"] == pytest.approx(54 / 58)
 
 
+def item_shingles(w, n):
+    k = min(5, n)
+    return collections.Counter(" ".join(w[i:i + k]) for i in range(len(w) - k + 1))
+
+
+@pytest.mark.parametrize("most", [decontaminate.MOST_BROADCAST, 0])
+def test_item_with_swapped_halves_is_found(spark, most):
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in (40, 50, 59, 100)}
+    around = [f"other{i}" for i in range(70)]
+    docs = {n: [*around[:n % 7], *w[n // 2:], *w[:n // 2], *around] for n, w in items.items()}
+    want = {}
+    for n, x in docs.items():
+        for s in range(len(x) - n + 1):
+            a, b = item_shingles(x[s:s + n], n), item_shingles(items[n], n)
+            like = (a & b).total() / (a | b).total()
+            if like >= 0.8 and like > want.get(n, (0, 0, 0))[2]:
+                want[n] = (s, n, like)
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    texts = spark.createDataFrame([(n, " ".join(x)) for n, x in docs.items()], "doc_id long, text string")
+    got = decontaminate.contaminated(texts, bench, most_broadcast=most).collect()
+    assert {r["doc_id"]: (r["first_word"], r["n_words"], r["similarity"]) for r in got if r["doc_id"] == r["item_id"]} == want and len(got) == len(want) == 4
+    assert decontaminate.clean(texts, bench, most_broadcast=most).count() == 0
+
+
 # ---- 8 ---------------------------------------------------------------------------
 
 def test_language_model(spark, tables, odd_docs):
