@@ -1,7 +1,8 @@
 """Benchmark decontamination (6), with DataFrame and SQL functions only.
 
 A benchmark item of n words is looked for in item-sized windows of a document's
-words (lower-cased runs of letters and digits). Windows and items are
+words (lower-cased runs of letters and digits); a document of fewer words is one
+window, whole. Windows and items are
 SimHashed over their shingles of five words (repeats weigh more; fewer words: all of them as one shingle).
 Multi-index Hamming search: the 64 bits are cut into five blocks of 13 or 12
 bits, and of two fingerprints within ``RADIUS`` = 19 bits some block differs in at most
@@ -16,7 +17,8 @@ shared, and looking up a document's shingles at every g-th word only, g the leas
 s / (s/9 + 1) of all items, still meets one in each such window: of the s/g looked up
 in it, all but s/9 at least. Windows with that many are proposed wherever in the
 item these shingles stand, so parts in another order are found; all others are
-below 0.8. Shingles are looked up by a 64-bit hash; a shared hash only proposes windows.
+below 0.8. Of t < s shingles of a whole shorter document, at most (5 t - 4 s)/9 are
+not the item's, and its first is looked up, so the same holds. Shingles are looked up by a 64-bit hash; a shared hash only proposes windows.
 
 Item shingles are broadcast while they number at most ``MOST_BROADCAST``, counted
 first; beyond it the shingles are joined by shuffle, and the proposed windows are
@@ -107,18 +109,22 @@ def _starts(hits: DataFrame, step: int, most: int) -> DataFrame:
 
     A window belongs to the first hit in it, so none is proposed twice. At most ``most`` places are looked up in one.
     """
-    s = F.col("n") - F.col("size") + 1
-    need = F.floor(s / step) - F.floor(s / 9)
+    s, t = F.col("n") - F.col("size") + 1, F.least("n", "total") - F.col("size") + 1
+    need = F.greatest(F.lit(1), F.floor(t / step) - F.floor((5 * t - 4 * s) / 9))
     hit = Window.partitionBy("doc_id", "text_key", "n").orderBy("pos")
     seen = hits.withColumn("before", F.lag("pos").over(hit)).withColumn("next", F.collect_list("pos").over(hit.rowsBetween(0, most - 1)))
+    seen = seen.where(5 * t >= 4 * s)                   # fewer shingles are below 0.8
     enough = F.get("next", (need - 1).cast("int"))      # the hit that fills the window's count; null: there is none
-    low = F.greatest(F.lit(0), F.coalesce(F.col("before") + 1, F.lit(0)), enough - s + 1)
-    high = F.least(F.col("pos"), F.col("total") - F.col("n"))
+    low = F.greatest(F.lit(0), F.coalesce(F.col("before") + 1, F.lit(0)), enough - t + 1)
+    high = F.least(F.col("pos"), F.greatest(F.lit(0), F.col("total") - F.col("n")))
     return seen.withColumn("low", low).withColumn("high", high).where(enough.isNotNull() & (F.col("low") <= F.col("high"))).drop("before", "next")
 
 
 def windows(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """(doc_id, text_key, start, n, size, w): item-sized windows that share enough looked-up shingles with items of n words."""
+    """(doc_id, text_key, start, n, size, w): item-sized windows that share enough looked-up shingles with items of n words.
+
+    Shorter documents are windows of all their words under the ``n`` of the items.
+    """
     placed = items.select("n", "size", F.explode("h").alias("h"))
     length = items.withColumn("s", F.size("h")).groupBy("size").agg(
         F.sum("s").alias("k"), F.max("s").alias("longest"), F.min(F.floor(F.col("s") / (F.floor(F.col("s") / 9) + 1))).alias("step"))
@@ -158,7 +164,7 @@ def windows(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADC
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
-    """(doc_id, text_key, item_id, start, n, similarity): every window that an item matches."""
+    """(doc_id, text_key, item_id, start, n, similarity): every window that an item matches, and how many words it has."""
     # both tables are written with their fingerprints: filters on these would else be pushed into their expressions
     items = written(benchmark_items(benchmark), "items")
     seen = windows(docs, items, most_broadcast).withColumn("h", shingle_hashes(F.col("w"), F.col("size")))
@@ -172,13 +178,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
     pairs = (asked.join(filed, (asked["no"] == filed["no"]) & (asked["value"] == filed["value"]) & (F.col("n") == F.col("item_n"))).where(near)
              .select(F.col("doc_id").alias("of"), F.col("text_key").alias("of_key"), F.col("start").alias("of_start"), F.col("n").alias("of_n"), "item_id").distinct())
     texts = items.select("item_id", "shingle").withColumnRenamed("item_id", "of_item")
-    full = seen.select("doc_id", "text_key", "start", "n", shingles(F.col("w"), F.col("size")).alias("own"))
+    full = seen.select("doc_id", "text_key", "start", "n", F.size("w").alias("n_words"), shingles(F.col("w"), F.col("size")).alias("own"))
     pairs = written(pairs, "pairs")
     checked = (pairs.join(full, F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("of_key") == F.col("text_key"))
                           & (F.col("of_start") == F.col("start")) & (F.col("of_n") == F.col("n")))
                .join(texts, F.col("item_id").eqNullSafe(F.col("of_item"))))
     return (checked.withColumn("similarity", weighted_similarity(F.col("own"), F.col("shingle"))).where(F.col("similarity") >= similarity)
-            .select("doc_id", "text_key", "item_id", "start", "n", "similarity"))
+            .select("doc_id", "text_key", "item_id", "start", F.col("n_words").alias("n"), "similarity"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

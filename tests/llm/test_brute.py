@@ -291,6 +291,25 @@ def test_item_with_swapped_halves_is_found(spark, most):
     assert decontaminate.clean(texts, bench, most_broadcast=most).count() == 0
 
 
+@pytest.mark.parametrize("most", [decontaminate.MOST_BROADCAST, 0])
+def test_documents_shorter_than_an_item(spark, most):
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in (5, 7, 16, 40, 59)}
+    docs = {100 * n + c: w[:n - c] for n, w in items.items() for c in (1, 2, 3, 6, 12) if c < n}
+    docs |= {100 * n + 50: w[1:] for n, w in items.items()} | {100 * n + 51: [*w[:n - 2], "other"] for n, w in items.items()}
+    want = {}
+    for d, x in docs.items():
+        n = d // 100
+        a, b = item_shingles(x, n), item_shingles(items[n], n)
+        like = (a & b).total() / (a | b).total()
+        if like >= 0.8:
+            want[d, n] = (0, len(x), like)
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    texts = spark.createDataFrame([(d, " ".join(x)) for d, x in docs.items()], "doc_id long, text string")
+    got = decontaminate.contaminated(texts, bench, most_broadcast=most).collect()
+    assert {(r["doc_id"], r["item_id"]): (r["first_word"], r["n_words"], r["similarity"]) for r in got} == want and (4001, 40) in want and len(want) > 8
+    assert {r["doc_id"] for r in decontaminate.clean(texts, bench, most_broadcast=most).collect()} == set(docs) - {d for d, _ in want}
+
+
 # ---- 8 ---------------------------------------------------------------------------
 
 def test_language_model(spark, tables, odd_docs):
