@@ -13,6 +13,13 @@ that repeat inside it: only those of the smallest id go on to the buckets. A
 passage that a third of all documents share so reaches its bucket once per
 batch, not once per document.
 
+A line shorter than a window gives one minimiser to many different windows. So
+windows are counted by minimiser first, and those of a minimiser with more than
+``MOST_WINDOWS`` go by the smallest hash among their runs of half a window's words,
+and where that is as crowded, by the hash of the whole window. Equal windows
+have equal keys at each step, so they still meet. Counts only choose the way:
+results don't depend on them.
+
 Defined cases: a null text has no words (kept text "", n_words 0); fewer words
 than ``width`` are kept whole; a null doc_id counts as larger than every id;
 rows with equal ids don't remove each other's words, nor does a document its
@@ -32,10 +39,12 @@ from pyspark.sql import functions as F
 from .common import hashed_words, importable, mix, n_groups, slices, table, text_buffer, words_of
 
 BATCH_BYTES = 4 << 20            # of stored input; more on larger executors
+MOST_WINDOWS = 1 << 17           # of one minimiser in a bucket
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
 
 _PACKED = pa.schema([("bucket", pa.int64()), ("meta", pa.binary()), ("words", pa.binary()), ("spans", pa.binary())])
+_COUNTS = pa.schema([("level", pa.int64()), ("low", pa.int64()), ("windows", pa.int64())])
 _SPANS = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 #: Columns of a super-k-mer: batch, row key, id, first word, words, bytes.
@@ -109,6 +118,49 @@ def minimisers(h: np.ndarray, starts: np.ndarray, width: int, mer: int) -> np.nd
     return np.minimum(low[starts], low[starts + want - span])
 
 
+def levels(width: int, mer: int) -> list[int]:
+    """Words per run whose smallest hash is a window's key: the minimiser, half a window, the whole."""
+    return sorted({mer, max(mer, width // 2), width})
+
+
+def routes(h: np.ndarray, starts: np.ndarray, width: int, mer: int, heavy: list[np.ndarray]) -> np.ndarray:
+    """The key of each window: its smallest hash at the first level where that is not ``heavy``."""
+    key = minimisers(h, starts, width, mer)
+    rest = np.arange(len(starts))
+    for crowded, longer in zip(heavy, levels(width, mer)[1:], strict=False):
+        rest = rest[np.isin(key[rest], crowded)]
+        if not len(rest):
+            break
+        key[rest] = minimisers(h, starts[rest], width, longer)
+    return key
+
+
+def crowds(text, width: int, mer: int) -> pa.Table:
+    """(level, low, windows): different windows by key, where they come from more than one place."""
+    parts, out = list(hashed_words(text, lower=False)), []
+    h = np.concatenate([np.zeros(0, np.uint64), *(p[3] for p in parts)])
+    starts = window_starts(np.concatenate([np.zeros(0, np.int64), *(p[2] for p in parts)]), width)
+    for level, run in enumerate(levels(width, mer)[:-1]):
+        if not len(starts):
+            break
+        low = minimisers(h, starts, width, run)
+        # runs of equal keys are counted first, then different windows of those that one place can't have
+        cut = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        kinds, which = np.unique(low[cut], return_inverse=True)
+        many = kinds[np.bincount(which, np.diff(np.append(cut, len(low)))) > width - run + 1]
+        starts = starts[np.isin(low, many)] if len(many) else starts[:0]
+        if not len(starts):
+            break
+        _, one = np.unique(runs(h, width)[starts], return_index=True)
+        starts = np.sort(starts[one])
+        kinds, n = np.unique(minimisers(h, starts, width, run), return_counts=True)
+        kinds, n = kinds[n > width - run + 1], n[n > width - run + 1]
+        out.append(np.stack([np.full(len(kinds), level), kinds.view(np.int64), n], 1))
+        starts = starts[np.isin(minimisers(h, starts, width, run), kinds)]
+    found = np.concatenate([np.zeros((0, 3), np.int64), *out]).astype(np.int64)
+    return pa.table([pa.array(found[:, i]) for i in range(3)], schema=_COUNTS)
+
+
 def repeats(words: Words, h: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int):
     """Of windows at ``starts`` in documents ``ids``: does an equal one have a smaller id?"""
     w = runs(h, width)[starts] if len(starts) else np.zeros(0, np.uint64)
@@ -142,7 +194,7 @@ def _spans(place: np.ndarray, group: np.ndarray, width: int):
     return cut[:-1], place[cut[:-1]], place[cut[1:] - 1] + width
 
 
-def pack(group: pa.Table, buckets: int, width: int, mer: int) -> pa.Table:
+def pack(group: pa.Table, buckets: int, width: int, mer: int, heavy: list[np.ndarray]) -> pa.Table:
     """Super-k-mers of one batch by bucket, and the words it could mark itself."""
     words, h = Words(group["text"]), _hashes(group["text"])
     starts = window_starts(words.per_doc, width)
@@ -157,7 +209,8 @@ def pack(group: pa.Table, buckets: int, width: int, mer: int) -> pa.Table:
     mine = doc[marked][at]
     local = np.stack([np.full(len(at), batch), keys[mine], first - words.begin[mine], last - words.begin[mine]], 1).astype(np.int64)
     rest = ~marked
-    low, starts, doc = minimisers(h, starts, width, mer)[rest], starts[rest], doc[rest]
+    starts, doc = starts[rest], doc[rest]
+    low = routes(h, starts, width, mer, heavy) if len(starts) else np.zeros(0, np.uint64)
     cut = np.flatnonzero(np.concatenate([[True], (np.diff(starts) != 1) | (np.diff(doc) != 0) | (low[1:] != low[:-1])])) if len(low) else np.zeros(0, np.int64)
     first, d = starts[cut], doc[cut]
     last = starts[np.append(cut[1:], len(starts)) - 1] + width if len(cut) else first
@@ -227,24 +280,43 @@ def _dealt(docs: DataFrame, batch_bytes: int) -> tuple[DataFrame, int]:
                        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id")), batches
 
 
-def _found(dealt: DataFrame, buckets: int, width: int, mer: int) -> DataFrame:
-    packed = dealt.groupBy("batch").applyInArrow(lambda t: pack(t, buckets, width, mer), _ddl(_PACKED))
-    return packed.groupBy("bucket").applyInArrow(lambda t: settle(t, width), _ddl(_SPANS))
+def crowded(docs: DataFrame, width: int, mer: int, most: int) -> list[np.ndarray]:
+    """By level, the keys of more than ``most`` windows: at most one for each ``most`` windows of the input."""
+    names = ["level", "low"]
+
+    def counted(batches):
+        for b in batches:
+            for i, j in slices(text_buffer(b.column(0))[1], 2 * BATCH_BYTES):
+                yield from crowds(b.column(0).slice(i, j - i), width, mer).to_batches()
+
+    many = docs.select("text").mapInArrow(counted, _ddl(_COUNTS)).groupBy(*names).agg(F.sum("windows").alias("windows")).where(F.col("windows") > most)
+    found = many.select(*names).toArrow()
+    level, low = (np.asarray(found[c].combine_chunks()).astype(np.int64) for c in names)
+    return [low[level == i].view(np.uint64) for i in range(len(levels(width, mer)) - 1)]
+
+
+def _packed(dealt: DataFrame, buckets: int, width: int, mer: int, most: int) -> DataFrame:
+    heavy = crowded(dealt, width, mer, most)
+    return dealt.groupBy("batch").applyInArrow(lambda t: pack(t, buckets, width, mer, heavy), _ddl(_PACKED))
+
+
+def _found(dealt: DataFrame, buckets: int, width: int, mer: int, most: int) -> DataFrame:
+    return _packed(dealt, buckets, width, mer, most).groupBy("bucket").applyInArrow(lambda t: settle(t, width), _ddl(_SPANS))
 
 
-def repeated_ranges(docs: DataFrame, width: int = 50, mer: int = 5, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def repeated_ranges(docs: DataFrame, width: int = 50, mer: int = 5, batch_bytes: int = BATCH_BYTES, most_windows: int = MOST_WINDOWS) -> DataFrame:
     """(doc_id, first, last): word ranges that windows of smaller ids cover; ranges may overlap."""
     importable(docs.sparkSession)
     dealt, n = _dealt(docs, batch_bytes)
     ids = dealt.select("doc_id", "key", "batch").distinct()
-    return _found(dealt, n, width, mer).join(ids, ["key", "batch"]).select("doc_id", "first", "last")
+    return _found(dealt, n, width, mer, most_windows).join(ids, ["key", "batch"]).select("doc_id", "first", "last")
 
 
-def remove_repeats(docs: DataFrame, width: int = 50, mer: int = 5, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 50, mer: int = 5, batch_bytes: int = BATCH_BYTES, most_windows: int = MOST_WINDOWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs`` (doc_id, text)."""
     importable(docs.sparkSession)
     dealt, n = _dealt(docs, batch_bytes)
-    found = _found(dealt, n, width, mer)
+    found = _found(dealt, n, width, mer, most_windows)
     return dealt.groupBy("batch").cogroup(found.groupBy("batch")).applyInArrow(keep, _ddl(_KEPT))
 
 

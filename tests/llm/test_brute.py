@@ -380,6 +380,33 @@ def test_narrow_windows_and_small_batches(spark, tables, odd_docs):
 
 # ---- 10 --------------------------------------------------------------------------
 
+def test_a_hot_line_is_spread_over_buckets(spark):
+    import random
+    import pyarrow as pa
+    import zstandard
+    rng = random.Random(3)
+    low = lambda line: substrings.runs(substrings._hashes(pa.array([line])), 5).min()
+    line = min((" ".join(f"hot{rng.randint(0, 999)}" for _ in range(10)) for _ in range(2000)), key=low)
+    body = lambda: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(60))
+    rows = [(i, f"{body()} {line} {body()}" if i % 3 == 0 else f"{body()} {body()}") for i in range(900)]
+    shared = body()
+    rows += [(900 + i, f"{body()} {line} {shared}") for i in range(40)]          # repeats among the crowded windows
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt, n = substrings._dealt(docs, 4_000)
+
+    def largest(most):
+        seen = collections.Counter()
+        for r in substrings._packed(dealt, n, 50, 5, most).collect():
+            meta = np.frombuffer(zstandard.decompress(r["meta"]), np.int64).reshape(-1, 6)
+            seen[r["bucket"]] += int((meta[:, 4] - 49).sum())
+        return max(seen.values()) / (sum(seen.values()) / n)
+
+    # a bucket holds about 600 windows, and keys of up to 500 stay together
+    assert largest(1 << 40) > 20 and largest(500) < 4
+    for most in (500, 0):
+        same(substrings.remove_repeats(docs, batch_bytes=4_000, most_windows=most).collect(), plain_repeats(rows))
+
+
 @pytest.mark.parametrize("least", [0, 9])
 def test_warc(spark, tables, tmp_path, least):
     pages = spark.read.parquet(f"{tables}/pages.parquet")
