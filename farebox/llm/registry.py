@@ -5,7 +5,8 @@ from __future__ import annotations
 import importlib
 
 #: Modules that hold a QUERIES and an ORACLES table.
-MODULES = ("toxicity", "records", "simhash", "spotsigs", "mixing", "decontaminate", "langid", "ngrams", "substrings", "arc")
+MODULES = ("toxicity", "records", "simhash", "spotsigs", "mixing", "decontaminate", "langid", "ngrams", "substrings", "arc",
+           "chat")
 
 
 def _modules():
