@@ -6,7 +6,7 @@ import importlib
 
 #: Modules that hold a QUERIES and an ORACLES table.
 MODULES = ("toxicity", "records", "simhash", "spotsigs", "mixing", "decontaminate", "langid", "ngrams", "substrings", "arc",
-           "chat", "merkle")
+           "whitening", "chat", "merkle")
 
 
 def _modules():
