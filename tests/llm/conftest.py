@@ -42,7 +42,27 @@ def documents(seed=1, n=60):
     return [tuple(r) for r in rows]
 
 
-def write_tables(spark, folder, docs, benchmark=None, labels=None, pages=None):
+def embeddings():
+    """Awkward vectors of four entries: null, short, null and non-finite entries, huge ones, copies and equal integers."""
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1), rng.gauss(0, 0.3), 0.5, rng.gauss(1, 2)]) for i in range(50)]
+    rows += [(50 + i, [*rows[i][1]]) for i in range(20)] + [(80, [c + 1e-6 for c in rows[3][1]])]
+    rows += [(90, None), (91, [1.0, None, 2.0, 3.0]), (92, [1.0, float("nan"), 2.0, 3.0]), (93, [1.0, 2.0, float("inf"), 3.0]), (94, []),
+             (95, [1.0] * 5), (96, [1e300, 0.0, 0.0, 0.0]), (None, [0.0, 1.0, 0.5, -1.0]), (7, rows[7][1]), (97, [4000.0, -3000.25, 0.5, 1.0])]
+    return rows
+
+
+def conversations():
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "a<turn>b"), (1, 2, "assistant", "second <and> \\ part"), (1, 3, "user", ""),
+            (2, 1, "assistant", None), (2, 0, None, "no role"), (3, 5, "tool</turn>\n", "x <says> y\n</turn>\n"), (None, 0, "user", "lost"),
+            (4, None, "user", "no turn"), (4, 0, "assistant", "é漢<\\/turn>"), (4, 0, "assistant", "same turn"), (4, 0, "assistant", "same turn"),
+            (5, 0, "assistant", "x" * 100_000 + "<"), (-7, 9, "user", "more"), (6, 0, "", "empty role"), (6, 1, None, "joins it")]
+    return rows + [(8, i, ("user", "assistant", "assistant")[i % 3], f"turn {i} <") for i in range(700)]
+
+
+def write_tables(spark, folder, docs, benchmark=None, labels=None, pages=None, vectors=None, chats=None):
+    spark.createDataFrame([(*r, "x", 1) for r in vectors or []], "vec_id long, embedding array<double>, key string, n int").repartition(3).write.parquet(f"{folder}/embeddings.parquet")
+    spark.createDataFrame([(*r, "x", 1) for r in chats or []], "conv_id long, turn long, role string, text string, blocks string, loss int").repartition(3).write.parquet(f"{folder}/conversations.parquet")
     full = [(*r, None if r[1] is None else len(r[1]), *["x"] * 11, 7) for r in docs]
     spark.createDataFrame(full, DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(benchmark or [], "item_id long, text string, doc_id string, w int").write.parquet(f"{folder}/benchmark.parquet")
@@ -65,7 +85,7 @@ def tables(spark, odd_docs):
     pages = [(i, f"http://h{i % 3}/p {i}", f"<p>{i % 7}</p>" * (i % 4), "k", "t") for i in range(40)]
     pages += [(100, None, None, "k", "t"), (101, " ", "", "k", "t"), (None, "http://x/", "<p>2</p><p>2</p>", "k", "t"), (None, "u", "only null ids", "k", "t"),
               (None, "u", "only null ids", "k", "t"), (102, "dns:é", "é" * 5000, "k", "t"), (39, "http://h0/p 39", "<p>4</p>" * 3, "k", "t")]
-    return write_tables(spark, tempfile.mkdtemp(prefix="llm-tables-") + "/t", docs, bench, labels, pages)
+    return write_tables(spark, tempfile.mkdtemp(prefix="llm-tables-") + "/t", docs, bench, labels, pages, embeddings(), conversations())
 
 
 @pytest.fixture(scope="session")
