@@ -237,33 +237,35 @@ def fit(rows: DataFrame, per_lang: int = 400, max_train_chars: int = 20_000) ->
 
 # ---- scoring -------------------------------------------------------------------
 
-def _any_letter(column: pa.Array, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    plain = np.concatenate([[0], np.cumsum(((data | 32) >= 97) & ((data | 32) <= 122) & (data < 128))])
-    found = plain[offsets[1:]] > plain[offsets[:-1]]
-    for i in np.flatnonzero(~found & (offsets[1:] > offsets[:-1])):     # no ASCII letter: rare
-        found[i] = any(ch.isalpha() for ch in column[int(i)].as_py())
+def _any_letter(column: pa.Array, first: int, part: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which texts of a slice (lower-cased bytes ``part``, offsets ``at``, row ``first`` on) hold a letter."""
+    plain = (part >= 97) & (part <= 122)
+    # a text's first ASCII letter: where the next one is at its start, before its end
+    places = np.flatnonzero(plain)
+    found = np.searchsorted(places, at[1:]) > np.searchsorted(places, at[:-1])
+    for i in np.flatnonzero(~found & (at[1:] > at[:-1])):               # no ASCII letter: rare
+        found[i] = any(ch.isalpha() for ch in column[first + int(i)].as_py())
     return found
 
 
 def label_slices(model: Crf, column: pa.Array):
-    """For slices of a text column: (i, j, words per row, lettered words, marginals)."""
+    """For slices of a text column: (i, j, words per row, lettered words, marginals, lettered rows)."""
     data, offsets = text_buffer(column)
     for i, j in slices(offsets):
         part, at = _LOWER[data[offsets[i]: offsets[j]]], offsets[i: j + 1] - offsets[i]
         starts, ends, per_doc = words_of(part, at)
-        letters = np.concatenate([[0], np.cumsum(_letters(part))])
+        letters = np.zeros(len(part) + 1, np.int32 if len(part) < 1 << 31 else np.int64)
+        np.cumsum(_letters(part), out=letters[1:])
         p = np.zeros((0, len(model.langs)))
         if len(starts) and model.langs:
             p = marginals(emissions(model, part, starts, ends, word_hashes(part, starts, ends)), model.moves, per_doc)
-        yield i, j, per_doc, letters[ends] > letters[starts], p
+        yield i, j, per_doc, letters[ends] > letters[starts], p, _any_letter(column, i, part, at)
 
 
 def score_batch(model: Crf, column: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text."""
-    data, offsets = text_buffer(column)
-    lettered = _any_letter(column, data, offsets)
     names, scores = [UNDETERMINED] * len(column), np.zeros(len(column))
-    for i, j, per_doc, has, p in label_slices(model, column):
+    for i, j, per_doc, has, p, lettered in label_slices(model, column):
         if not len(p):
             continue
         owner = np.repeat(np.arange(j - i), per_doc)
@@ -273,7 +275,7 @@ def score_batch(model: Crf, column: pa.Array) -> tuple[list[str], np.ndarray]:
         mass = np.stack([np.bincount(owner, p[:, c] * weight, j - i) for c in range(p.shape[1])], 1)
         mass /= np.maximum(np.bincount(owner, weight, j - i), 1e-9)[:, None]
         best = mass.argmax(axis=1)
-        for d in np.flatnonzero(lettered[i:j] & (per_doc > 0)):
+        for d in np.flatnonzero(lettered & (per_doc > 0)):
             names[i + d] = model.langs[best[d]]
             scores[i + d] = min(1.0, mass[d, best[d]])
     return names, scores
@@ -302,7 +304,7 @@ def word_runs(docs: DataFrame, model: Crf) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), {"doc_id": [], "run": [], "lang": [], "first_word": [], "n_words": []}
-            for i, j, per_doc, _, p in label_slices(shared.value, batch.column(1)):
+            for i, j, per_doc, _, p, _ in label_slices(shared.value, batch.column(1)):
                 best, at = (p.argmax(axis=1) if len(p) else np.zeros(0, int)), 0
                 for d, n in zip(range(i, j), per_doc.tolist(), strict=True):
                     mine, at = best[at: at + n], at + n

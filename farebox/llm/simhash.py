@@ -204,12 +204,17 @@ def cluster(docs: DataFrame, size: int = SIZE, max_bits: int = MAX_BITS, hot_key
 
 
 def keep_one(docs: DataFrame, size: int = SIZE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Rows of ``docs`` without near-duplicates: of each component the smallest (doc_id, row_key) stays, once."""
+    """Rows of ``docs`` without near-duplicates: of each component the smallest (doc_id, row_key) stays, once.
+
+    Of rows with equal id and text the one with the smallest hash of all its columns stays, so that reruns agree.
+    """
     groups = cluster(docs, size, max_bits)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
     chosen = groups.groupBy("root").agg(F.min(rank).alias("r")).select(F.col("r.row_key").alias("chosen_row")).distinct()
     name, keyed = "`{}`".format, docs.withColumn("chosen_row", F.xxhash64("doc_id", "text"))
-    return keyed.join(chosen, "chosen_row", "left_semi").dropDuplicates(["chosen_row"]).select(*[F.col(name(c)) for c in docs.columns])
+    columns = [F.col(name(c)) for c in docs.columns]
+    kept = keyed.join(chosen, "chosen_row", "left_semi").groupBy("chosen_row").agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("row"))
+    return kept.select(*[F.col(f"row.{name(c)}") for c in docs.columns])
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
