@@ -33,11 +33,11 @@ SHINGLE_WORDS, MAX_BITS = 3, 2
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with a language."""
     model = langid.fit(docs)
-    # clashing names of extra columns are kept out of the operator's way
-    inner = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    named = langid.identify(inner, model)
+    # clashing names of extra columns are kept out of the operator's way; the text passes once
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    named = langid.identify(docs.select("text", rest), model)
     kept = named.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= MIN_SHARE))
-    return kept.select("row.*")
+    return kept.select(*["text" if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,5 +77,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Learned labels and token ids are beyond SQL: tests hold run() against a brute-force version.
+#: Learned labels and token ids are beyond SQL.
 ORACLE_SQL = None
