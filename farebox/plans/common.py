@@ -109,3 +109,37 @@ def s_mph(d: str, secs: str) -> str:
 
 def s_avg_min(secs: str, n: str) -> str:
     return f"{s_min(secs)} / NULLIF(CAST({n} AS DOUBLE), 0)"
+
+
+#: Sums that a row set is reduced to, and every published ratio of them, as SQL over the aliases ``s`` (a row's sums),
+#: ``card`` (the same sums over card payments) and ``whole`` (over all rows).
+SQL_SUMS = {"k": "COUNT(*)", "money": "SUM(total_amount)", "secs": "SUM(trip_duration_seconds)", "miles": "SUM(trip_distance)",
+            "tips": "SUM(tip_amount)", "fares": "SUM(fare_amount)"}
+SQL_MEASURES = {
+    "nb_trips": "s.k",
+    "revenue": "CAST(s.money AS DOUBLE)",
+    "trips_per_day": s_ratio("s.k", str(RULES.calendar_days)),
+    "avg_basket": s_ratio("s.money", "s.k"),
+    "avg_distance": s_ratio("s.miles", "s.k"),
+    "avg_duration_min": s_avg_min("s.secs", "s.k"),
+    "revenue_per_min": s_per_min("s.money", "s.secs"),
+    "revenue_per_mile": s_ratio("s.money", "s.miles"),
+    "avg_speed_mph": s_mph("s.miles", "s.secs"),
+    "trips_share_pct": s_pct("s.k", "whole.k"),
+    "revenue_share_pct": s_pct("s.money", "whole.money"),
+    "card_share_pct": s_pct("card.k", "s.k"),
+    "card_tip_rate_pct": s_pct("card.tips", "card.fares"),
+}
+
+
+def measures_sql(measures: list[str], key: str | None = None, source: str = "trips") -> str:
+    """``measures`` by ``key`` (None: over all rows) of ``source``, as SELECT over a CTE list that is left open."""
+    sums = ", ".join(f"{e} AS {a}" for a, e in SQL_SUMS.items())
+    by = (f"{key}, ", f" GROUP BY {key}") if key else ("", "")
+    card = f"(SELECT {sums} FROM {source} WHERE payment_type = {RULES.card_payment_type}) card"
+    used = ", ".join(["sums s", *(["whole"] if any("whole." in SQL_MEASURES[m] for m in measures) else []),
+                      *([card] if any("card." in SQL_MEASURES[m] for m in measures) else [])])
+    return f"""
+sums AS (SELECT {by[0]}{sums} FROM {source}{by[1]}),
+whole AS (SELECT {sums} FROM {source})
+SELECT {'s.' + by[0] if key else ''}{', '.join(f'{SQL_MEASURES[m]} AS {m}' for m in measures)} FROM {used}"""
