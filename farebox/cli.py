@@ -7,7 +7,8 @@
 
 ``pipeline`` loads each CSV file once into bronze (audit gate; ``--force`` to
 reload, ``--fraction`` for a stable hash sample) and builds the gold tables.
-It leaves gold tables and dimensions under ``--work``/gold.
+A build rewrites the months that the loads touch and publishes a snapshot of all tables under ``--work``/gold
+in one step; ``--keep-days`` removes older ones.
 ``analyses`` runs every registered query over that build and writes one CSV
 folder per result; ``sql`` runs the named queries of a file. Rule parameters default to the January-2019 taxi month.
 """
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .config import TAXI_JANUARY_2019, TripRules, january_holidays
 from .operators.cube import CUBE_GRAIN, analysed
-from .session import file_fingerprint, get_spark
+from .session import get_spark
 
 LAKE_NAME = "cli"
 
@@ -50,30 +51,25 @@ def _rules(a: argparse.Namespace) -> TripRules:
 
 def _lake(spark, a: argparse.Namespace):
     from .plans.common import register_lake
-    from .plans.lake import TripLake
-    from .sources.ingest import BRONZE_ONLY, BronzeIngest, read_zone_csv
+    from .plans.monthly import MonthlyLake
+    from .sources.ingest import BronzeIngest, read_zone_csv
 
     bi = BronzeIngest(spark, f"{a.work}/bronze", f"{a.work}/audit")
-    rules = _rules(a)
-    fp = "|".join([file_fingerprint(spark, f"{a.work}/bronze"), file_fingerprint(spark, a.zones)])
-    lake = TripLake(spark, lambda: bi.bronze().drop(*BRONZE_ONLY),
-                    lambda: read_zone_csv(spark, a.zones), rules, fp)
+    lake = MonthlyLake(spark, f"{a.work}/gold", bi, lambda: read_zone_csv(spark, a.zones), _rules(a), a.zones)
     register_lake(LAKE_NAME, lake)
     return bi, lake
 
 
 def cmd_pipeline(spark, a) -> None:
-    bi, _ = _lake(spark, a)
+    bi, lake = _lake(spark, a)
     for loaded in bi.ingest_all(a.trips, sample_fraction=a.fraction, force=a.force) if a.trips else []:
         print(loaded)
-    _, lake = _lake(spark, a)             # fingerprint after the loads
     lake.build(force=a.force)
-    for name in ("fact_trips", "trip_cube", "data_quality"):
-        lake.table(name).write.mode("overwrite").parquet(f"{a.work}/gold/{name}")
-    for name, df in _dims(spark, lake).items():
-        df.write.mode("overwrite").parquet(f"{a.work}/gold/{name}")
     for name, m in lake.metrics.items():
         print(f"[build] {name:<13} {m}")
+    print(f"[snapshot] {lake.pinned['number']}")
+    if a.keep_days is not None:
+        print(f"[expired] {lake.snapshots.expire(a.keep_days * 86400)}")
     lake.table("data_quality").orderBy("step_order", "reason").show(50, truncate=False)
 
 
@@ -134,6 +130,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--fraction", type=float)
     p.add_argument("--round", type=int, help="round double outputs to N decimals (display)")
     p.add_argument("--force", action="store_true")
+    p.add_argument("--keep-days", type=float, help="remove snapshots older than this")
     p.add_argument("--period", help="YYYY-MM")
     p.add_argument("--period-start")
     p.add_argument("--period-end")

@@ -74,6 +74,8 @@ FUNNEL_CAT_ANOMALY = "Anomalie"
 FUNNEL_CAT_OUTPUT = "Sortie"
 FUNNEL_REASON_INPUT = "Courses brutes ingérées"
 FUNNEL_REASON_DUPLICATE = "Doublon"
+FUNNEL_CAT_MALFORMED = "Illisible"
+FUNNEL_REASON_MALFORMED = "Ligne au format invalide"
 FUNNEL_REASON_OUTPUT = "Courses retenues pour l'analyse"
 
 HOUR_LABEL_FORMAT = "%02dh"

@@ -9,27 +9,40 @@ from pyspark.sql import functions as F
 
 from ..config import TripRules
 from ..functions import rules as R
+from ..sources.schemas import CORRUPT
 from .joins import broadcast_if_small
 
 STATUS_VALID = "valid"
 STATUS_REJECTED = "rejected"
+STATUS_MALFORMED = "malformed"
 
 
 def tag_rejects(trips: DataFrame) -> DataFrame:
-    """Add ``reject_reason`` (first failed rule) and a ``status`` routing column."""
+    """Add ``reject_reason`` (first failed rule) and a ``status`` routing column.
+
+    A line of a raw file that does not fit the schema carries its text in
+    ``corrupt_line``; its bad cells are NULL. If a rule rejects it for that, the
+    rule counts. If none does (the bad cell is an amount, say), it is malformed:
+    kept in quarantine with its text, no trip, in no sum.
+    """
+    bad_line = F.col(CORRUPT).isNotNull() if CORRUPT in trips.columns else F.lit(False)
     return (trips.withColumn("reject_reason", R.reject_reason())
-                 .withColumn("status", F.when(F.col("reject_reason").isNull(), STATUS_VALID)
-                                        .otherwise(STATUS_REJECTED)))
+                 .withColumn("status", F.when(F.col("reject_reason").isNotNull(), STATUS_REJECTED)
+                                        .when(bad_line, STATUS_MALFORMED).otherwise(STATUS_VALID)))
 
 
 def valid_trips(staged: DataFrame) -> DataFrame:
-    return staged.filter(F.col("status") == STATUS_VALID).drop("reject_reason", "status")
+    return staged.filter(F.col("status") == STATUS_VALID).drop("reject_reason", "status", CORRUPT)
 
 
 def rejected_trips(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("status") == STATUS_REJECTED).drop("status")
 
 
+def malformed_lines(staged: DataFrame) -> DataFrame:
+    return staged.filter(F.col("status") == STATUS_MALFORMED).drop("reject_reason", "status")
+
+
 def duplicate_keys(valid: DataFrame, rules: TripRules) -> DataFrame:
     """Trip keys that occur more than once: a hash aggregate over the keys alone."""
     return (valid.groupBy(*rules.dedup_keys).agg(F.count(F.lit(1)).alias("copies"))

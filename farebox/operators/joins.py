@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +25,13 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES)
     still convert at run time from real sizes)."""
     size = estimated_bytes(df)
     return F.broadcast(df) if size is not None and 0 <= size <= limit_bytes else df
+
+
+def null_safe_anti(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose ``keys`` are not in ``known``; a NULL key equals a NULL key, so it is neither lost nor always new.
+
+    An equality of all keys, hence a hash or sort-merge anti join, whatever the keys hold.
+    """
+    there = known.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+    return rows.join(there, same, "left_anti")

@@ -33,6 +33,7 @@ from ..operators.joins import broadcast_if_small
 from .catalog import register
 from .common import (RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio,
                      with_totals)
+from .lake import MONTH
 from .oracle import _q, with_prelude
 
 # Stand-in rule values used by the SQL oracles (Spark code takes them from the lake).
@@ -89,6 +90,12 @@ def sliced_star(spark: SparkSession, sf_dir: str, needed: tuple[str, ...] = (),
         f = f.filter(F.col("date_id") >= int(slicers.date_from.replace("-", "")))
     if slicers.date_to:
         f = f.filter(F.col("date_id") <= int(slicers.date_to.replace("-", "")))
+    # a source that lies by months is read for the months of the range only (partition filters)
+    if set(MONTH) <= set(f.columns):
+        month = F.col(MONTH[0]) * 100 + F.col(MONTH[1])
+        for text, keep in ((slicers.date_from, month.__ge__), (slicers.date_to, month.__le__)):
+            if text:
+                f = f.filter(keep(int(text.replace("-", "")[:6])))
     need = set(needed)
     dfilter = slicers.date_filter()
     if dfilter is not None or need & set(DATE_ATTRS):

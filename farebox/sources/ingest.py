@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import broadcast_if_small
+from ..operators.joins import broadcast_if_small, null_safe_anti
 from ..session import list_files, path_exists
 from .schemas import CORRUPT, TLC_RENAMES, TLC_TRIP_CSV_READ, TLC_TRIP_CSV_SCHEMA, TRIP_COLUMNS, ZONE_LOOKUP_CSV_SCHEMA
 
@@ -95,7 +95,7 @@ class BronzeIngest:
         done = self.audit().filter(
             (F.col("status") == SUCCESS) & (F.col("sample_fraction") == frac)
             & (F.col("rules_version") == RULES_VERSION)).select("source_file", "size", "modified")
-        return files.join(done, ["source_file", "size", "modified"], "left_anti")
+        return null_safe_anti(files, done, ["source_file", "size", "modified"])
 
     def live_runs(self) -> DataFrame:
         """(run_id, source_file): the run that holds each file's rows."""
@@ -154,7 +154,13 @@ class BronzeIngest:
 
     def bronze(self) -> DataFrame:
         """Rows of the runs that count (partition pruning on ``run_id``)."""
-        live = self.live_runs().select("run_id", plain_path(F.col("source_file")).alias("live_file"))
+        return self.rows_of(self.live_runs())
+
+    def rows_of(self, runs: DataFrame) -> DataFrame:
+        """Rows of (run_id, source_file) pairs."""
+        live = runs.select("run_id", plain_path(F.col("source_file")).alias("live_file"))
+        if not path_exists(self.spark, self.bronze_path):
+            return self.spark.createDataFrame([], _BRONZE)
         rows = self.spark.read.option("basePath", self.bronze_path).schema(_BRONZE).parquet(self.bronze_path)
         return (rows.join(broadcast_if_small(live), (rows["run_id"] == live["run_id"])
                           & (plain_path(F.col("source_file")) == F.col("live_file")), "left_semi"))
@@ -179,7 +185,7 @@ _BRONZE = T.StructType([
     T.StructField("ingested_at", T.TimestampType()), T.StructField("run_id", T.StringType()),
     T.StructField("pickup_year", T.IntegerType()), T.StructField("pickup_month", T.IntegerType()),
 ])
-BRONZE_ONLY = ("pickup_year", "pickup_month", "ingested_at", "run_id", CORRUPT)
+BRONZE_ONLY = ("pickup_year", "pickup_month", "ingested_at", "run_id")
 
 
 def export_table(df: DataFrame, path: str, single_file: bool = False, range_key: str | list[str] | None = None,
