@@ -21,7 +21,8 @@ import sys
 
 from pyspark.sql import functions as F
 
-from .config import TAXI_JANUARY_2019, TripRules, january_holidays
+from .config import TAXI_JANUARY_2019, TripRules
+from .functions.holidays import holidays_between
 from .operators.cube import CUBE_GRAIN, analysed
 from .session import get_spark
 
@@ -40,8 +41,7 @@ def _rules(a: argparse.Namespace) -> TripRules:
     if a.period_end:
         kw["period_end"] = dt.date.fromisoformat(a.period_end)
     if a.period or a.period_start or a.period_end:
-        last = kw.get("period_end", r.period_end) - dt.timedelta(days=1)
-        kw["holidays"] = january_holidays(kw.get("period_start", r.period_start).year, last.year)
+        kw["holidays"] = holidays_between(kw.get("period_start", r.period_start), kw.get("period_end", r.period_end))
     if a.airports:
         kw["airport_zone_ids"] = tuple(int(x) for x in a.airports.split(","))
     if a.core:
