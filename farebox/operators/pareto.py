@@ -1,66 +1,91 @@
-"""Running share (Pareto) without a single-task window.
+"""Ranks and running shares over many keys without a single-task window.
 
-``SUM(v) OVER (ORDER BY v DESC) / SUM(v) OVER ()`` with the default RANGE
-frame (ties share one cumulative value) is computed in two levels:
+``SUM(v) OVER (ORDER BY v DESC) / SUM(v) OVER ()`` with the default RANGE frame
+(ties share one cumulative value) and ``RANK() OVER (ORDER BY v DESC)``:
 
 1. ties collapse: one row per distinct value, with the number of keys;
-2. distinct values are cut into ``buckets`` equi-depth ranges (edges from
-   ``percentile_approx``, evaluated once as a scalar subquery); bucket totals
-   (``buckets`` rows) give each bucket the sum of all higher buckets;
-3. inside a bucket a window partitioned by bucket adds the running sum.
-
-No task ever holds more than one bucket, and no key list reaches the driver.
-An approximate edge only moves a value between neighbouring buckets; the
-result stays exact.
+2. distinct values are range-partitioned on the value, in as many ranges as
+   their size needs (Spark samples the bounds), and written with the number of
+   their range, so that every reader sees the same ranges;
+3. a range's keys and sum are added to all lower ranges (one row per range);
+4. inside a range a window adds the running sum and the rank.
+
+No task holds more than one range, however many keys there are, and no key list
+reaches the driver. Values that fit one range (by the optimizer's estimate) are
+ranked by a plain window, without the write.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
-
-
-def _bucket_of(df: DataFrame, v, n_edges: int) -> DataFrame:
-    """bucket = number of edges strictly below ``v``: the first position of
-    ``v`` once merged into the sorted edges, minus one. Monotone in the value,
-    so equal values share a bucket. Built-in array functions only (no lambda
-    capturing an outer column)."""
-    merged = F.sort_array(F.concat(F.col("_edges"), F.array(v)))
-    return df.withColumn("bucket", (F.array_position(merged, v) - 1).cast("int"))
-
-
-def running_share(per_key: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One row per distinct ``value``: n_keys, running (ties included), total, share."""
-    vals = (per_key.filter(F.col(value).isNotNull())
-                   .groupBy(value).agg(F.count(F.lit(1)).alias("n_keys"))
-                   .withColumn("_mass", F.col(value) * F.col("n_keys")))
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = vals.agg(F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("e")).scalar()
-    vb = _bucket_of(vals.withColumn("_edges", edges), F.col(value).cast("double"), buckets - 1).drop("_edges")
-
-    per_bucket = vb.groupBy("bucket").agg(F.sum("_mass").alias("_btot"))   # <= `buckets` rows
-    higher = Window.orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        "bucket",
-        F.coalesce(F.sum("_btot").over(higher), F.lit(0)).alias("_offset"),
-        F.sum("_btot").over(Window.partitionBy()).alias("total"),
-    )
-    within = Window.partitionBy("bucket").orderBy(F.col(value).desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (vb.join(F.broadcast(offsets), "bucket")
-              .withColumn("running", F.col("_offset") + F.sum("_mass").over(within))
-              .withColumn("share", F.try_divide(F.col("running").cast("double"), F.col("total").cast("double")))
-              .select(value, "n_keys", "bucket", "running", "total", "share"))
+from ..session import checkpoint_root
+from .joins import estimated_bytes
+
+RANGE_BYTES = 32 << 20
+
+
+def ranges_needed(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> int:
+    """Ranges of about ``range_bytes``; the estimate is of stored bytes, taken as four times smaller than rows in a task."""
+    size = estimated_bytes(rows)
+    return max(1, math.ceil(4 * size / range_bytes)) if size is not None and size < 1 << 50 else rows.sparkSession.sparkContext.defaultParallelism
+
+
+def by_range(rows: DataFrame, value: str, ranges: int) -> DataFrame:
+    """``rows`` with ``part``: the range of their value, 0 for the largest. Written to the shared checkpoint folder."""
+    spark = rows.sparkSession
+    path = f"{checkpoint_root(spark)}/farebox-ranges/{uuid.uuid4().hex}"
+    rows.repartitionByRange(ranges, F.col(value).desc()).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def ranked_values(per_key: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """One row per distinct ``value``: n_keys, rank (1 + keys of larger values), running (ties included) and total."""
+    values = (per_key.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n_keys"))
+              .withColumn("_mass", F.col(value) * F.col("n_keys")))
+    if (ranges or ranges_needed(values)) == 1:
+        upto = Window.orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return values.select(value, "n_keys", (F.sum("n_keys").over(upto) - F.col("n_keys") + 1).alias("rank"),
+                             F.sum("_mass").over(upto).alias("running"), F.sum("_mass").over(Window.partitionBy()).alias("total"))
+    placed = by_range(values, value, ranges or ranges_needed(values))
+    lower = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("part").agg(F.sum("_mass").alias("mass"), F.sum("n_keys").alias("keys")).select(
+        "part", F.coalesce(F.sum("mass").over(lower), F.lit(0)).alias("_mass_before"),
+        F.coalesce(F.sum("keys").over(lower), F.lit(0)).alias("_keys_before"), F.sum("mass").over(Window.partitionBy()).alias("total"))
+    upto = Window.partitionBy("part").orderBy(F.col(value).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (placed.join(F.broadcast(offsets), "part")            # one row per range
+            .select(value, "n_keys", (F.col("_keys_before") + F.sum("n_keys").over(upto) - F.col("n_keys") + 1).alias("rank"),
+                    (F.col("_mass_before") + F.sum("_mass").over(upto)).alias("running"), "total"))
+
+
+def running_share(per_key: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """``ranked_values`` with the share of the total that the value and all larger ones make."""
+    return ranked_values(per_key, value, ranges).withColumn(
+        "share", F.try_divide(F.col("running").cast("double"), F.col("total").cast("double")))
+
+
+def ranked_keys(per_key: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
+    """``per_key`` with the ``rank`` of its value (ties share the lowest, as RANK does); null values rank last.
+
+    The rows meet the ranks on the value; a value that many keys share is split by the adaptive skew join.
+    """
+    if (ranges or ranges_needed(per_key)) == 1:
+        return per_key.withColumn("rank", F.rank().over(Window.orderBy(F.col(value).desc())))
+    ranks = ranked_values(per_key, value, ranges).select(F.col(value).alias("_value"), F.col("rank").cast("int").alias("rank"))
+    last = per_key.agg((F.count(value) + 1).cast("int")).scalar()
+    return (per_key.join(ranks, F.col(value) == F.col("_value"), "left").drop("_value")
+            .withColumn("rank", F.coalesce("rank", last)))
 
 
 def threshold_counts(per_key: DataFrame, value: str, thresholds: Sequence[float], label: str,
-                     buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     ranges: int | None = None) -> DataFrame:
     """Keys needed to reach each share: count(share <= t) + 1, and the active keys."""
-    rs = running_share(per_key, value, buckets)
+    rs = running_share(per_key, value, ranges)
     aggs = [F.coalesce(F.sum("n_keys"), F.lit(0)).alias(f"active_{label}")]
     for t in thresholds:
         pct = round(t * 100)

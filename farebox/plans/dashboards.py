@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions.measures import dbl, per_minute, ratio
+from ..operators.days import distinct_days
 from .catalog import register
 from .common import lake, rules, s_ratio, with_totals
-from .measures import components, evaluate, sliced_star, sql_evaluate
+from .measures import components, evaluate_by, grouped_star, sliced_star, sql_evaluate
 from .oracle import _q, slot_case, with_prelude
 
 HOURS = list(range(24))
@@ -28,9 +29,8 @@ HOURS = list(range(24))
     "SELECT d.date, CAST(SUM(t.total_amount) AS DOUBLE) AS revenue "
     "FROM trips t JOIN dim_date d ON t.date_id = d.date_id GROUP BY d.date"))
 def revenue_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sliced_star(spark, sf_dir, ("date",))
-    # aggregate by the integer key first, then carry the date attribute
-    return s.groupBy("date").agg(F.sum("total_amount").alias("rev")).select("date", dbl("rev").alias("revenue"))
+    s = grouped_star(spark, sf_dir, ("date",), [F.sum("total_amount").alias("rev")])
+    return s.select("date", dbl("rev").alias("revenue"))
 
 
 # V4 pivot heatmap: weekday x hour of trips per ordinary day -------------------------
@@ -51,10 +51,9 @@ FROM cell GROUP BY day_of_week, day_name""")
 
 @register("demand_heatmap", _heatmap_sql)
 def demand_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = sliced_star(spark, sf_dir, ("day_of_week", "day_name", "is_holiday")).filter(~F.col("is_holiday"))
-    per_date = s.groupBy("day_of_week", "day_name", "hour", "date_id").agg(F.sum("nb_trips").alias("n"))
-    cell = (per_date.groupBy("day_of_week", "day_name", "hour")
-                    .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("days"))
+    ordinary = lake(spark, sf_dir).table("day_states").filter(~F.col("is_holiday"))
+    cell = (ordinary.groupBy("day_of_week", "day_name", "hour")
+                    .agg(F.sum("nb_trips").alias("n"), distinct_days(rules(spark, sf_dir)).alias("days"))
                     .withColumn("avg_trips", ratio("n", "days")))
     # explicit pivot values: no extra job to discover them, fixed 24 columns
     p = cell.groupBy("day_of_week", "day_name").pivot("hour", HOURS).agg(F.first("avg_trips"))
@@ -67,8 +66,7 @@ def demand_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     "CAST(SUM(total_amount) AS DOUBLE) / NULLIF(CAST(SUM(trip_duration_seconds) AS DOUBLE) / 60.0, 0) "
     "AS revenue_per_min FROM trips GROUP BY 1"))
 def revenue_per_min_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("time_slot",)), ("time_slot",), ("revenue_per_min",),
-                    rules(spark, sf_dir))
+    return evaluate_by(spark, sf_dir, ("time_slot",), ("revenue_per_min",))
 
 
 # V9 zone scatter / V10 zone detail / V11 borough treemap ----------------------------
@@ -78,8 +76,7 @@ ZONE_SQL_SRC = "trips t JOIN dim_zone z ON t.pickup_location_id = z.location_id"
 @register("zone_scatter", lambda: with_prelude(sql_evaluate(
     ("z.zone", "z.borough"), ("trips", "revenue_per_min", "revenue"), source=ZONE_SQL_SRC)))
 def zone_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("zone", "borough")), ("zone", "borough"),
-                    ("trips", "revenue_per_min", "revenue"), rules(spark, sf_dir))
+    return evaluate_by(spark, sf_dir, ("zone", "borough"), ("trips", "revenue_per_min", "revenue"))
 
 
 @register("zone_detail", lambda: with_prelude(f"""
@@ -90,8 +87,7 @@ SELECT z.zone, z.borough, COUNT(*) AS trips, CAST(SUM(t.total_amount) AS DOUBLE)
          AS revenue_per_min
 FROM {ZONE_SQL_SRC} GROUP BY z.zone, z.borough"""))
 def zone_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = (sliced_star(spark, sf_dir, ("zone", "borough")).groupBy("zone", "borough")
-         .agg(*components(rules(spark, sf_dir))))
+    g = grouped_star(spark, sf_dir, ("zone", "borough"), components(rules(spark, sf_dir)))
     g = with_totals(g, "rev")
     return g.select("zone", "borough", F.col("n").alias("trips"), dbl("rev").alias("revenue"),
                     ratio("rev", "rev_total").alias("revenue_share"), ratio("rev", "n").alias("avg_basket"),
@@ -100,7 +96,7 @@ def zone_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("borough_revenue", lambda: with_prelude(sql_evaluate(("z.borough",), ("revenue",), source=ZONE_SQL_SRC)))
 def borough_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("borough",)), ("borough",), ("revenue",), rules(spark, sf_dir))
+    return evaluate_by(spark, sf_dir, ("borough",), ("revenue",))
 
 
 # V15 payment mix -------------------------------------------------------------------
@@ -108,8 +104,7 @@ def borough_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT p.payment_label, COUNT(*) AS trips FROM trips t "
     "LEFT JOIN dim_payment p ON t.payment_type = p.payment_type GROUP BY p.payment_label"))
 def payment_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate(sliced_star(spark, sf_dir, ("payment_label",)), ("payment_label",), ("trips",),
-                    rules(spark, sf_dir))
+    return evaluate_by(spark, sf_dir, ("payment_label",), ("trips",))
 
 
 # V17 exclusions by reason / V18 funnel detail ------------------------------------------

@@ -23,15 +23,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE_RULES, TripRules
-from ..operators import clean, cube, quality, star
+from ..operators import clean, cube, days, quality, star
 from ..session import checkpoint_root, file_fingerprint, path_exists, session_conf
 from ..sources import fixture
 
-TABLES = ("staged", "silver_trips", "fact_trips", "trip_cube", "data_quality")
+TABLES = ("staged", "silver_trips", "fact_trips", "trip_cube", "day_states", "data_quality")
 
 
 #: Version of the rules' code and of the layers' layout: raise it when either changes results.
-BUILD_VERSION = "3"
+BUILD_VERSION = "4"
 #: Partition columns of silver and fact: the month of the pickup.
 MONTH = ("pickup_year", "pickup_month")
 
@@ -117,6 +117,9 @@ class TripLake:
         self._write(star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"), "fact_trips", partition_by=MONTH, force=force)
         fact = spark.read.parquet(self.path("fact_trips"))
         self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube", force=force)
+        cells = spark.read.parquet(self.path("trip_cube"))
+        # few hundred states, however many trips: one file
+        self._write(days.day_states(cells, star.dim_date(spark, rules), rules).coalesce(1), "day_states", force=force)
         self._write(quality.funnel(staged, fact), "data_quality", force=force)
         # completion marker, written through Spark so it works on any file system
         spark.range(1).write.mode("overwrite").parquet(self.complete_marker)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import rules as R
 from ..functions.measures import dbl, n_rows
 from ..operators import cube, star
+from ..operators.joins import null_safe_anti
 from ..sources.schemas import MONEY_COLUMNS
 from .catalog import register
 from .common import dim_date, dim_payment, dim_zone, fact, lake, rules
@@ -262,3 +263,19 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         n_rows().alias("row_count"),
         F.count_if(F.col("status") == "valid").alias("valid_rows"),
         F.count_if(F.col("status") == "rejected").alias("rejected_rows"))
+
+
+# C8 load units that have given no trip yet ---------------------------------------------------
+@register("ingest_pending", lambda: with_prelude("""
+SELECT l.vendor_id, l.pickup_date, l.raw_rows
+FROM (SELECT vendor_id, CAST(pickup_ts AS DATE) AS pickup_date, COUNT(*) AS raw_rows FROM staged GROUP BY ALL) l
+WHERE NOT EXISTS (SELECT 1 FROM silver_trips s WHERE s.vendor_id IS NOT DISTINCT FROM l.vendor_id
+                  AND CAST(s.pickup_ts AS DATE) IS NOT DISTINCT FROM l.pickup_date)"""))
+def ingest_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor days of the raw trips that are pending: none of their rows has become a trip, so they are to be asked for
+    again. The gate of the file ingest as a query: a null-safe anti-join of what is listed with what is done (a vendor or
+    day that is missing is a unit like any other)."""
+    lk, day = lake(spark, sf_dir), F.to_date("pickup_ts").alias("pickup_date")
+    listed = lk.table("staged").groupBy("vendor_id", day).agg(n_rows().alias("raw_rows"))
+    done = lk.table("silver_trips").select("vendor_id", day).distinct()
+    return null_safe_anti(listed, done, ["vendor_id", "pickup_date"])

@@ -30,6 +30,7 @@ from ..functions.measures import dbl, minutes, mph, n_rows, per_minute, ratio
 from ..operators import cube as cube_ops
 from ..operators import star
 from ..operators.joins import broadcast_if_small
+from ..operators.pareto import ranked_keys
 from .catalog import register
 from .common import (RULES, dim_date, dim_payment, dim_zone, lake, rules, s_min, s_mph, s_per_min, s_ratio,
                      with_totals)
@@ -182,6 +183,32 @@ def sql_evaluate(keys: tuple[str, ...], names: tuple[str, ...], source: str = "t
     return f"SELECT {cols} FROM {source}{(' WHERE ' + where) if where else ''}{grp}"
 
 
+#: The integer key that determines an attribute of a dimension.
+KEY_OF = {**dict.fromkeys(DATE_ATTRS, "date_id"), **dict.fromkeys(ZONE_ATTRS, "pickup_location_id"),
+          **dict.fromkeys(HOUR_ATTRS, "hour"), **dict.fromkeys(PAY_ATTRS, "payment_type")}
+
+
+def grouped_star(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], sums: list[Column], slicers: Slicers = NO_SLICERS) -> DataFrame:
+    """``sums`` (aliased SUMs) by ``keys``, attributes included, with the grouping below the dimension joins.
+
+    Facts are grouped by the integer keys that determine the attributes, attributes are joined to those few rows, and
+    what shares an attribute is added up. A slicer on a dimension restricts the facts before that, as a filter on its key.
+    """
+    by = tuple(dict.fromkeys(KEY_OF.get(k, k) for k in keys))
+    facts = sliced_star(spark, sf_dir, (), slicers)
+    grouped = facts.groupBy(*by).agg(*sums)
+    attributes = tuple(k for k in keys if k in KEY_OF)
+    named = sliced_star(spark, sf_dir, attributes, source=grouped) if attributes else grouped
+    again = [c for c in grouped.columns if c not in by]
+    return named.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in again])
+
+
+def evaluate_by(spark: SparkSession, sf_dir: str, keys: tuple[str, ...], names: tuple[str, ...], slicers: Slicers = NO_SLICERS) -> DataFrame:
+    """The named measures by ``keys`` (cube keys or attributes of dimensions)."""
+    g = grouped_star(spark, sf_dir, keys, components(rules(spark, sf_dir)), slicers)
+    return g.select(*keys, *[MEASURES[n]().alias(n) for n in names])
+
+
 # Components that a measure pins to one value of a column (CALCULATE semantics): the
 # pin replaces any slicer and any group key on that very column, and keeps all others.
 def _pins(r: TripRules) -> dict[str, tuple[str, object]]:
@@ -330,10 +357,8 @@ SELECT zone, CAST(rev AS DOUBLE) AS revenue, rank() OVER (ORDER BY rev DESC) AS
        CASE WHEN rank() OVER (ORDER BY rev DESC) <= 10 THEN CAST(rev AS DOUBLE) END AS top10_revenue
 FROM z"""))
 def top10_zone_revenue(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    g = sliced_star(spark, sf_dir, ("zone",)).groupBy("zone").agg(F.sum("total_amount").alias("rev"))
-    # one row per zone name: bounded by the zone dimension
-    r = F.rank().over(Window.orderBy(F.col("rev").desc()))
-    return (g.withColumn("revenue_rank", r)
+    g = grouped_star(spark, sf_dir, ("zone",), [F.sum("total_amount").alias("rev")])
+    return (ranked_keys(g, "rev").withColumnRenamed("rank", "revenue_rank")
              .select("zone", dbl("rev").alias("revenue"), "revenue_rank",
                      F.when(F.col("revenue_rank") <= k, dbl("rev")).alias("top10_revenue")))
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import TripRules
-from ..operators import clean, cube, quality, star
+from ..operators import clean, cube, days, quality, star
 from ..session import file_fingerprint, session_conf
 from ..sources.ingest import BRONZE_ONLY, BronzeIngest
 from ..sources.snapshots import Conflict, Snapshots, partition_folders, remove
@@ -200,6 +200,8 @@ class MonthlyLake:
         read = lambda t: self._read(t, pin["tables"][t], pin["schemas"][t])
         if name == "trip_cube":
             return cube.as_cube(self.cells()).drop(*MONTH)
+        if name == "day_states":
+            return days.day_states(self.cells(), star.dim_date(self.spark, self.rules), self.rules)
         if name == "data_quality":
             return quality.from_counts(read("counts"))
         return read(name)

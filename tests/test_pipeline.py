@@ -91,7 +91,7 @@ def test_running_share_matches_plain_window_with_ties(spark):
     rnd = random.Random(7)
     vals = [(k, rnd.choice([1, 2, 3, 5, 8, 8, 8, 13, 21, 21]) * rnd.randint(1, 40)) for k in range(2000)]
     df = spark.createDataFrame(vals, "k int, value long")
-    got = {r["value"]: r["share"] for r in running_share(df, "value", buckets=8).collect()}
+    got = {r["value"]: r["share"] for r in running_share(df, "value", ranges=8).collect()}
     w = Window.orderBy(F.col("value").desc())
     plain = (df.withColumn("run", F.sum("value").over(w))
                .withColumn("share", F.col("run") / F.sum("value").over(Window.partitionBy())))
