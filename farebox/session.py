@@ -117,6 +117,25 @@ def file_fingerprint(spark: SparkSession, path: str) -> str:
     return f"{path}:{st.getLen()}:{st.getModificationTime()}"
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file; None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
 def list_files(spark: SparkSession, paths: list[str], suffix: str = ".csv") -> list[dict]:
     """Files (full path, size, modification time in ms) named by ``paths``: files as
     they are, folders by their files with ``suffix``. Any file system Spark reads."""

@@ -16,7 +16,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from ..session import _fs
+from ..session import _fs, read_text, write_text
 
 FOLDER = "_snapshots"
 
@@ -62,13 +62,7 @@ class Snapshots:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def read(self, number: int) -> dict:
-        fs, p = _fs(self.spark, self._path(number))
-        stream = fs.open(p)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
+        return json.loads(read_text(self.spark, self._path(number)))
 
     def latest(self) -> dict | None:
         have = self.numbers()
@@ -79,9 +73,7 @@ class Snapshots:
         number = (parent["number"] if parent else 0) + 1
         manifest = manifest | {"number": number, "published": time.time()}
         fs, aside = _fs(self.spark, f"{self.root}/{FOLDER}/.{uuid.uuid4().hex}")
-        stream = fs.create(aside, False)
-        stream.write(bytearray(json.dumps(manifest).encode()))
-        stream.close()
+        write_text(self.spark, aside.toString(), json.dumps(manifest))
         jvm = self.spark._jvm
         _, target = _fs(self.spark, self._path(number))
         context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else fs.getUri(),

@@ -4,13 +4,12 @@
   (the checkpoint is the incremental gate), run to completion with
   ``availableNow``.
 * S2 ``dedup_within_watermark``: the dedup keys, state bounded by a watermark.
-  ``run_dedup`` also keeps what it leaves out: strays in a quarantine, late rows counted.
+  ``lanes`` does the same keeping what this leaves out, late rows too.
 * S3 ``route_batches``: ``foreachBatch`` writes a micro-batch once, partitioned by
   status, with an audit row keyed on query and batch id, so a replayed batch
   is not counted twice and two checkpoints never take each other's batches for replays.
 * S4 ``hourly_zone_demand``: tumbling one-hour windows per pickup zone, in
-  append mode (closed windows) or update mode with an idempotent per-batch
-  upsert (every window).
+  append mode (closed windows); ``window_log`` has update mode (every window).
 
 The period rule runs *before* every watermark: a stray future timestamp would
 otherwise advance the watermark and drop later valid rows. Rows it leaves out
@@ -74,26 +73,6 @@ def dedup_within_watermark(df: DataFrame, rules: TripRules, delay: str = "2 hour
             .dropDuplicatesWithinWatermark(list(rules.dedup_keys)))
 
 
-def late_rows(q: StreamingQuery) -> int:
-    """Rows that a finished query dropped behind its watermark (from its progress)."""
-    return sum(int(op["numRowsDroppedByWatermark"]) for p in q.recentProgress for op in p["stateOperators"])
-
-
-def run_dedup(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str, quarantine_path: str,
-              checkpoint: str, delay: str = "2 hours", max_files_per_trigger: int | None = None) -> dict[str, int]:
-    """S2 run to completion: kept rows to ``out_path``, strays to ``quarantine_path``;
-    the counts of rows dropped as late in this run."""
-    def run(df: DataFrame, path: str, name: str) -> StreamingQuery:
-        q = (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{checkpoint}/{name}")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        return q
-
-    source = lambda: read_trip_stream(spark, source_dir, max_files_per_trigger)
-    run(stray_rows(source(), rules), quarantine_path, "strays")
-    return {"late": late_rows(run(dedup_within_watermark(source(), rules, delay), out_path, "kept"))}
-
-
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the query of a checkpoint: another checkpoint has another."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -154,33 +133,3 @@ def run_hourly_zone_demand(spark: SparkSession, source_dir: str, rules: TripRule
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
-
-
-def run_hourly_zone_demand_updates(spark: SparkSession, source_dir: str, rules: TripRules, out_path: str,
-                                   checkpoint: str, delay: str = "1 hour",
-                                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """S4 in update mode: every micro-batch writes the windows it changed into its
-    own (query, batch) partition (overwritten on replay, so idempotent). Open
-    windows are visible too; ``latest_hourly_zone_demand`` reads the newest
-    version of each (window, zone)."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumns({"query_id": F.lit(query_id(spark, checkpoint)), "batch_id": F.lit(batch_id).cast("long"),
-                            "written_at": F.current_timestamp()})
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("query_id", "batch_id").parquet(out_path))
-
-    q = (hourly_zone_demand(read_trip_stream(spark, source_dir, max_files_per_trigger), rules, delay)
-         .writeStream.outputMode("update").foreachBatch(handle)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q
-
-
-def latest_hourly_zone_demand(spark: SparkSession, out_path: str) -> DataFrame:
-    """Newest version of each (window, zone) written by the update-mode query, of
-    several queries the last writer's (an aggregate per key: no window over the whole table)."""
-    u = spark.read.parquet(out_path)
-    keys = ["window_start", "window_end", "pu_location_id"]
-    latest = u.groupBy(*keys).agg(F.max_by(F.struct("nb_trips", "revenue"), F.struct("written_at", "batch_id")).alias("v"))
-    return latest.select(*keys, F.col("v.nb_trips").alias("nb_trips"), F.col("v.revenue").alias("revenue"))

@@ -1,7 +1,9 @@
 """Structured Streaming: exactly-once file ingest, bounded dedup, routed sinks
 with an idempotent audit, and hourly windows equal to the batch result."""
 
+import datetime as dt
 import os
+import random
 import shutil
 
 import pytest
@@ -10,10 +12,13 @@ from pyspark.sql import functions as F
 from farebox.config import FIXTURE_RULES, TAXI_JANUARY_2019
 from farebox.operators import clean
 from farebox.sources import ingest
+from farebox.session import session_conf
+from farebox.streaming import lanes, window_log
 from farebox.streaming import trips_stream as S
 
 from .conftest import SF0001
 from .helpers import trip_files, write_csv
+from .test_monthly import trip, write
 
 
 @pytest.fixture(scope="module")
@@ -130,9 +135,9 @@ def test_hourly_windows_update_mode_equal_batch_for_every_window(spark, files, s
     os.makedirs(src)
     shutil.copyfile(a, f"{src}/trips_a.csv")
     shutil.copyfile(b, f"{src}/trips_b.csv")
-    S.run_hourly_zone_demand_updates(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt",
+    window_log.run_hourly_zone_demand_updates(spark, src, FIXTURE_RULES, f"{scratch}/out", f"{scratch}/ckpt",
                                      max_files_per_trigger=1)
-    got = S.latest_hourly_zone_demand(spark, f"{scratch}/out")
+    got = window_log.latest_hourly_zone_demand(spark, f"{scratch}/out")
     want = S.hourly_zone_demand(ingest.read_trip_csv(spark, src), FIXTURE_RULES)
     key = ["window_start", "pu_location_id"]
     assert got.count() == want.count()
@@ -166,12 +171,86 @@ def test_a_second_checkpoint_into_the_same_sinks_keeps_its_rows(spark, files, sc
 
 
 def test_a_stray_future_row_drops_nothing_and_is_kept_apart(spark, scratch):
-    src = f"{scratch}/in"
-    trip_csv(spark, [("1", "2019-01-01 10:00:00", "1"), ("1", "2088-01-24 00:00:00", "1"), ("1", None, "1")], f"{src}/a.csv", 0)
-    trip_csv(spark, [("1", "2019-01-02 10:00:00", "1")], f"{src}/b.csv", 1)
-    trip_csv(spark, [("1", "2019-01-03 10:00:00", str(z)) for z in range(20)], f"{src}/c.csv", 2)
-    trip_csv(spark, [("1", "2019-01-03 10:00:00", "3"), ("9", "2019-01-01 09:00:00", "3")], f"{src}/d.csv", 3)
-    done = S.run_dedup(spark, src, TAXI_JANUARY_2019, f"{scratch}/out", f"{scratch}/strays", f"{scratch}/ckpt", max_files_per_trigger=1)
-    kept, strays = spark.read.parquet(f"{scratch}/out").count(), spark.read.parquet(f"{scratch}/strays").count()
-    # 26 rows in = kept + strays + late + one duplicate
-    assert (kept, strays, done["late"]) == (22, 2, 1)
+    rng = random.Random(1)
+    ok = {"passenger_count": 1}
+    at = lambda when: {"tpep_pickup_datetime": when, "tpep_dropoff_datetime": when[:14] + "59:59"}
+    first = trip(rng, 1, **ok, **at("2019-01-01 10:00:00"))
+    twice = trip(rng, 1, **ok, **at("2019-01-03 10:00:00"))
+    batches = [[first, trip(rng, 1, **ok, **at("2088-01-24 00:00:00")), trip(rng, 1, **ok, tpep_pickup_datetime="")],
+               [trip(rng, 1, **ok, **at("2019-01-02 10:00:00")), trip(rng, 1, passenger_count=0, **at("2019-01-02 10:01:00"))],
+               [trip(rng, 1, **ok, **at(f"2019-01-03 10:{i:02d}:00")) for i in range(1, 20)] + [twice, twice],
+               [twice, trip(rng, 1, **ok, **at("2019-01-01 09:00:00")), first]]
+    for i, b in enumerate(batches):
+        write(f"{scratch}/in/{i}.csv", b)
+        os.utime(f"{scratch}/in/{i}.csv", (1_000_000_000 + i,) * 2)
+    run = lambda: lanes.run_dedup(spark, f"{scratch}/in", TAXI_JANUARY_2019, f"{scratch}/out", f"{scratch}/ckpt", max_files_per_trigger=1)
+    done = run()
+    assert done == {"kept": 22, "duplicates": 2, "late": 2, "rejected": 1, "stray": 2} and sum(done.values()) == sum(map(len, batches))
+    sink = lanes.Lanes(spark, f"{scratch}/out", f"{scratch}/ckpt")
+    assert sorted(r.pickup_ts.hour for r in sink.lane("late").collect()) == [9, 10]      # late rows are readable
+    assert {x: sink.lane(x).count() for x in lanes.LANES} == {"kept": 22, "duplicate": 1, "late": 2, "rejected": 1, "stray": 2}
+    assert run() == done                                                                  # nothing new
+    # a batch that is replayed before its log entry is written over, after it left alone
+    query = S.query_id(spark, f"{scratch}/ckpt")
+    batch = ingest.read_trip_csv(spark, f"{scratch}/in/3.csv")
+    sink.handle(batch, 3, TAXI_JANUARY_2019, 7200)
+    os.remove(f"{scratch}/out/log/{query}/3.json")
+    sink.handle(batch, 3, TAXI_JANUARY_2019, 7200)
+    assert sink.counts()[3] == {"kept": 0, "duplicates": 1, "late": 2, "rejected": 0, "stray": 0}
+    assert sink.lane("late").count() == 2
+
+
+def test_nothing_is_lost_over_many_micro_batches(spark, scratch):
+    """Rows come in order of time with copies, late rows, strays and rejects between; the state stays bounded.
+    ``STREAM_BATCHES=150`` takes about six minutes."""
+    rng, n, total = random.Random(2), int(os.environ.get("STREAM_BATCHES", "30")), 0
+    start, seen, kept, late = dt.datetime(2019, 1, 1), [], set(), 0
+    for i in range(n):
+        now = start + dt.timedelta(minutes=30 * i)
+        fresh = [trip(rng, 1, passenger_count=1, tpep_pickup_datetime=now + dt.timedelta(minutes=k), tpep_dropoff_datetime=now + dt.timedelta(minutes=40))
+                 for k in (0, 3)]
+        rows = fresh + [rng.choice(seen[-4:] or fresh)]
+        if i % 10 == 9 and i > 9:                                # long past the watermark: new rows and copies alike
+            old = start + dt.timedelta(minutes=30 * i - 300, seconds=i)
+            rows += [trip(rng, 1, passenger_count=1, tpep_pickup_datetime=old, tpep_dropoff_datetime=old + dt.timedelta(minutes=9)), seen[0]]
+            late += 2
+        if i % 25 == 0:
+            rows += [trip(rng, 1, tpep_pickup_datetime="2031-01-01 00:00:00"), trip(rng, 1, passenger_count=0, tpep_pickup_datetime=now)]
+        seen += fresh
+        kept |= set(fresh)
+        total += len(rows)
+        write(f"{scratch}/in/{i:03d}.csv", rows)
+        os.utime(f"{scratch}/in/{i:03d}.csv", (1_000_000_000 + i,) * 2)
+    with session_conf(spark, spark__sql__shuffle__partitions="1"):
+        done = lanes.run_dedup(spark, f"{scratch}/in", TAXI_JANUARY_2019, f"{scratch}/out", f"{scratch}/ckpt", max_files_per_trigger=1)
+    sink = lanes.Lanes(spark, f"{scratch}/out", f"{scratch}/ckpt")
+    assert len(sink.counts()) == n and sum(done.values()) == total
+    assert (done["kept"], done["late"], done["stray"]) == (len(kept), late, len(range(0, n, 25))) and sink.lane("late").count() == late
+    query = S.query_id(spark, f"{scratch}/ckpt")
+    assert max(len(sink.log(query, b)["open"]) for b in range(n)) <= 6         # two hours of batches, not all
+
+
+def test_window_log_reads_base_and_open_batches_only(spark, files, scratch):
+    rng = random.Random(3)
+    for i in range(7):
+        day = dt.datetime(2019, 1, 1 + i // 3, 10 + i % 3)
+        write(f"{scratch}/in/{i}.csv", [trip(rng, 1, passenger_count=1, tpep_pickup_datetime=day + dt.timedelta(minutes=k),
+                                             tpep_dropoff_datetime=day + dt.timedelta(minutes=k + 5)) for k in range(12)])
+        os.utime(f"{scratch}/in/{i}.csv", (1_000_000_000 + i,) * 2)
+    with session_conf(spark, spark__sql__shuffle__partitions="1"):
+        window_log.run_hourly_zone_demand_updates(spark, f"{scratch}/in", TAXI_JANUARY_2019, f"{scratch}/out", f"{scratch}/ckpt", delay="100 days",
+                                                  max_files_per_trigger=1, compact_every=3)
+    log = window_log.WindowLog(spark, f"{scratch}/out")
+    manifest, paths = log.snapshots.latest(), log.paths(log.snapshots.latest())
+    assert manifest["number"] == 2 and list(manifest["upto"].values()) == [5]
+    assert "/base/" in paths[0] and len(paths) - 1 <= 3 and all("/batch=" in p and int(p.split("=")[-1]) > 5 for p in paths[1:])
+    want = S.hourly_zone_demand(ingest.read_trip_csv(spark, f"{scratch}/in"), TAXI_JANUARY_2019).select(*window_log.KEYS, *window_log.VALUES)
+    same = lambda: sorted(map(str, log.read().collect())) == sorted(map(str, want.collect()))
+    assert same()
+    log.vacuum(3600)                                     # young: nothing goes
+    query = S.query_id(spark, f"{scratch}/ckpt")
+    assert len(log._batches()[query]) >= 7
+    log.vacuum(0, now=manifest["published"] + 10)
+    assert min(log._batches()[query]) > 5 and log.snapshots.numbers() == [2] and same()
+    log.compact()
+    assert len(log.paths(log.snapshots.latest())) == 1 and same()
