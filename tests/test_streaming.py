@@ -203,7 +203,7 @@ def test_a_stray_future_row_drops_nothing_and_is_kept_apart(spark, scratch):
 def test_nothing_is_lost_over_many_micro_batches(spark, scratch):
     """Rows come in order of time with copies, late rows, strays and rejects between; the state stays bounded.
     ``STREAM_BATCHES=150`` takes about six minutes."""
-    rng, n, total = random.Random(2), int(os.environ.get("STREAM_BATCHES", "30")), 0
+    rng, n, total = random.Random(2), int(os.environ.get("STREAM_BATCHES", "22")), 0
     start, seen, kept, late = dt.datetime(2019, 1, 1), [], set(), 0
     for i in range(n):
         now = start + dt.timedelta(minutes=30 * i)
