@@ -50,7 +50,8 @@ from .common import importable, n_groups, scratch_dir, table, written
 NULL_ID = -(1 << 63)
 END_ID = 0
 SHARD_BYTES = 16 << 20
-CACHE_PIECES = 700_000            # encoded pieces that a worker's table holds: some 140 MB, twice at most
+CACHE_PIECES = 300_000            # encoded pieces that a worker's table holds: some 60 MB, twice at most
+CACHE_WORDS = 600_000             # words with what sticks to them: some 120 MB, twice at most
 _MASK = 0xA282EAD8
 _BLOCK = 1024                     # bytes whose checksum is computed in step with all other blocks
 
@@ -151,6 +152,24 @@ class _Pieces(dict):
         return found
 
 
+class _Words(dict):
+    """Ids of a space and a word, for words between single spaces: the cuts of ``Encoder.pieces`` inside are found once."""
+
+    def __init__(self, known: _Pieces, pieces):
+        super().__init__()
+        self.known, self.pieces, self.old = known, pieces, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
+        if len(self) >= CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 def _byte_alphabet() -> dict[int, str]:
     """Byte-level BPE's characters for bytes: themselves if they are visible, else from U+0100 on in order."""
     visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -178,6 +197,7 @@ class Encoder:
         self.cuts = (self.library.normalizer is None and isinstance(self.library.model, models.BPE)
                      and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space)
         self.known = _Pieces(self.library, code, self.cuts)
+        self.words = _Words(self.known, self.pieces)
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -213,8 +233,22 @@ class Encoder:
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text and the end id."""
-        get, end, special = self.known.__getitem__, self.end, self.special
-        return [(b"".join(map(get, self.pieces(t))) if self.cuts and not (special and special.search(t)) else self.whole(t)) + end if t else end for t in texts]
+        end, special = self.end, self.special
+        return [(self.spaced(t) if self.cuts and not (special and special.search(t)) else self.whole(t)) + end if t else end for t in texts]
+
+    def spaced(self, text: str) -> bytes:
+        """Ids of a text without special tokens. Where single spaces and line feeds part its words, every space begins a
+        piece and every line feed is one, so that whole words are looked up; other texts go piece by piece."""
+        piece, word, out = self.known.__getitem__, self.words.__getitem__, []
+        for line in text.split("\n"):
+            words = line.split()
+            if not words or " ".join(words) != line:
+                return b"".join(map(piece, self.pieces(text)))
+            if out:
+                out.append(piece("\n"))
+            out += map(piece, self.pieces(words[0]))
+            out += map(word, words[1:])
+        return b"".join(out)
 
     def whole(self, text: str) -> bytes:
         return array(self.known.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
