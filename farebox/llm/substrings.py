@@ -8,7 +8,7 @@ they occur. In the bucket, windows are sorted by hash and document; equal hashes
 are confirmed by comparing the words' bytes. Every window that also occurs in a
 document with a smaller id marks its words; marked words are removed.
 
-Documents are dealt into batches by hash, and each batch first settles windows
+Documents are dealt into batches by their place in the input, and each batch first settles windows
 that repeat inside it: only those of the smallest id go on to the buckets. A
 passage that a third of all documents share so reaches its bucket once per
 batch, not once per document.
@@ -38,7 +38,9 @@ from pyspark.sql import functions as F
 
 from .common import hashed_words, importable, mix, n_groups, slices, table, text_buffer, words_of
 
-BATCH_BYTES = 4 << 20            # of stored input; more on larger executors
+BATCH_BYTES = 2 << 20            # of stored input; more on larger executors
+#: Buckets for each batch: a bucket holds overlapping strings, some three times the text of its share of the input.
+BUCKETS_PER_BATCH = 2
 MOST_WINDOWS = 1 << 17           # of one minimiser in a bucket
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
@@ -276,8 +278,10 @@ def keep(docs: pa.Table, spans: pa.Table) -> pa.Table:
 def _dealt(docs: DataFrame, batch_bytes: int) -> tuple[DataFrame, int]:
     batches = n_groups(docs.select("text"), batch_bytes)
     key = F.xxhash64("doc_id", "text")
-    return docs.select(F.col("doc_id").cast("long"), "text", key.alias("key"), F.pmod(key, F.lit(batches)).alias("batch"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id")), batches
+    # dealt by the row's place in the input, so that repeated rows spread like others
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(batches))
+    return docs.select(F.col("doc_id").cast("long"), "text", key.alias("key"), deal.alias("batch"),
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id")), BUCKETS_PER_BATCH * batches
 
 
 def crowded(docs: DataFrame, width: int, mer: int, most: int) -> list[np.ndarray]:
