@@ -50,8 +50,8 @@ from .common import importable, n_groups, scratch_dir, table, written
 NULL_ID = -(1 << 63)
 END_ID = 0
 SHARD_BYTES = 16 << 20
-CACHE_PIECES = 300_000            # encoded pieces that a worker's table holds: some 60 MB, twice at most
-CACHE_WORDS = 600_000             # words with what sticks to them: some 120 MB, twice at most
+CACHE_PIECES = 200_000            # encoded pieces that a worker's table holds: some 40 MB, twice at most
+CACHE_WORDS = 700_000             # words with what sticks to them: some 140 MB, twice at most
 _MASK = 0xA282EAD8
 _BLOCK = 1024                     # bytes whose checksum is computed in step with all other blocks
 
@@ -153,16 +153,26 @@ class _Pieces(dict):
 
 
 class _Words(dict):
-    """Ids of a space and a word, for words between single spaces: the cuts of ``Encoder.pieces`` inside are found once."""
+    """Ids of words between single spaces, with the space before them if ``lead``; full tables are kept as in ``_Pieces``.
 
-    def __init__(self, known: _Pieces, pieces):
+    A word of letters is one match of the tokenizer's pattern, and so is what precedes its last comma or full stop.
+    """
+
+    def __init__(self, known: _Pieces, pieces, lead: str):
         super().__init__()
-        self.known, self.pieces, self.old = known, pieces, {}
+        self.known, self.pieces, self.lead, self.old = known, pieces, lead, {}
+        self.mark = lead.translate(_ALPHABET)
 
     def __missing__(self, word: str) -> bytes:
         found = self.old.get(word)
         if found is None:
-            found = b"".join(map(self.known.__getitem__, self.pieces(" " + word)))
+            if word.isalpha():
+                spelt = word if word.isascii() else word.encode().decode("latin-1").translate(_ALPHABET)
+                found = array(self.known.code, [t.id for t in self.known.model.tokenize(self.mark + spelt)]).tobytes()
+            elif word[-1] in ",." and word[:-1].isalpha():
+                found = self[word[:-1]] + self.known[word[-1]]
+            else:
+                found = b"".join(map(self.known.__getitem__, self.pieces(self.lead + word)))
         if len(self) >= CACHE_WORDS:
             self.old = dict(self)
             self.clear()
@@ -197,7 +207,7 @@ class Encoder:
         self.cuts = (self.library.normalizer is None and isinstance(self.library.model, models.BPE)
                      and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space)
         self.known = _Pieces(self.library, code, self.cuts)
-        self.words = _Words(self.known, self.pieces)
+        self.words, self.first = _Words(self.known, self.pieces, " "), _Words(self.known, self.pieces, "")
 
     @staticmethod
     def pieces(text: str) -> list[str]:
@@ -239,14 +249,14 @@ class Encoder:
     def spaced(self, text: str) -> bytes:
         """Ids of a text without special tokens. Where single spaces and line feeds part its words, every space begins a
         piece and every line feed is one, so that whole words are looked up; other texts go piece by piece."""
-        piece, word, out = self.known.__getitem__, self.words.__getitem__, []
+        word, first, feed, out = self.words.__getitem__, self.first, self.known["\n"], []
         for line in text.split("\n"):
             words = line.split()
             if not words or " ".join(words) != line:
-                return b"".join(map(piece, self.pieces(text)))
+                return b"".join(map(self.known.__getitem__, self.pieces(text)))
             if out:
-                out.append(piece("\n"))
-            out += map(piece, self.pieces(words[0]))
+                out.append(feed)
+            out.append(first[words[0]])
             out += map(word, words[1:])
         return b"".join(out)
 
