@@ -5,7 +5,8 @@ training documents, one shared by all others) beside the scaled sum of embedding
 characters' n-grams (hashed byte 3- to 5-grams of the bracketed word). A GRU reads
 a window of ``WINDOW`` tokens from either side, attention weighs the states, and a
 logistic unit scores the window. Windows overlap (one begins every ``STRIDE`` tokens, the
-last one ends with the text) and cover every text whole; a document's score is
+last one ends with the text) and cover every text whole; a passage of up to
+``WINDOW - STRIDE + 1`` words lies whole in one of them. A document's score is
 its highest window's, so one passage is enough.
 
 Training is numpy on the driver (back-propagation through time, Adam), over a
@@ -16,7 +17,7 @@ rest the highest one. Scoring needs no shuffle.
 
 Defined cases: null, empty and word-less texts score 0.0; with no labelled rows
 of both classes every text scores the share of positives seen (0.0 if none).
-Null labels teach nothing; of repeated labels for one id the largest holds. A null id counts as
+Null labels teach nothing; of repeated labels for one id the largest holds, and of repeated ids one text (the smallest hash) teaches. A null id counts as
 the text "" in the hold-out rule. Extra columns pass through, results replace theirs.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from .common import _LOWER, crc_mod, mix, slices, table, text_buffer, word_hashes, words_of
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION = 8, 8, 8, 8
 GRAMS = 1 << 15
 MIN_DOCS = 3
@@ -278,7 +279,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1200, max_train_cha
     halves = [named.where(F.col("toxic") == c).orderBy(F.crc32(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(per_class) for c in (0, 1)]
     sample = F.broadcast(halves[0].union(halves[1]))            # 2 * per_class ids at most
     usable = docs.select("doc_id", "text").where((F.length("text") > 0) & (F.length("text") <= max_train_chars))
-    rows = sorted(usable.join(sample, "doc_id").collect(), key=lambda r: (r["doc_id"], r["text"]))
+    # one text for each id, so that the driver gets 2 * per_class rows at most, whatever repeats
+    one = usable.join(sample, "doc_id").groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = sorted(one.collect(), key=lambda r: (r["doc_id"], r["text"]))
     share = (count.get(1, 0) + 1) / (count.get(0, 0) + count.get(1, 0) + 2)
     return train([r["text"] for r in rows], [int(r["toxic"]) for r in rows], share)
 
