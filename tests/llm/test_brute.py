@@ -536,3 +536,58 @@ def test_code_switching(spark, real):
     runs = langid.word_runs(spark.createDataFrame([(1, mixed)], "doc_id long, text string"), model).orderBy("run").collect()
     assert [r["lang"] for r in runs] == ["en", "de", "fr"]
     assert all(abs(r["first_word"] - x) <= 2 for r, x in zip(runs, (0, 40, 90), strict=True))
+
+
+def test_messages_go_to_own_buckets_only():
+    import pyarrow as pa
+    group = pa.table({"text": ["a b c", None], "training": [True, False], "batch": pa.array([4, 4], pa.int64())})
+    asked = ngrams.ask(group, 1000).to_pylist()
+    assert len(asked) <= 4 + 5 and {r["level"] for r in asked} == {1, 2}          # words and the end; pairs
+    assert sum(len(r["keys"]) // 8 for r in asked) == 4 + 5
+
+
+def test_traversal_carries_states(monkeypatch):
+    """The automaton's arcs, one document and one token at a time, with and without blocks."""
+    rng = np.random.default_rng(3)
+    n_words, sizes = 12, np.array([1, 40, 3, 1, 17])
+    words = rng.integers(0, n_words, sizes.sum())
+    count = np.array([0.0, 0, *rng.integers(1, 30, n_words - 2)])
+    context, word = (x.ravel() for x in np.meshgrid(np.arange(n_words), np.arange(n_words)))
+    pairs = np.where((count[context] > 0) & (count[word] > 0), rng.integers(0, 3, len(word)), 0).astype(float)
+    spectrum = np.zeros(2 * ngrams.BINS)
+    of = np.log2(count[2:]).astype(int)
+    spectrum[:ngrams.BINS] = np.bincount(of, minlength=ngrams.BINS)
+    spectrum[ngrams.BINS:] = np.bincount(of, count[2:], ngrams.BINS)
+    model = ngrams.Automaton(count, pairs, context, word, spectrum)
+    arcs = {(int(a // n_words), int(a % n_words)): w for a, w in zip(model.arcs, model.weight, strict=True)}
+    assert {(s - 1, w) for s, w in arcs} == {(c, w) for c, w, k in zip(context, word, pairs, strict=True) if k}
+    want, at = [], 0
+    for n in sizes.tolist():
+        state, total = int(model.after[5]), 0.0
+        for w in words[at: at + n].tolist():
+            total += arcs.get((state, w), model.failure[state] + model.empty[w])
+            state = int(model.after[w])
+        want.append(total)
+        at += n
+    for block in (ngrams.BLOCK, 1, 7):
+        monkeypatch.setattr(ngrams, "BLOCK", block)
+        assert model.traverse(words, sizes, 5) == pytest.approx(want, rel=1e-12)
+
+
+def test_a_table_of_one_repeated_row_scores_alike(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "one two three one two")] * 300 + [(2, "two words"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for size in (50, 1 << 30):
+        got = collections.Counter(tuple(r) for r in ngrams.score_texts(docs, F.col("doc_id") == 2, size).select("doc_id", "n_tokens", "n_known", "train_tokens", F.round("score", 6)).collect())
+        assert sorted(got.values()) == [1, 1, 300] and all(k[3] == 300 * 6 + 1 for k in got)
+
+
+def test_toxicity_learns_one_text_of_an_id(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels, share: seen.append((texts, labels)) or 0.5)
+    docs = spark.createDataFrame([(1, f"text {i % 9}") for i in range(400)] + [(2, "good"), (3, ""), (4, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 1, 2, 3, 4)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, per_class=5)
+    toxicity.fit(docs.repartition(7), labels, per_class=5)
+    assert seen[0] == seen[1] and seen[0][1] == [1, 0] and len(seen[0][0]) == 2
