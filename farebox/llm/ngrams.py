@@ -50,14 +50,15 @@ BATCH_BYTES = 4 << 20                    # of stored input; more on larger execu
 _REQUEST = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("level", pa.int32()),
                       ("keys", pa.binary()), ("counts", pa.binary())])
 _ANSWER = pa.schema([("batch", pa.int64()), ("bucket", pa.int32()), ("level", pa.int32()),
-                     ("totals", pa.binary())])
+                     ("totals", pa.binary()), ("spectrum", pa.list_(pa.int64()))])
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                      ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
                      ("score", pa.float64())])
 
 
 def _ddl(schema: pa.Schema) -> str:
-    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double"}
+    names = {pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean", pa.float64(): "double",
+             pa.list_(pa.int64()): "array<long>"}
     return ", ".join(f"{f.name} {names[f.type]}" for f in schema)
 
 
@@ -128,24 +129,15 @@ def answer(group: pa.Table) -> pa.Table:
             seen = total[total > 0]
             of = np.floor(np.log2(seen)).astype(int)
             spectrum = np.concatenate([np.bincount(of, minlength=BINS), np.bincount(of, seen, BINS)])
-            out.append((-1, group["bucket"][0].as_py(), 0, _pack(spectrum.astype(np.int64))))
+            out.append((-1, group["bucket"][0].as_py(), 0, b"", spectrum.astype(np.int64).tolist()))
         at = 0
         for r, k in zip(rows, keys, strict=True):
             got = total[back[at: at + len(k)]].astype(np.uint64)
             at += len(k)
-            out.append((group["batch"][int(r)].as_py(), group["bucket"][int(r)].as_py(), int(want), _pack(got)))
+            out.append((group["batch"][int(r)].as_py(), group["bucket"][int(r)].as_py(), int(want), _pack(got), None))
     return pa.table([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _ANSWER, strict=True)], schema=_ANSWER)
 
 
-def added_spectra(batches):
-    """(place, n): the spectra of some buckets added up."""
-    total = np.zeros(2 * BINS, np.int64)
-    for batch in batches:
-        for packed in batch.column(0).to_pylist():
-            total += _unpack(packed, np.int64)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * BINS)), pa.array(total)], names=["place", "n"])
-
-
 def expected_types(spectrum: np.ndarray, draws: np.ndarray) -> np.ndarray:
     """Expected distinct words among so many draws, by the unigram counts' spectrum."""
     words, mass = spectrum[:BINS], spectrum[BINS:]
@@ -240,13 +232,16 @@ def score(docs: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
             total[order[i:j]] = _unpack(answers["totals"][r].as_py(), np.uint64)
         firsts.append(first)
         totals.append(total)
+        del keys, distinct, to, order, total
     begin = np.cumsum(sizes) - sizes
-    at_start = np.zeros(len(h), bool)
+    del h
+    at_start = np.zeros(len(words), bool)
     at_start[begin] = True
     first, end = firsts[1], int(words[sizes[0] - 1])
     # the slot of the word before each distinct pair: the end's own slot stands for the start
     before = np.where(at_start[first], end, words[np.maximum(first - 1, 0)])
     model = Automaton(totals[0], totals[1], before, words[first], spectrum)
+    del before, first, firsts
     n, v = spectrum[BINS:].sum(), spectrum[:BINS].sum()
     count = totals[0][words]
     with np.errstate(divide="ignore", invalid="ignore"):
@@ -267,10 +262,9 @@ def score_texts(docs: DataFrame, held_out, batch_bytes: int = BATCH_BYTES) -> Da
     dealt = docs.select(F.col("doc_id"), F.col("text"), held.alias("held_out"), (~held).alias("training"), deal.alias("batch"))
     asked = dealt.groupBy("batch").applyInArrow(lambda t: ask(t, buckets), _ddl(_REQUEST))
     answered = asked.groupBy("bucket").applyInArrow(answer, _ddl(_ANSWER))
-    sums = (answered.where("level = 0").select("totals").mapInArrow(added_spectra, "place long, n long")
-            .groupBy("place").agg(F.sum("n").alias("n")))
+    sums = answered.where("level = 0").select(F.posexplode("spectrum").alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n"))
     spectrum = sums.agg(F.array_sort(F.collect_list(F.struct("place", "n"))).alias("s")).select(F.col("s.n").alias("s"))
-    answers = answered.where("level > 0").withColumn("spectrum", F.lit(None).cast("array<long>")).unionByName(
+    answers = answered.where("level > 0").unionByName(
         docs.sparkSession.range(batches).select(F.col("id").alias("batch"), F.lit(0).alias("bucket"), F.lit(0).alias("level"),
                                                 F.lit(b"").alias("totals"), spectrum.scalar().alias("spectrum")))
     return (dealt.groupBy("batch").cogroup(answers.groupBy("batch"))
