@@ -205,7 +205,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-#: Brute force over all item-sized windows of the document and item pairs that share any shingle.
+#: Brute force over all item-sized windows (shorter documents whole) of the document and item pairs that share any shingle.
 ORACLE = f"""
 WITH items AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') AS w FROM benchmark),
 sized AS (SELECT item_id, w, len(w) AS n, least(len(w), {SIZE}) AS k FROM items WHERE len(w) > 0),
@@ -215,7 +215,7 @@ sizes AS (SELECT DISTINCT k FROM sized),
 doc_shingles AS (SELECT doc_id, k, [array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] AS s FROM docs, sizes),
 pairs AS (SELECT DISTINCT d.doc_id, d.k, i.item_id FROM (SELECT doc_id, k, unnest(s) AS x FROM doc_shingles) d
     JOIN (SELECT item_id, k, unnest(s) AS x FROM item_shingles) i ON d.x = i.x AND d.k = i.k),
-tried AS (SELECT p.doc_id, p.item_id, i.n, i.s AS b, unnest(range(0, len(d.s) - len(i.s) + 1)) AS start, d.s AS whole
+tried AS (SELECT p.doc_id, p.item_id, least(i.n, len(d.s) + p.k - 1) AS n, i.s AS b, unnest(range(0, greatest(len(d.s) - len(i.s), 0) + 1)) AS start, d.s AS whole
     FROM pairs p JOIN item_shingles i ON i.item_id = p.item_id JOIN doc_shingles d ON d.doc_id = p.doc_id AND d.k = p.k),
 cut AS (SELECT doc_id, item_id, n, b, start, whole[start + 1:start + len(b)] AS a FROM tried),
 same AS (SELECT *, list_sum([least(len(list_filter(a, lambda y: y = x)), len(list_filter(b, lambda y: y = x))) FOR x IN list_distinct(list_intersect(a, b))]) AS both_n

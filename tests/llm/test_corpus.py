@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 
 import corpus_pipeline
-from farebox.llm import langid, mixing, records
+from farebox.llm import decontaminate, langid, mixing, records
 from farebox.llm.common import written
 
 from .test_brute import item_shingles, plain_components, plain_fingerprint
@@ -94,3 +94,22 @@ def test_every_stage_and_the_whole(spark, tables):
         assert [r["start"] for r in rows] == [0, *np.cumsum([r["n_tokens"] for r in rows])[:-1].tolist()]
         named = [r["doc_id"] for r in rows if r["doc_id"] is not None]
         assert named == sorted(named)
+
+
+def test_decontamination_sql_covers_documents_shorter_than_an_item():
+    items = {n: [f"w{n}x{i}" for i in range(n)] for n in (5, 7, 16, 40, 59)}
+    docs = {100 * n + c: w[:n - c] for n, w in items.items() for c in (0, 1, 2, 3, 6, 12) if c < n}
+    docs |= {100 * n + 50: w[1:] for n, w in items.items()} | {100 * n + 51: ["x", "y", *w, "z"] for n, w in items.items()}
+    con, want = duckdb.connect(), {}
+    con.register("documents", pa.table({"doc_id": list(docs), "text": [" ".join(w) for w in docs.values()]}))
+    con.register("benchmark", pa.table({"item_id": list(items), "text": [" ".join(w) for w in items.values()]}))
+    for d, x in docs.items():
+        n = d // 100
+        b = item_shingles(items[n], n)
+        for s in range(max(len(x) - n, 0) + 1):
+            a = item_shingles(x[s:s + n], n)
+            like = (a & b).total() / (a | b).total()
+            if like >= 0.8 and like > want.get((d, n), (0, 0, 0))[2]:
+                want[d, n] = (s, min(len(x), n), like)
+    got = con.sql(decontaminate.ORACLE).fetchall()
+    assert {(d, i): tuple(r) for d, i, *r in got} == want and len(got) == len(want) and (4001, 40) in want and (4051, 40) in want
