@@ -7,8 +7,8 @@ fingerprint is the set of its signatures, written as its size and the SHA-256 of
 the sorted set; the likeness of two fingerprints is the Jaccard similarity of the sets.
 
 ``similar`` finds all pairs of distinct fingerprints above a threshold t. Sets
-are partitioned by length: two sets are compared only if the smaller has at
-least t times the larger's length. Within that, a set is filed under its rarest
+are partitioned by length: sets of likeness t are in one range of lengths or in
+neighbouring ones, so a set meets only these, by the join's key. Within that, a set is filed under its rarest
 signatures only: as many as must contain one that is shared. Candidates are pruned once more by the best Jaccard
 that their places in the order still allow, then compared exactly. Signatures rarer first keep
 common ones, which would give all pairs, out of the index; the sets that share all of theirs are one set.
@@ -21,7 +21,7 @@ range is also sent to the range before, so that no window spans the whole table.
 
 Defined cases: null texts are empty; texts without letters have the empty set,
 and two empty sets have likeness 1; null ids sort last; documents with one id
-follow each other by their text's hash; a single document is its own next one.
+(null ids too) follow each other by their text's hash, equal rows in any order; a single document is its own next one.
 Extra columns are ignored. Empty tables give no rows.
 """
 
@@ -39,7 +39,8 @@ ANCHORS = ("the of and to in a is that it for on was with as by at from this be
            "le la les de du un une et est que qui dans pour par sur pas avec "
            "el los las en y se no con una su al lo").split()
 WORD = "[^\\p{L}]+"
-_LAST = (1 << 63) - 1
+#: Ranges of ids at most; beyond, they grow (their windows sort and spill as any other).
+MOST_RANGES = 20_000
 
 
 def _let(value: Column, use) -> Column:
@@ -78,6 +79,11 @@ def jaccard(a: Column, b: Column) -> Column:
 
 # ---- near-duplicates ---------------------------------------------------------------
 
+def length_range(n: Column, threshold: float) -> Column:
+    """The range of set lengths that ``n`` is in: sets of likeness ``threshold`` are in one range or in neighbouring ones."""
+    return F.floor(F.log(n) / F.log(F.lit(1 / threshold)) + 1e-9).cast("int")
+
+
 def similar(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): (doc_id, fp) of every row, and (a, b, likeness) of distinct fingerprints."""
     rows = written(docs.select("doc_id", signatures(F.col("text")).alias("sigs")).withColumn("fp", fingerprint(F.col("sigs"))), "signatures")
@@ -85,17 +91,20 @@ def similar(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFra
     each = sets.select("fp", F.explode("sigs").alias("s"))
     often = each.groupBy("s").agg(F.count("*").alias("df"))
     ordered = each.join(often, "s").groupBy("fp").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("o"))
-    ordered = written(ordered.withColumn("n", F.size("o")), "ordered")
+    ordered = written(ordered.withColumn("n", F.size("o")).withColumn("span", length_range(F.col("n"), threshold)), "ordered")
     # two sets of likeness t share one of their first n - ceil(t*n) + 1 signatures
-    prefix = F.col("n") - F.ceil(F.col("n") * threshold) + 1
-    filed = ordered.select("fp", "n", F.posexplode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("at", "x")).select("fp", "n", "at", F.col("x.s").alias("s"))
-    a, b = filed.alias("a"), filed.alias("b")
-    fits = (F.col("a.n") <= F.col("b.n")) & (F.col("a.n") >= F.col("b.n") * threshold) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.fp") < F.col("b.fp")))
+    prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1
+    filed = (ordered.select("fp", "n", "span", F.posexplode(F.slice("o", F.lit(1), prefix.cast("int"))).alias("at", "x"))
+             .select("fp", "n", "span", "at", F.col("x.s").alias("s")))
+    # the smaller set asks in its own range; the larger one answers there and in the range below
+    a = filed.alias("a")
+    b = filed.withColumn("asked", F.explode(F.array(F.col("span"), F.col("span") - 1))).alias("b")
+    fits = (F.col("a.n") <= F.col("b.n")) & (F.col("a.n") >= F.col("b.n") * threshold - 1e-9) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.fp") < F.col("b.fp")))
     # nothing before this first shared signature is shared: what is left must suffice
     left = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
     enough = left >= F.ceil((F.col("a.n") + F.col("b.n")) * threshold / (1 + threshold) - 1e-9)
-    found = (a.join(b, F.col("a.s") == F.col("b.s")).where(fits)
-             .groupBy(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).agg(F.max(left).alias("left"), F.max(enough).alias("enough")).where("enough"))
+    found = (a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.span") == F.col("b.asked"))).where(fits)
+             .groupBy(F.col("a.fp").alias("a"), F.col("b.fp").alias("b")).agg(F.max(enough).alias("enough")).where("enough"))
     both = found.join(sets.select(F.col("fp").alias("a"), F.col("sigs").alias("sa")), "a").join(sets.select(F.col("fp").alias("b"), F.col("sigs").alias("sb")), "b")
     pairs = both.select("a", "b", jaccard(F.col("sa"), F.col("sb")).alias("likeness")).where(F.col("likeness") >= threshold)
     return rows.select("doc_id", "fp"), pairs
@@ -103,34 +112,40 @@ def similar(docs: DataFrame, threshold: float = 0.8) -> tuple[DataFrame, DataFra
 
 # ---- edited texts ------------------------------------------------------------------
 
-def _range_of(value: Column, edges: list[int]) -> Column:
-    """How many of the sorted ``edges`` are at most ``value``: a coarse search, then one within a stretch."""
-    step = max(1, int(len(edges) ** 0.5))
-    longs = lambda x: F.array(*[F.lit(e) for e in x]).cast("array<long>")
-    below = lambda where: F.size(F.filter(where, lambda e: e <= value))
-    base = (F.greatest(below(longs(edges[::step])) - 1, F.lit(0)) * step).cast("int")
-    return base + below(F.slice(longs(edges), base + 1, F.lit(step)))
-
-
-def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, next_text) in ascending order of doc_id, the first after the last."""
-    rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = max(16, int(4 * n_groups(docs.select("text"), 64 << 10) ** 0.5))
-    ids = rows.select("id")
-    edges = ids.agg(F.percentile_approx("id", [i / parts for i in range(1, parts)], 50 * parts)).first()[0] or []
-    edges = sorted({int(e) for e in edges})
-    ids = ids.withColumn("part", _range_of(F.col("id"), edges))
-    firsts = {r["part"]: int(r["id"]) for r in ids.groupBy("part").agg(F.min("id").alias("id")).collect()}   # a row per range
-    order = sorted(firsts)
-    before = [order[i - 1] for i in range(len(order))]
+def _texts(values: list[str]) -> Column:
+    """A constant array: one literal, cut when the plan is made, not an expression for each value."""
+    return F.split(F.lit(",".join(values)), ",")
+
+
+def _range_of(key: Column, firsts: list[str]) -> Column:
+    """The place of the last of the sorted ``firsts`` that is at most ``key``: a coarse search, then one within a stretch."""
+    step = max(1, int(len(firsts) ** 0.5))
+    reached = lambda stretch: F.size(F.filter(stretch, lambda e: e <= key))
+    base = F.greatest(reached(_texts(firsts[::step])) - 1, F.lit(0)) * step
+    return _let(base, lambda low: low + reached(F.slice(_texts(firsts), low + 1, F.lit(step))) - 1)
+
+
+def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
+    """(doc_id, text, next_text) in ascending order of doc_id, the first after the last.
+
+    Spark's range partitioning cuts the keys (id, hash of the text), so that an id of many texts is cut too. Each range's
+    smallest key comes to the driver, as Spark's own range bounds do: at most ``MOST_RANGES``, whatever the input.
+    """
+    id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    # hex digits in the order of the numbers: the sign bit turned over; null ids behind all
+    digits = lambda x: F.lpad(F.hex(x.bitwiseXOR(F.lit(-1 << 63))), 16, "0")
+    rows = docs.select("doc_id", text.alias("text"), F.concat(F.when(id.isNull(), "~").otherwise(digits(id)), digits(F.xxhash64(text))).alias("key"))
+    ranges = ranges or min(MOST_RANGES, max(16, int(4 * n_groups(docs.select("text"), 64 << 10) ** 0.5)))
+    cut = rows.select("key").repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("range")).agg(F.min("key").alias("first"))
+    firsts = sorted(r["first"] for r in cut.collect()) or [""]
     # a range's first document also goes to the range before, as a guest behind all others
-    leads = F.col("id").isin([firsts[p] for p in order]) if order else F.lit(False)
-    previous = F.get(F.array(*[F.lit(p) for p in before]), F.array_position(F.array(*[F.lit(p) for p in order]), F.col("part")).cast("int") - 1) if order else F.lit(0)
-    own, guest = F.struct(F.col("part").alias("part"), F.lit(0).alias("guest")), F.struct(previous.alias("part"), F.lit(1).alias("guest"))
-    sent = (rows.withColumn("part", _range_of(F.col("id"), edges))
-            .withColumn("to", F.explode(F.when(leads, F.array(own, guest)).otherwise(F.array(own))))
-            .select("doc_id", "id", "text", F.col("to.part").alias("part"), F.col("to.guest").alias("guest")))
-    inside = Window.partitionBy("part").orderBy("guest", "id", F.xxhash64("text"))
+    part = F.col("part")
+    previous = F.when(part == 0, len(firsts) - 1).otherwise(part - 1)
+    own, guest = F.struct(part.alias("part"), F.lit(0).alias("guest")), F.struct(previous.alias("part"), F.lit(1).alias("guest"))
+    sent = (rows.withColumn("part", _range_of(F.col("key"), firsts))
+            .withColumn("to", F.explode(F.when(F.get(_texts(firsts), part) == F.col("key"), F.array(own, guest)).otherwise(F.array(own))))
+            .select("doc_id", "key", "text", F.col("to.part").alias("part"), F.col("to.guest").alias("guest")))
+    inside = Window.partitionBy("part").orderBy("guest", "key")
     return sent.withColumn("next_text", F.lead("text").over(inside)).where("guest = 0").select("doc_id", "text", "next_text")
 
 

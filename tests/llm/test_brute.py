@@ -194,6 +194,56 @@ def test_similar_spotsigs(spark, tables, odd_docs, threshold):
     assert pairs.count() == want > 0 and members.count() == len(odd_docs)
 
 
+def followers(rows):
+    """(doc_id, text, next text) of plain rows; ids ascending, null last, one id's texts by their hash as Spark has it."""
+    hashed = lambda t: (xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63) - (1 << 63)
+    order = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is None, r[0] or 0, hashed(r[1])))
+    return [(d, t, order[(i + 1) % len(order)][1]) for i, (d, t) in enumerate(order)]
+
+
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_next_documents_with_null_and_repeated_ids(spark, odd_docs, ranges):
+    rows = [(d, t) for d, t, *_ in odd_docs] + [(None, f"null id {i}") for i in range(40)] + [(5, f"id 5 again {i}") for i in range(40)]
+    rows += [(-3, "below zero"), (-(1 << 63), "least"), ((1 << 63) - 1, "most"), (8, "\u6f22\U0001f600"), (None, "null id 7"), (5, "id 5 again 3")]
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows], "doc_id long, text string, key string").repartition(5)
+    same(spotsigs.with_next(docs, ranges).collect(), followers(rows))
+
+
+def test_spotsigs_of_awkward_ids_equal_brute_force(spark, tables, odd_docs):
+    want = []
+    for d, t, after in followers([(d, t) for d, t, *_ in odd_docs]):
+        edited = t[: len(t) - len(t) // 2] + after[:len(t) // 2]
+        own = plain_signatures(t)
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), round(likeness(own, plain_signatures(edited)), 9), round(likeness(own, plain_signatures(after)), 9)))
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in rows_of(spark, tables, "op4_spotsigs")]
+    same(got, want)
+
+
+def test_similar_spotsigs_in_a_large_group_of_near_copies(spark):
+    """A third of all rows are near copies with sets of their own, as many again exact copies; all links are kept."""
+    import random
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("bcdfgklmnprst", k=6))
+    base = [word() for _ in range(80)]
+    texts = [" ".join(f"the {word() if rng.random() < 0.06 else a} {b}" for a, b in zip(base[::2], base[1::2], strict=True)) for _ in range(400)]
+    texts += [texts[0]] * 400 + [" ".join(f"of {word()} {word()}" for _ in range(rng.randint(1, 60))) for _ in range(400)]
+    members, pairs = spotsigs.similar(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    sets = {frozenset(plain_signatures(t)) for t in texts}
+    order = list(sets)
+    want = sum(likeness(a, b) >= 0.8 for i, a in enumerate(order) for b in order[:i])
+    assert pairs.count() == want > 20_000
+    assert members.select("fp").distinct().count() == len(sets) and members.count() == len(texts)
+
+
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.8, 0.9])
+def test_lengths_of_similar_sets_lie_in_neighbouring_ranges(spark, threshold):
+    from pyspark.sql import functions as F
+    span = [None] + [r[0] for r in spark.range(1, 3001).select(spotsigs.length_range(F.col("id"), threshold)).collect()]
+    for n in range(1, 3001):
+        smallest = max(1, -int(-(n * threshold - 1e-9) // 1))
+        assert span[smallest] in (span[n], span[n] - 1)
+
+
 # ---- 5 ---------------------------------------------------------------------------
 
 def test_mixing_meets_targets(spark, tables, odd_docs):
