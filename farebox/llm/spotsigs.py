@@ -134,18 +134,19 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     id, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
     # hex digits in the order of the numbers: the sign bit turned over; null ids behind all
     digits = lambda x: F.lpad(F.hex(x.bitwiseXOR(F.lit(-1 << 63))), 16, "0")
-    rows = docs.select("doc_id", text.alias("text"), F.concat(F.when(id.isNull(), "~").otherwise(digits(id)), digits(F.xxhash64(text))).alias("key"))
+    rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
+    key = F.concat(F.when(id.isNull(), "~").otherwise(digits(id)), digits(F.col("h")))
     ranges = ranges or min(MOST_RANGES, max(16, int(4 * n_groups(docs.select("text"), 64 << 10) ** 0.5)))
-    cut = rows.select("key").repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("range")).agg(F.min("key").alias("first"))
+    cut = rows.select(key.alias("key")).repartitionByRange(ranges, "key").groupBy(F.spark_partition_id().alias("range")).agg(F.min("key").alias("first"))
     firsts = sorted(r["first"] for r in cut.collect()) or [""]
     # a range's first document also goes to the range before, as a guest behind all others
     part = F.col("part")
     previous = F.when(part == 0, len(firsts) - 1).otherwise(part - 1)
     own, guest = F.struct(part.alias("part"), F.lit(0).alias("guest")), F.struct(previous.alias("part"), F.lit(1).alias("guest"))
-    sent = (rows.withColumn("part", _range_of(F.col("key"), firsts))
-            .withColumn("to", F.explode(F.when(F.get(_texts(firsts), part) == F.col("key"), F.array(own, guest)).otherwise(F.array(own))))
-            .select("doc_id", "key", "text", F.col("to.part").alias("part"), F.col("to.guest").alias("guest")))
-    inside = Window.partitionBy("part").orderBy("guest", "key")
+    sent = (rows.withColumn("part", _let(key, lambda k: _range_of(k, firsts)))
+            .withColumn("to", F.explode(F.when(F.get(_texts(firsts), part) == key, F.array(own, guest)).otherwise(F.array(own))))
+            .select("doc_id", "h", "text", F.col("to.part").alias("part"), F.col("to.guest").alias("guest")))
+    inside = Window.partitionBy("part").orderBy("guest", id.asc_nulls_last(), "h")
     return sent.withColumn("next_text", F.lead("text").over(inside)).where("guest = 0").select("doc_id", "text", "next_text")
 
 
