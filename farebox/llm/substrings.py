@@ -14,7 +14,7 @@ passage that a third of all documents share so reaches its bucket once per
 batch, not once per document.
 
 A line shorter than a window gives one minimiser to many different windows. So
-windows are counted by minimiser first, and those of a minimiser with more than
+all windows are counted by minimiser first, over the whole input, and those of a minimiser with more than
 ``MOST_WINDOWS`` go by the smallest hash among their runs of half a window's words,
 and where that is as crowded, by the hash of the whole window. Equal windows
 have equal keys at each step, so they still meet. Counts only choose the way:
@@ -46,7 +46,7 @@ _STEP = np.uint64(0x9FB21C651E98DF25)
 _BACK = np.uint64(pow(0x9FB21C651E98DF25, -1, 1 << 64))
 
 _PACKED = pa.schema([("bucket", pa.int64()), ("meta", pa.binary()), ("words", pa.binary()), ("spans", pa.binary())])
-_COUNTS = pa.schema([("level", pa.int64()), ("low", pa.int64()), ("windows", pa.int64())])
+_COUNTS = pa.schema([("low", pa.int64()), ("windows", pa.int64())])
 _SPANS = pa.schema([("batch", pa.int64()), ("key", pa.int64()), ("first", pa.int64()), ("last", pa.int64())])
 _KEPT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 #: Columns of a super-k-mer: batch, row key, id, first word, words, bytes.
@@ -137,30 +137,31 @@ def routes(h: np.ndarray, starts: np.ndarray, width: int, mer: int, heavy: list[
     return key
 
 
-def crowds(text, width: int, mer: int) -> pa.Table:
-    """(level, low, windows): different windows by key, where they come from more than one place."""
-    parts, out = list(hashed_words(text, lower=False)), []
+def crowds(text, width: int, mer: int, heavy: list[np.ndarray]) -> pa.Table:
+    """(low, windows): the windows of a slice by the key of the level after those of ``heavy``, which all crowded them.
+
+    Equal windows of a slice count once where a key has more of them than one place can give it.
+    """
+    parts = list(hashed_words(text, lower=False))
     h = np.concatenate([np.zeros(0, np.uint64), *(p[3] for p in parts)])
     starts = window_starts(np.concatenate([np.zeros(0, np.int64), *(p[2] for p in parts)]), width)
-    for level, run in enumerate(levels(width, mer)[:-1]):
-        if not len(starts):
-            break
-        low = minimisers(h, starts, width, run)
-        # runs of equal keys are counted first, then different windows of those that one place can't have
-        cut = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-        kinds, which = np.unique(low[cut], return_inverse=True)
-        many = kinds[np.bincount(which, np.diff(np.append(cut, len(low)))) > width - run + 1]
-        starts = starts[np.isin(low, many)] if len(many) else starts[:0]
-        if not len(starts):
-            break
-        _, one = np.unique(runs(h, width)[starts], return_index=True)
-        starts = np.sort(starts[one])
-        kinds, n = np.unique(minimisers(h, starts, width, run), return_counts=True)
-        kinds, n = kinds[n > width - run + 1], n[n > width - run + 1]
-        out.append(np.stack([np.full(len(kinds), level), kinds.view(np.int64), n], 1))
-        starts = starts[np.isin(minimisers(h, starts, width, run), kinds)]
-    found = np.concatenate([np.zeros((0, 3), np.int64), *out]).astype(np.int64)
-    return pa.table([pa.array(found[:, i]) for i in range(3)], schema=_COUNTS)
+    lengths = levels(width, mer)
+    for crowded, run in zip(heavy, lengths, strict=False):
+        starts = starts[np.isin(minimisers(h, starts, width, run), crowded)] if len(starts) else starts
+    if not len(starts):
+        return _COUNTS.empty_table()
+    run = lengths[len(heavy)]
+    low = minimisers(h, starts, width, run)
+    # neighbouring windows mostly have one key: runs of equal keys are counted, not windows
+    cut = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+    kinds, which = np.unique(low[cut], return_inverse=True)
+    n = np.bincount(which, np.diff(np.append(cut, len(low)))).astype(np.int64)
+    many = n > width - run + 1
+    if many.any():
+        again = starts[np.isin(low, kinds[many])]
+        _, one = np.unique(runs(h, width)[again], return_index=True)
+        _, n[many] = np.unique(minimisers(h, again[one], width, run), return_counts=True)
+    return pa.table([pa.array(kinds.view(np.int64)), pa.array(n)], schema=_COUNTS)
 
 
 def repeats(words: Words, h: np.ndarray, starts: np.ndarray, ids: np.ndarray, width: int):
@@ -285,18 +286,23 @@ def _dealt(docs: DataFrame, batch_bytes: int) -> tuple[DataFrame, int]:
 
 
 def crowded(docs: DataFrame, width: int, mer: int, most: int) -> list[np.ndarray]:
-    """By level, the keys of more than ``most`` windows: at most one for each ``most`` windows of the input."""
-    names = ["level", "low"]
-
-    def counted(batches):
-        for b in batches:
-            for i, j in slices(text_buffer(b.column(0))[1], 2 * BATCH_BYTES):
-                yield from crowds(b.column(0).slice(i, j - i), width, mer).to_batches()
-
-    many = docs.select("text").mapInArrow(counted, _ddl(_COUNTS)).groupBy(*names).agg(F.sum("windows").alias("windows")).where(F.col("windows") > most)
-    found = many.select(*names).toArrow()
-    level, low = (np.asarray(found[c].combine_chunks()).astype(np.int64) for c in names)
-    return [low[level == i].view(np.uint64) for i in range(len(levels(width, mer)) - 1)]
+    """By level, the keys of more than ``most`` windows in the whole input: at most one for each ``most`` windows.
+
+    A level is counted only for the crowded keys of the one before.
+    """
+    heavy: list[np.ndarray] = []
+    for _ in levels(width, mer)[:-1]:
+        def counted(batches, above=tuple(heavy)):
+            for b in batches:
+                for i, j in slices(text_buffer(b.column(0))[1], 2 * BATCH_BYTES):
+                    yield from crowds(b.column(0).slice(i, j - i), width, mer, list(above)).to_batches()
+
+        many = docs.select("text").mapInArrow(counted, _ddl(_COUNTS)).groupBy("low").agg(F.sum("windows").alias("windows")).where(F.col("windows") > most)
+        found = many.select("low").toArrow()["low"].combine_chunks()
+        if not len(found):
+            break
+        heavy.append(np.asarray(found).astype(np.int64).view(np.uint64))
+    return heavy
 
 
 def _packed(dealt: DataFrame, buckets: int, width: int, mer: int, most: int) -> DataFrame:

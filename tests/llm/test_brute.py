@@ -428,6 +428,27 @@ def test_narrow_windows_and_small_batches(spark, tables, odd_docs):
     same(substrings.remove_repeats(docs, width=6, mer=2, batch_bytes=500).collect(), plain_repeats(odd_docs, 6))
 
 
+def test_a_line_with_few_windows_in_each_slice_is_counted(spark):
+    """One document a task: no slice has more windows of the hot line than one place gives, all together have many."""
+    import random
+    import pyarrow as pa
+    rng = random.Random(5)
+    low = lambda line: substrings.runs(substrings._hashes(pa.array([line])), 5).min()
+    line = min((" ".join(f"hot{rng.randint(0, 999)}" for _ in range(10)) for _ in range(3000)), key=low)
+    body = lambda: " ".join(f"w{rng.randint(0, 99999)}" for _ in range(60))
+    rows = [(i, f"{body()} {line} {body()}") for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(24, "doc_id")
+    assert [len(k) for k in substrings.crowded(docs, 50, 5, 23 * 40)] == [1]
+    assert substrings.crowded(docs, 50, 5, 24 * 46) == []
+    # counted exactly: one key for each window of every text, equal windows of a slice once
+    h = substrings._hashes(pa.array([rows[0][1]]))
+    one = substrings.crowds(pa.array([rows[0][1]] * 30), 50, 5, [])
+    starts = substrings.window_starts(np.array([len(h)]), 50)
+    want = collections.Counter(substrings.minimisers(h, starts, 50, 5).view(np.int64).tolist())
+    got = dict(zip(one["low"].to_pylist(), one["windows"].to_pylist(), strict=True))
+    assert got.keys() == want.keys() and all(want[k] <= n <= 46 for k, n in got.items())
+
+
 # ---- 10 --------------------------------------------------------------------------
 
 def test_a_hot_line_is_spread_over_buckets(spark):
