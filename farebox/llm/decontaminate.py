@@ -22,7 +22,8 @@ not the item's, and its first is looked up, so the same holds. Shingles are look
 
 Item shingles are broadcast while they number at most ``MOST_BROADCAST``, counted
 first; beyond it the shingles are joined by shuffle, and the proposed windows are
-cut from the documents in a second join. Both ways give the same rows.
+cut from the documents in a second join. So are the filed values: broadcast for at most ``MOST_FILED`` items, counted
+first (the optimizer takes them for as small as the items), else sorted and merged. All ways give the same rows.
 
 Defined cases: null or word-less texts and items match nothing; an item shorter
 than five words has one shingle, so its matches are its exact repetitions; null
@@ -46,6 +47,8 @@ BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
 SLACK = RADIUS // len(BLOCKS)
 #: Item shingles of about 100 bytes each: at most some 20 MB are broadcast.
 MOST_BROADCAST = 200_000
+#: Items whose filed values are broadcast, some 75 KB each: at most about 75 MB.
+MOST_FILED = 1_000
 WORD = "[\\p{L}\\p{N}]+"
 GAP = "[^\\p{L}\\p{N}]+"
 
@@ -163,7 +166,8 @@ def windows(docs: DataFrame, items: DataFrame, most_broadcast: int = MOST_BROADC
     return some.select("doc_id", "text_key", "start", "n", "size", F.slice("region", F.col("start") - F.col("low") + 1, F.col("n")).alias("w"))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, most_broadcast: int = MOST_BROADCAST,
+            most_filed: int = MOST_FILED) -> DataFrame:
     """(doc_id, text_key, item_id, start, n, similarity): every window that an item matches, and how many words it has."""
     # both tables are written with their fingerprints: filters on these would else be pushed into their expressions
     items = written(benchmark_items(benchmark), "items")
@@ -173,6 +177,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARIT
         F.struct(F.lit(i).alias("no"), _block(F.col("fp"), low, width).alias("value"), F.array(*[F.lit(m).cast("long") for m in _masks(width)]).alias("masks"))
         for i, (low, width) in enumerate(BLOCKS)])).alias("b"))
     filed = filed.select("item_id", "item_n", "item_fp", F.col("b.no").alias("no"), F.explode(F.transform("b.masks", lambda m: F.col("b.value").bitwiseXOR(m))).alias("value"))
+    filed = filed.hint("broadcast" if items.count() <= most_filed else "merge")
     asked = seen.select("doc_id", "text_key", "start", "n", "fp", F.posexplode(F.array(*[_block(F.col("fp"), *b) for b in BLOCKS])).alias("no", "value"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS
     pairs = (asked.join(filed, (asked["no"] == filed["no"]) & (asked["value"] == filed["value"]) & (F.col("n") == F.col("item_n"))).where(near)

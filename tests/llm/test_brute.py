@@ -287,10 +287,10 @@ def test_positions_follow_the_schedules(spark):
 
 # ---- 6 ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("most", [decontaminate.MOST_BROADCAST, 0])
-def test_decontamination(spark, tables, odd_docs, most):
+@pytest.mark.parametrize("most, filed", [(decontaminate.MOST_BROADCAST, decontaminate.MOST_FILED), (decontaminate.MOST_BROADCAST, 0), (0, 0)])
+def test_decontamination(spark, tables, odd_docs, most, filed):
     docs, bench = spark.read.parquet(f"{tables}/documents.parquet"), spark.read.parquet(f"{tables}/benchmark.parquet")
-    got = {(r["doc_id"], r["item_id"]): (r["first_word"], r["n_words"], r["similarity"]) for r in decontaminate.contaminated(docs, bench, most_broadcast=most).collect()}
+    got = {(r["doc_id"], r["item_id"]): (r["first_word"], r["n_words"], r["similarity"]) for r in decontaminate.contaminated(docs, bench, most_broadcast=most, most_filed=filed).collect()}
     find, want = lambda t: regex.findall(r"[\p{L}\p{N}]+", (t or "").lower()), {}
     for item in bench.collect():
         w = find(item["text"])
