@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import TripRules
 from ..functions import rules as R
 from ..sources.schemas import CORRUPT
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, is_small
 
 STATUS_VALID = "valid"
 STATUS_REJECTED = "rejected"
@@ -92,6 +93,16 @@ def add_trip_metrics(df: DataFrame) -> DataFrame:
               }))
 
 
+def zone_roles(zones: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The zone lookup as pickup and as dropoff."""
+    return (zones.select(F.col("location_id").alias("pu_location_id"),
+                         F.col("borough").alias("pickup_borough"),
+                         F.col("zone").alias("pickup_zone")),
+            zones.select(F.col("location_id").alias("do_location_id"),
+                         F.col("borough").alias("dropoff_borough"),
+                         F.col("zone").alias("dropoff_zone")))
+
+
 def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     """Left joins with the zone lookup in its two roles (pickup, dropoff).
 
@@ -99,16 +110,22 @@ def enrich_zones(df: DataFrame, zones: DataFrame) -> DataFrame:
     is checked (the trip side is then never shuffled for enrichment); a lookup
     over the limit falls back to a shuffled join.
     """
-    pu = zones.select(F.col("location_id").alias("pu_location_id"),
-                      F.col("borough").alias("pickup_borough"),
-                      F.col("zone").alias("pickup_zone"))
-    do = zones.select(F.col("location_id").alias("do_location_id"),
-                      F.col("borough").alias("dropoff_borough"),
-                      F.col("zone").alias("dropoff_zone"))
+    pu, do = zone_roles(zones)
     return (df.join(broadcast_if_small(pu), "pu_location_id", "left")
               .join(broadcast_if_small(do), "do_location_id", "left"))
 
 
-def silver(valid: DataFrame, zones: DataFrame, rules: TripRules, repeated: DataFrame | None = None) -> DataFrame:
-    """Valid trips, deduplicated, with metrics and both zone roles."""
-    return enrich_zones(add_trip_metrics(dedup(valid, rules, repeated)), zones)
+def silver(valid: DataFrame, zones: DataFrame, rules: TripRules, repeated: DataFrame | None = None,
+           gather: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Valid trips, deduplicated, with metrics and both zone roles.
+
+    ``gather`` lays the rows out for the write. It moves them before they get
+    the metrics and zone names, half of a row's bytes; a lookup too large to be
+    broadcast moves rows itself, and they are gathered after it.
+    """
+    rows = dedup(valid, rules, repeated)
+    if gather is None:
+        return enrich_zones(add_trip_metrics(rows), zones)
+    if all(is_small(role) for role in zone_roles(zones)):
+        return enrich_zones(add_trip_metrics(gather(rows)), zones)
+    return gather(enrich_zones(add_trip_metrics(rows), zones))

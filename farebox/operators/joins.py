@@ -19,12 +19,17 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def is_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> bool:
+    """Whether the estimate is known and under the limit."""
+    size = estimated_bytes(df)
+    return size is not None and 0 <= size <= limit_bytes
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Hint a broadcast when the estimate is known and under the limit; otherwise
     leave the choice to the planner (sort-merge or shuffled hash join, AQE may
     still convert at run time from real sizes)."""
-    size = estimated_bytes(df)
-    return F.broadcast(df) if size is not None and 0 <= size <= limit_bytes else df
+    return F.broadcast(df) if is_small(df, limit_bytes) else df
 
 
 def null_safe_anti(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:

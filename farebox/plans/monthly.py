@@ -136,7 +136,7 @@ class MonthlyLake:
         with session_conf(spark, spark__sql__maxConcurrentOutputFileWriters="8"):
             staged = write("staged", clean.tag_rejects(raw), ("status",))
         valid = clean.valid_trips(staged).drop(*MONTH)
-        silver = write("silver_trips", by_month(clean.silver(valid, self.zones(), rules)))
+        silver = write("silver_trips", clean.silver(valid, self.zones(), rules, gather=by_month))
         fact = write("fact_trips", star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"))
         write("counts", self._month_counts(staged, fact))
         cells = cube.build_cells(fact, *MONTH)

@@ -71,28 +71,33 @@ def base_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
 
-    # Large-to-large joins: left to the optimizer (sort-merge or, when the
-    # scan statistics fit the broadcast threshold, broadcast).
     # Left joins: a line item without its order, supplier or customer stays a
     # trip, whose missing time or zone the rules reject and the funnel counts.
-    j = (li.join(od, li.l_orderkey == od.o_orderkey, "left")
-           .join(su, li.l_suppkey == su.s_suppkey, "left")
-           .join(cu, od.o_custkey == cu.c_custkey, "left"))
+    # Orders meet their customers first, so that the line items cross the
+    # network once, for their order, and as the few small values a trip needs.
+    # Join kinds are left to the optimizer (sort-merge or, when the scan
+    # statistics fit the broadcast threshold, broadcast).
+    od = (od.join(cu, od.o_custkey == cu.c_custkey, "left")
+            .select("o_orderkey", "o_orderdate", "o_orderpriority", "c_nationkey"))
+    refund = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > REFUND_MIN_QUANTITY)
+    li = li.join(su, li.l_suppkey == su.s_suppkey, "left").select(
+        "l_orderkey", "l_partkey", "s_nationkey", "l_quantity",
+        (F.col("l_suppkey") % VENDOR_MODULUS + 1).cast("int").alias("vendor_id"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("_cents"),
+        F.round(F.col("l_discount") * 100).cast("bigint").alias("_disc"),
+        F.round(F.col("l_tax") * 100).cast("bigint").alias("_tax"),
+        refund.alias("_refund"))
+    j = li.join(od, li.l_orderkey == od.o_orderkey, "left")
 
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    disc = F.round(F.col("l_discount") * 100).cast("bigint")
-    tax = F.round(F.col("l_tax") * 100).cast("bigint")
     off = (F.col("l_partkey") * PICKUP_OFFSET_PART_MULT
            + F.col("l_orderkey") * PICKUP_OFFSET_ORDER_MULT) % SECONDS_PER_DAY
     dur = (F.col("l_orderkey") * DURATION_ORDER_MULT
            + F.col("l_partkey") * DURATION_PART_MULT) % DURATION_MODULUS - DURATION_SHIFT
-    refund = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > REFUND_MIN_QUANTITY)
-
-    j = j.withColumns({"_cents": cents, "_disc": disc, "_tax": tax, "_off": off, "_dur": dur})
+    j = j.withColumns({"_off": off, "_dur": dur})
     fare_units = F.col("_cents") * 100
     zero = F.lit(0).cast(MONEY)
     return j.select(
-        (F.col("l_suppkey") % VENDOR_MODULUS + 1).cast("int").alias("vendor_id"),
+        "vendor_id",
         F.timestamp_add("SECOND", F.col("_off"), F.col("o_orderdate")).alias("pickup_ts"),
         F.timestamp_add("SECOND", F.col("_off") + F.col("_dur"), F.col("o_orderdate")).alias("dropoff_ts"),
         ((F.col("l_orderkey") + F.col("l_partkey")) % PASSENGER_MODULUS).cast("int").alias("passenger_count"),
@@ -102,7 +107,7 @@ def base_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("int").alias("pu_location_id"),
         F.col("c_nationkey").cast("int").alias("do_location_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
-        _money(F.when(refund, -fare_units).otherwise(fare_units)).alias("fare_amount"),
+        _money(F.when(F.col("_refund"), -fare_units).otherwise(fare_units)).alias("fare_amount"),
         zero.alias("extra"),
         _money(F.col("_cents") * F.col("_tax")).alias("mta_tax"),
         _money(F.col("_cents") * F.col("_disc")).alias("tip_amount"),
