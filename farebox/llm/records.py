@@ -45,15 +45,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import importable, n_groups, scratch_dir, table, written
+from .common import importable, n_groups, scratch_dir, slices, table, written
 
 NULL_ID = -(1 << 63)
 END_ID = 0
 SHARD_BYTES = 16 << 20
-CACHE_PIECES = 200_000            # encoded pieces that a worker's table holds: some 40 MB, twice at most
-CACHE_WORDS = 700_000             # words with what sticks to them: some 140 MB, twice at most
+CACHE_PIECES = 200_000            # encoded pieces that a worker's table holds: some 50 MB, twice at most
+CACHE_WORDS = 350_000             # words with what sticks to them: some 90 MB, twice at most
 _MASK = 0xA282EAD8
 _BLOCK = 1024                     # bytes whose checksum is computed in step with all other blocks
+_GROUP = 4 << 20                  # bytes of such blocks at a time, one whole record at least
 
 
 # ---- CRC-32C -------------------------------------------------------------------
@@ -83,21 +84,29 @@ _JUMP = np.stack([_zeros(np.arange(256, dtype=np.uint32) << np.uint32(8 * k), _B
 
 
 def crc32c(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """CRC-32C of each byte range data[offsets[i]:offsets[i+1]].
+    """CRC-32C of each byte range data[offsets[i]:offsets[i+1]]; about ``_GROUP`` bytes of blocks at a time."""
+    upto = np.concatenate([[0], np.cumsum(np.maximum(1, -(-np.diff(offsets) // _BLOCK)) * _BLOCK)])
+    out = np.zeros(len(offsets) - 1, np.uint32)
+    for i, j in slices(upto, _GROUP):
+        out[i:j] = _crc_group(data, offsets[i: j + 1])
+    return out
+
+
+def _crc_group(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """CRC-32C of at least one byte range.
 
     Each range is cut into blocks counted from its end, so that only the first
     one is short; it gets leading zero bytes, which leave a zero register alone.
     All blocks advance together eight bytes at a time, then each range's blocks are chained.
     """
     size = np.diff(offsets)
-    if not len(size):
-        return np.zeros(0, np.uint32)
     blocks = np.maximum(1, -(-size // _BLOCK))
     first = np.cumsum(blocks) - blocks
     padded = np.zeros((int(blocks.sum()), _BLOCK), np.uint8)
     shift = first * _BLOCK + blocks * _BLOCK - size
     flat = padded.reshape(-1)
-    flat[np.arange(int(size.sum())) + np.repeat(shift - (offsets[:-1] - offsets[0]), size)] = data[offsets[0]: offsets[-1]]
+    for to, a, b in zip(shift.tolist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        flat[to: to + b - a] = data[a:b]
     # the register starts as ones: as if the first four bytes were inverted
     for k in range(4):
         has = size > k
