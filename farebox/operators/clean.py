@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TripRules
@@ -44,18 +43,23 @@ def malformed_lines(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("status") == STATUS_MALFORMED).drop("reject_reason", "status")
 
 
+def key_hash(rules: TripRules) -> Column:
+    """64 bits of a trip key. Equal keys have equal hashes; the few others that share one are told apart by ``dedup``."""
+    return F.xxhash64(*[F.col(k) for k in rules.dedup_keys])
+
+
 def duplicate_keys(valid: DataFrame, rules: TripRules) -> DataFrame:
-    """Trip keys that occur more than once: a hash aggregate over the keys alone."""
-    return (valid.groupBy(*rules.dedup_keys).agg(F.count(F.lit(1)).alias("copies"))
+    """Hashes of trip keys that occur more than once: a hash aggregate over eight bytes a trip."""
+    return (valid.groupBy(key_hash(rules).alias("key_hash")).agg(F.count(F.lit(1)).alias("copies"))
                  .filter(F.col("copies") > 1))
 
 
 def dedup(valid: DataFrame, rules: TripRules, repeated: DataFrame | None = None) -> DataFrame:
     """One survivor per trip key, chosen by a total order; counts what was removed.
 
-    Only rows of ``repeated`` keys (``duplicate_keys``; a written table lets its
-    real size decide on a broadcast) are compared; all others pass through
-    without a shuffle of their columns. A survivor is the minimum of
+    Only rows whose key's hash is ``repeated`` (``duplicate_keys``; a written
+    table lets its real size decide on a broadcast) are compared, by the key
+    itself; all others pass through without a shuffle of their columns. A survivor is the minimum of
     ``struct(order columns, every other column)``, so the choice is
     deterministic even when the listed order columns tie. It is an aggregate,
     not a window: copies collapse on the map side, so a key holding a large
@@ -67,8 +71,8 @@ def dedup(valid: DataFrame, rules: TripRules, repeated: DataFrame | None = None)
     fields = order + rest
     if repeated is None:
         repeated = duplicate_keys(valid, rules)
-    twice = broadcast_if_small(repeated.select(*[F.col(k).alias(f"_{k}") for k in keys]))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    twice = broadcast_if_small(repeated.select(F.col("key_hash").alias("_hash")))
+    same = key_hash(rules) == F.col("_hash")
     single = valid.join(twice, same, "left_anti").withColumn("duplicates_removed", F.lit(0).cast("bigint"))
     agg = (valid.join(twice, same, "left_semi").groupBy(*keys)
                 .agg(F.min(F.struct(*[F.col(c) for c in fields])).alias("_s"),

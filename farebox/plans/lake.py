@@ -31,7 +31,7 @@ TABLES = ("staged", "silver_trips", "fact_trips", "trip_cube", "day_states", "da
 
 
 #: Version of the rules' code and of the layers' layout: raise it when either changes results.
-BUILD_VERSION = "5"
+BUILD_VERSION = "6"
 #: Partition columns of silver and fact: the month of the pickup.
 MONTH = ("pickup_year", "pickup_month")
 

@@ -99,3 +99,32 @@ def test_gathered_silver_has_the_same_rows(spark, monkeypatch):
     last = _silver(spark, zones, by_month)
     assert rows(last) == rows(want)
     assert "pickup_zone" in _below(last._jdf.queryExecution().optimizedPlan().toString(), "RebalancePartitions")
+
+
+def _repeated_trips(spark):
+    t = lambda m: dt.datetime(1997, 1, 2, 3, m)
+    rows = [(i % 3, t(i % 5), None if i % 4 == 0 else t(i % 5 + 9), None if i % 7 == 0 else i % 2, 2, float(i), i) for i in range(60)]
+    return spark.createDataFrame(rows, "vendor_id int, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, pu_location_id int, "
+                                       "do_location_id int, trip_distance double, trip_ref long")
+
+
+def test_trip_keys_are_counted_by_hash(spark):
+    """All five columns of every trip's key went through the shuffle, and those of repeated keys into a broadcast."""
+    plan = clean.duplicate_keys(_repeated_trips(spark), FIXTURE_RULES)._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in plan.split("\n") if "Exchange" in line)
+    assert not any(k in exchange for k in FIXTURE_RULES.dedup_keys)
+    assert "pickup_ts" not in clean.duplicate_keys(_repeated_trips(spark), FIXTURE_RULES).columns
+
+
+def test_keys_that_share_a_hash_stay_apart(spark, monkeypatch):
+    trips = _repeated_trips(spark)
+    want = {}
+    for r in trips.collect():
+        want.setdefault(tuple(r[:5]), []).append(r)
+    rows = lambda df: sorted((repr(tuple(r[:5])), r.trip_ref, r.duplicates_removed) for r in df.collect())
+    expected = sorted((repr(k), min(r.trip_ref for r in v), len(v) - 1) for k, v in want.items())
+    assert 1 in map(len, want.values()) and rows(clean.dedup(trips, FIXTURE_RULES)) == expected
+    monkeypatch.setattr(clean, "key_hash", lambda rules: F.xxhash64(F.lit(None).cast("int"), F.col("vendor_id") % 2))
+    assert rows(clean.dedup(trips, FIXTURE_RULES)) == expected
+    repeated = clean.duplicate_keys(trips, FIXTURE_RULES).localCheckpoint()
+    assert rows(clean.dedup(trips, FIXTURE_RULES, repeated)) == expected
