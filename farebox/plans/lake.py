@@ -37,6 +37,8 @@ MONTH = ("pickup_year", "pickup_month")
 
 #: Layers are read a few times and hold every trip: fewer bytes on the shared storage.
 CODEC = "zstd"
+#: Trips are sorted into fact files by splits of this size, about a million rows: no sort outgrows a task's memory.
+SORT_SPLIT = "32m"
 
 
 def by_month(trips: DataFrame) -> DataFrame:
@@ -117,7 +119,8 @@ class TripLake:
         self._write(clean.silver(valid, self.zones(), rules, repeated, gather=by_month), "silver_trips", partition_by=MONTH, force=force)
         silver = spark.read.parquet(self.path("silver_trips"))
         # clustered by day inside each file: date ranges skip row groups
-        self._write(star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"), "fact_trips", partition_by=MONTH, force=force)
+        with session_conf(spark, spark__sql__files__maxPartitionBytes=SORT_SPLIT):
+            self._write(star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"), "fact_trips", partition_by=MONTH, force=force)
         fact = spark.read.parquet(self.path("fact_trips"))
         self._write(cube.build_trip_cube(fact).sortWithinPartitions("date_id"), "trip_cube", force=force)
         cells = spark.read.parquet(self.path("trip_cube"))

@@ -35,7 +35,7 @@ from ..operators import clean, cube, days, quality, star
 from ..session import file_fingerprint, session_conf
 from ..sources.ingest import BRONZE_ONLY, BronzeIngest
 from ..sources.snapshots import Conflict, Snapshots, partition_folders, remove
-from .lake import BUILD_VERSION, MONTH, by_month
+from .lake import BUILD_VERSION, MONTH, SORT_SPLIT, by_month
 
 MOST_DIFFERENCES = 4
 TABLES = ("staged", "silver_trips", "fact_trips", "cells", "counts")
@@ -137,7 +137,8 @@ class MonthlyLake:
             staged = write("staged", clean.tag_rejects(raw), ("status",))
         valid = clean.valid_trips(staged).drop(*MONTH)
         silver = write("silver_trips", clean.silver(valid, self.zones(), rules, gather=by_month))
-        fact = write("fact_trips", star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"))
+        with session_conf(spark, spark__sql__files__maxPartitionBytes=SORT_SPLIT):
+            fact = write("fact_trips", star.fact_trips(silver, rules, *MONTH).sortWithinPartitions(*MONTH, "date_id"))
         write("counts", self._month_counts(staged, fact))
         cells = cube.build_cells(fact, *MONTH)
         if not before:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from farebox.config import FIXTURE_RULES
 from farebox.operators import clean
-from farebox.plans.lake import by_month
+from farebox.plans.lake import TripLake, by_month
 from farebox.sources import fixture
 
+from .conftest import SF0001
+
 DAY = dt.datetime(1997, 3, 4)
 TABLES = {
     # an order that is missing, one that occurs twice, one without customer; a supplier that is missing, a null key
@@ -101,6 +103,16 @@ def test_gathered_silver_has_the_same_rows(spark, monkeypatch):
     assert "pickup_zone" in _below(last._jdf.queryExecution().optimizedPlan().toString(), "RebalancePartitions")
 
 
+def test_fact_trips_are_sorted_by_small_splits(spark, monkeypatch):
+    """A split of 128 MB holds some four million trips, whose sort outgrew a task's memory and spilled."""
+    key, seen, write = "spark.sql.files.maxPartitionBytes", {}, TripLake._write
+    monkeypatch.setattr(TripLake, "_write", lambda self, df, name, *a, **k: (seen.update({name: spark.conf.get(key)}), write(self, df, name, *a, **k))[1])
+    before = spark.conf.get(key)
+    lake = TripLake(spark, lambda: fixture.raw_trips(spark, SF0001), lambda: fixture.zone_lookup(spark, SF0001, FIXTURE_RULES), FIXTURE_RULES, uuid.uuid4().hex)
+    lake.build()
+    assert seen["fact_trips"] == "32m" and seen["trip_cube"] == before == spark.conf.get(key)
+
+
 def _repeated_trips(spark):
     t = lambda m: dt.datetime(1997, 1, 2, 3, m)
     rows = [(i % 3, t(i % 5), None if i % 4 == 0 else t(i % 5 + 9), None if i % 7 == 0 else i % 2, 2, float(i), i) for i in range(60)]
